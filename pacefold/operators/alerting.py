@@ -104,7 +104,6 @@ def goals_achieved(readings: DataFrame, goal: int = 10000) -> DataFrame:
     )
     return (
         ensure_event_time(readings)
-        .where(F.col("event_time").isNotNull())
         .groupBy("user_id", second.alias("second"))
         .agg(F.sum("steps").alias("steps"))
         .withColumn("day", F.to_date("second"))
@@ -112,6 +111,7 @@ def goals_achieved(readings: DataFrame, goal: int = 10000) -> DataFrame:
         .where(F.col("steps_so_far") >= goal)
         .groupBy("user_id", "day")
         .agg(F.min("second").alias("time"))
+        .where(F.col("time").isNotNull())
         .select("user_id", date_text(F.col("day")).alias("date"), "time")
     )
 
@@ -121,16 +121,20 @@ def _seconds(count: int) -> Column:
 
 
 def _slots(readings: DataFrame, slot_seconds: int) -> DataFrame:
-    """First and last reading and their number, per user and time slot."""
+    """First and last reading and their number, per user and time slot.
+
+    Readings without a readable time are left out after the aggregation: a filter
+    on the time itself would make Spark parse it twice.
+    """
     micros = F.unix_micros("event_time")
     slot = micros - F.pmod(micros, F.lit(slot_seconds * 1_000_000))
     return (
         ensure_event_time(readings)
-        .where(F.col("event_time").isNotNull())
         .groupBy("user_id", slot.alias("slot"))
         .agg(
             F.min("event_time").alias("first"),
             F.max("event_time").alias("last"),
             F.count("*").alias("readings"),
         )
+        .where(F.col("first").isNotNull())
     )

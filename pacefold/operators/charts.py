@@ -8,12 +8,17 @@ as one scan and one shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Slices in which exact quantiles rank the distinct values side by side.
-QUANTILE_SLICES = 4096
+QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+
+#: How exact quantiles narrow down the value range: slices per step, and steps.
+SLICES_PER_STEP = 4096
+ZOOM_STEPS = 3
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -42,28 +47,35 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     column gets a range one unit wide around its value.
     """
     counts = _distinct_values(frame, column)
-    bounds = counts.agg(
-        F.struct(F.min("v").alias("low"), F.max("v").alias("high"))
-    ).scalar()
-    low, high = bounds.getField("low"), bounds.getField("high")
+    low, high = F.min("v"), F.max("v")
     margin = F.when(low == high, 0.5).otherwise(0.0)
-    start, width = low - margin, (high + margin) - (low - margin)
+    scale = counts.agg(
+        F.struct(
+            (low - margin).alias("start"),
+            ((high + margin) - (low - margin)).alias("width"),
+        )
+    ).scalar()
 
-    position = F.floor((F.col("v") - start) * bins / width)
-    filled = counts.select(
-        F.least(F.lit(bins - 1), position).cast("int").alias("bin"), "n"
+    place = F.floor((F.col("v") - F.col("scale.start")) * bins / F.col("scale.width"))
+    filled = counts.withColumn("scale", scale).select(
+        F.least(F.lit(bins - 1), place).cast("int").alias("bin"), "n"
     )
     empty = frame.sparkSession.range(bins).select(
         F.col("id").cast("int").alias("bin"), F.lit(0).cast("long").alias("n")
     )
+
+    def edge(number: Column) -> Column:
+        return F.col("scale.start") + number * F.col("scale.width") / bins
+
     return (
         filled.unionByName(empty)
         .groupBy("bin")
         .agg(F.sum("n").alias("count"))
+        .withColumn("scale", scale)
         .select(
             "bin",
-            (start + F.col("bin") * width / bins).alias("bin_start"),
-            (start + (F.col("bin") + 1) * width / bins).alias("bin_end"),
+            edge(F.col("bin")).alias("bin_start"),
+            edge(F.col("bin") + 1).alias("bin_end"),
             "count",
         )
         .orderBy("bin")
@@ -71,33 +83,39 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
 
 
 def quartiles(frame: DataFrame, column: str, accuracy: int | None = None) -> DataFrame:
-    """One row ``q1, median, q3``; exact with linear interpolation between values.
+    """One row ``q1, median, q3``; exact, with linear interpolation between values.
 
     ``accuracy`` switches to Spark's approximate percentiles of that accuracy.
     """
     if accuracy:
-        points = F.percentile_approx(column, [0.25, 0.5, 0.75], accuracy)
+        points = F.percentile_approx(column, list(QUARTILES.values()), accuracy)
         return frame.agg(points.alias("p")).select(
             *(
-                F.col("p")[i].cast("double").alias(name)
-                for i, name in enumerate(("q1", "median", "q3"))
+                F.col("p")[place].cast("double").alias(name)
+                for place, name in enumerate(QUARTILES)
             )
         )
-    return _exact_quantiles(
-        _distinct_values(frame, column), {"q1": 0.25, "median": 0.5, "q3": 0.75}
-    )
+    return _exact_quantiles(_distinct_values(frame, column), QUARTILES)
 
 
 def boxplot(frame: DataFrame, column: str, accuracy: int | None = None) -> DataFrame:
     """Quartiles, and whiskers at the extreme values within 1.5 IQR of the box."""
-    q1, median, q3, low_fence, high_fence = _box(frame, column, accuracy)
+    box = _box(frame, column, accuracy)
     value = F.col("v")
-    return _distinct_values(frame, column).agg(
-        q1.alias("q1"),
-        median.alias("median"),
-        q3.alias("q3"),
-        F.least(F.min(F.when(value >= low_fence, value)), q1).alias("whisker_low"),
-        F.greatest(F.max(F.when(value <= high_fence, value)), q3).alias("whisker_high"),
+    return (
+        _distinct_values(frame, column)
+        .agg(
+            F.min(F.when(value >= box.getField("low_fence"), value)).alias("lowest"),
+            F.max(F.when(value <= box.getField("high_fence"), value)).alias("highest"),
+        )
+        .withColumn("box", box)
+        .select(
+            "box.q1",
+            "box.median",
+            "box.q3",
+            F.least("lowest", "box.q1").alias("whisker_low"),
+            F.greatest("highest", "box.q3").alias("whisker_high"),
+        )
     )
 
 
@@ -105,8 +123,11 @@ def boxplot_outliers(
     frame: DataFrame, column: str, accuracy: int | None = None
 ) -> DataFrame:
     """The rows whose value lies beyond the fences of the box plot."""
-    *_, low_fence, high_fence = _box(frame, column, accuracy)
-    return frame.where((F.col(column) < low_fence) | (F.col(column) > high_fence))
+    box = _box(frame, column, accuracy)
+    value = F.col(column)
+    return frame.where(
+        (value < box.getField("low_fence")) | (value > box.getField("high_fence"))
+    )
 
 
 def _distinct_values(frame: DataFrame, column: str) -> DataFrame:
@@ -117,74 +138,107 @@ def _distinct_values(frame: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _box(
-    frame: DataFrame, column: str, accuracy: int | None
-) -> tuple[Column, Column, Column, Column, Column]:
-    box = quartiles(frame, column, accuracy).select(
-        F.struct("q1", "median", "q3")
-    ).scalar()
-    q1, median, q3 = (box.getField(name) for name in ("q1", "median", "q3"))
-    reach = (q3 - q1) * 1.5
-    return q1, median, q3, q1 - reach, q3 + reach
+def _box(frame: DataFrame, column: str, accuracy: int | None) -> Column:
+    """Quartiles and fences as one struct value."""
+    reach = (F.col("q3") - F.col("q1")) * 1.5
+    return (
+        quartiles(frame, column, accuracy)
+        .select(
+            F.struct(
+                *QUARTILES,
+                (F.col("q1") - reach).alias("low_fence"),
+                (F.col("q3") + reach).alias("high_fence"),
+            )
+        )
+        .scalar()
+    )
 
 
 def _exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Exact quantiles from distinct values ``v`` and their counts ``n``.
 
-    The value range is cut into equal slices. Rows below a slice come from the
-    slice totals (at most ``QUANTILE_SLICES`` rows, also the bound on what is
-    broadcast); ranks inside a slice are computed slice by slice in parallel.
+    A quantile lies between the values at two neighbouring ranks. The value range
+    is cut into 4096 slices; slice totals show which slice holds each rank; only
+    those slices are cut again, and once more. The last slices are 2**-36 of the
+    range wide, so ranking the values inside them is a small task: at most one
+    whole number each for 32-bit values. Every step on the way holds at most two
+    slices per quantile times 4096 totals, which also bounds what is broadcast.
     """
-    stats = counts.agg(
+    whole = counts.agg(
         F.struct(
-            F.min("v").alias("low"), F.max("v").alias("high"), F.sum("n").alias("rows")
+            F.min("v").alias("low"),
+            (F.max("v") - F.min("v")).alias("width"),
+            (F.sum("n") - 1).alias("last_rank"),
         )
     ).scalar()
-    low, high = stats.getField("low"), stats.getField("high")
-    last_rank = stats.getField("rows") - 1
-
-    place = F.floor((F.col("v") - low) * QUANTILE_SLICES / (high - low))
-    sliced = counts.withColumn(
-        "slice",
-        F.when(low == high, 0)
-        .otherwise(F.least(F.lit(QUANTILE_SLICES - 1), place))
-        .cast("int"),
+    slices = SLICES_PER_STEP**ZOOM_STEPS
+    place = F.when(F.col("whole.width") == 0, F.lit(0)).otherwise(
+        F.floor((F.col("v") - F.col("whole.low")) / F.col("whole.width") * slices)
     )
-    below = (
-        sliced.groupBy("slice")
-        .agg(F.sum("n").alias("slice_rows"))
+    digits = [f"slice_{step}" for step in range(ZOOM_STEPS)]
+    placed = (
+        counts.withColumn("whole", whole)
         .select(
-            "slice",
-            F.coalesce(
-                F.sum("slice_rows").over(
-                    Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ).alias("rows_below"),
+            "v",
+            "n",
+            F.col("whole.last_rank").alias("last_rank"),
+            F.least(F.lit(slices - 1), place).alias("place"),
         )
-    )
-    inside = Window.partitionBy("slice").orderBy("v")
-    ranked = sliced.join(F.broadcast(below), "slice").select(
-        "v", (F.col("rows_below") + F.sum("n").over(inside)).alias("rows_up_to")
+        .select("v", "n", "last_rank", *_digits(F.col("place"), digits))
     )
 
-    def at_rank(rank: Column) -> Column:
-        return F.min(F.when(F.col("rows_up_to") > rank, F.col("v")))
-
-    neighbours = []
-    for name, share in shares.items():
-        position = last_rank * F.lit(share)
-        neighbours += [
-            at_rank(F.floor(position)).alias(f"{name}_low"),
-            at_rank(F.ceil(position)).alias(f"{name}_high"),
-        ]
-    found = ranked.agg(*neighbours)
+    ranks = [
+        rank(F.col("last_rank") * F.lit(share)).cast("long")
+        for share in shares.values()
+        for rank in (F.floor, F.ceil)
+    ]
+    inside = placed.withColumn("rows_below", F.lit(0).cast("long"))
+    for step in range(ZOOM_STEPS):
+        outer, here = digits[:step], digits[: step + 1]
+        before = Window.partitionBy(*outer).orderBy(digits[step])
+        totals = inside.groupBy(*here, "rows_below", "last_rank").agg(
+            F.sum("n").alias("rows")
+        )
+        chosen = totals.withColumn(
+            "rows_below",
+            F.col("rows_below")
+            + F.coalesce(
+                F.sum("rows").over(before.rowsBetween(Window.unboundedPreceding, -1)),
+                F.lit(0),
+            ),
+        ).where(
+            reduce(
+                lambda left, right: left | right,
+                [
+                    (F.col("rows_below") <= rank)
+                    & (rank < F.col("rows_below") + F.col("rows"))
+                    for rank in ranks
+                ],
+            )
+        )
+        inside = placed.join(F.broadcast(chosen.select(*here, "rows_below")), here)
+
+    up_to = F.sum("n").over(Window.partitionBy(*digits).orderBy("v"))
+    ranked = inside.withColumn("rows_up_to", F.col("rows_below") + up_to)
+    found = ranked.agg(
+        F.max("last_rank").alias("last_rank"),
+        F.array(
+            *(F.min(F.when(F.col("rows_up_to") > rank, F.col("v"))) for rank in ranks)
+        ).alias("at"),
+    )
     results = []
-    for name, share in shares.items():
-        position = last_rank * F.lit(share)
-        below_value, above_value = F.col(f"{name}_low"), F.col(f"{name}_high")
+    for number, (name, share) in enumerate(shares.items()):
+        position = F.col("last_rank") * F.lit(share)
+        below, above = F.col("at")[2 * number], F.col("at")[2 * number + 1]
         fraction = position - F.floor(position)
-        results.append(
-            (below_value + (above_value - below_value) * fraction).alias(name)
-        )
+        results.append((below + (above - below) * fraction).alias(name))
     return found.select(*results)
+
+
+def _digits(place: Column, names: list[str]) -> list[Column]:
+    """A slice number as its digits to base ``SLICES_PER_STEP``, highest first."""
+    powers = range(len(names) - 1, -1, -1)
+    return [
+        F.floor(place / SLICES_PER_STEP**power % SLICES_PER_STEP).cast("int").alias(name)
+        for power, name in zip(powers, names, strict=True)
+    ]

@@ -61,6 +61,10 @@ _DAILY_FIELDS = (
     "user_id, total_steps, round(total_calories, 9) AS total_calories, "
     'avg_heart_rate, "date"'
 )
+# Messages and stored tables carry 32-bit step totals.
+_DAILY_MESSAGE = _DAILY_FIELDS.replace(
+    "total_steps,", "CAST(total_steps AS integer) AS total_steps,", 1
+)
 _ALERT_FIELDS = 'user_id, alert_type, alert_message, "timestamp"'
 
 _USER_STATS = """
@@ -194,7 +198,8 @@ closed AS (
 # A second roll-up with the day cut from the event time instead of the text.
 _WINDOWED_DAILY = """
 windowed AS (
-  SELECT user_id, sum(steps) AS total_steps, sum(calories) AS total_calories,
+  SELECT user_id, CAST(sum(steps) AS bigint) AS total_steps,
+         sum(calories) AS total_calories,
          CAST(round(avg(heart_rate)) AS integer) AS avg_heart_rate,
          strftime(date_trunc('day', t), '%Y-%m-%d') AS "date"
   FROM readings, closing
@@ -233,12 +238,12 @@ flawed AS (
 def oracle() -> dict[str, str]:
     stored = {
         "stored_readings": f"SELECT {_id(_R)}, {_READING_FIELDS} FROM readings",
-        "stored_summaries": f"SELECT {_id(_S)}, {_DAILY_FIELDS} FROM daily",
+        "stored_summaries": f"SELECT {_id(_S)}, {_DAILY_MESSAGE} FROM daily",
         "stored_alerts": f"SELECT {_id(_A)}, {_ALERT_FIELDS} FROM alerts",
     }
     decoded = {
         "decode_readings": f"SELECT {_READING_FIELDS}, '{_R}' AS topic FROM readings",
-        "decode_summaries": f"SELECT {_DAILY_FIELDS}, '{_S}' AS topic FROM daily",
+        "decode_summaries": f"SELECT {_DAILY_MESSAGE}, '{_S}' AS topic FROM daily",
         "decode_alerts": f"SELECT {_ALERT_FIELDS}, '{_A}' AS topic FROM alerts",
     }
     return {
@@ -310,7 +315,7 @@ def oracle() -> dict[str, str]:
             f"SELECT {_READING_FIELDS}, NULL AS total_steps, NULL AS total_calories, "
             'NULL AS avg_heart_rate, NULL AS "date", NULL AS alert_type, '
             f"NULL AS alert_message, '{_R}' AS topic FROM readings "
-            f"UNION ALL BY NAME SELECT {_DAILY_FIELDS}, '{_S}' AS topic FROM daily "
+            f"UNION ALL BY NAME SELECT {_DAILY_MESSAGE}, '{_S}' AS topic FROM daily "
             f"UNION ALL BY NAME SELECT {_ALERT_FIELDS}, '{_A}' AS topic FROM alerts"
         ),
         "topic_routing": _sql(
