@@ -49,10 +49,13 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     counts = _distinct_values(frame, column)
     low, high = F.min("v"), F.max("v")
     margin = F.when(low == high, 0.5).otherwise(0.0)
+    # With the row count among the results, Spark takes them from the counted
+    # values; without, it would scan the table a second time for the extremes.
     scale = counts.agg(
         F.struct(
             (low - margin).alias("start"),
             ((high + margin) - (low - margin)).alias("width"),
+            F.sum("n").alias("rows"),
         )
     ).scalar()
 

@@ -37,11 +37,12 @@ def catalog_sink(writer: str, database: str | None = None) -> Sink:
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
         target = f"{database}.{table}" if database else table
-        (
-            _stamped(rows, writer, batch_id)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .insertInto(target)
+        rows.sparkSession.sql(
+            f"INSERT OVERWRITE TABLE {target} "
+            "PARTITION (writer = :writer, batch_id = :batch_id) "
+            "BY NAME SELECT * FROM {rows}",
+            args={"writer": writer, "batch_id": batch_id},
+            rows=rows,
         )
 
     return write

@@ -1,0 +1,195 @@
+"""Reports on hand-written rows: nulls, ties, empty tables, unreadable times."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pacefold.feeds import ALERTS, READINGS, SUMMARIES
+from pacefold.operators import alerts, readings, rollups, summaries, tables
+from pacefold.plans import batch
+
+
+def reading_rows(spark, *rows):
+    return spark.createDataFrame(list(rows), READINGS.schema)
+
+
+def test_user_stats_keeps_null_users_and_skips_null_values(spark):
+    frame = reading_rows(
+        spark,
+        ("a", 70, 10, 1.0, "2024-01-01 00:00:00"),
+        ("a", None, None, 3.0, "2024-01-01 01:00:00"),
+        (None, 80, 20, None, "2024-01-02 00:00:00"),
+        ("b", None, None, None, None),
+    )
+    assert [tuple(row) for row in readings.user_stats(frame).collect()] == [
+        (None, 1, 20.0, None, 80.0, 20, None),
+        ("a", 2, 10.0, 2.0, 70.0, 10, 3.0),
+        ("b", 1, None, None, None, None, None),
+    ]
+
+
+def test_ties_are_ordered_by_user(spark):
+    frame = reading_rows(
+        spark, *[(user, 70, 10, 1.0, "2024-01-01 00:00:00") for user in "dbca"]
+    )
+    assert [row.user_id for row in readings.top_users(frame, 3).collect()] == ["a", "b", "c"]
+    plan = readings.top_users(frame, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+
+
+def test_unreadable_times_form_the_null_day(spark):
+    frame = reading_rows(
+        spark,
+        ("a", 70, 10, 1.0, "2024-01-02 23:59:59"),
+        ("a", 70, 30, 1.0, "2024-01-01 00:00:00"),
+        ("a", 70, 20, 1.0, "bad"),
+        ("a", 70, 40, 1.0, None),
+    )
+    days = [(row.date, row.avg_steps, row.total_records) for row in readings.daily_trends(frame).collect()]
+    assert days == [(None, 30.0, 2), ("2024-01-01", 30.0, 1), ("2024-01-02", 10.0, 1)]
+    rolled = {row.date: row.total_steps for row in rollups.daily_summary_rollup(frame).collect()}
+    assert rolled == {None: 60, "2024-01-01": 30, "2024-01-02": 10}
+    windows = {row.date: row.total_steps for row in rollups.daily_summary_windows(frame).collect()}
+    assert windows == {"2024-01-01": 30, "2024-01-02": 10}
+
+
+def test_rollup_does_not_overflow(spark):
+    frame = spark.range(3).select(
+        F.lit("a").alias("user_id"),
+        F.lit(70).alias("heart_rate"),
+        F.lit(2_000_000_000).alias("steps"),
+        F.lit(1.0).alias("calories"),
+        F.lit("2024-01-01 00:00:00").alias("timestamp"),
+    )
+    assert rollups.daily_summary_rollup(frame).first().total_steps == 6_000_000_000
+
+
+def test_mean_heart_rate_rounds_half_up(spark):
+    frame = reading_rows(
+        spark,
+        ("a", 70, 1, 1.0, "2024-01-01 00:00:00"),
+        ("a", 71, 1, 1.0, "2024-01-01 00:00:00"),
+    )
+    assert rollups.daily_summary_rollup(frame).first().avg_heart_rate == 71
+
+
+def test_global_reports_of_nothing_are_one_row_of_nulls(spark):
+    assert [tuple(r) for r in readings.health_snapshot(reading_rows(spark)).collect()] == [
+        (None, None, None)
+    ]
+    nothing = spark.createDataFrame([], SUMMARIES.schema)
+    assert [tuple(r) for r in summaries.overall_daily_stats(nothing).collect()] == [
+        (None, None, None, None)
+    ]
+    assert readings.user_stats(reading_rows(spark)).collect() == []
+
+
+def test_alert_types_are_counted_once_each(spark):
+    frame = spark.createDataFrame(
+        [
+            ("a", "x", "m", "2024-01-01 00:00:00"),
+            ("a", "x", "m", "2024-01-01 00:00:01"),
+            ("a", "x", "m", "2024-01-01 00:00:02"),
+            ("b", "x", "m", "2024-01-01 00:00:03"),
+            ("b", "y", "m", "2024-01-01 00:00:03"),
+            ("b", None, "m", "2024-01-01 00:00:03"),
+            ("b", None, "m", "bad"),
+            ("c", None, None, None),
+        ],
+        ALERTS.schema,
+    )
+    assert [tuple(r) for r in alerts.user_alert_distribution(frame).collect()] == [
+        ("b", 4, 2, 2),
+        ("a", 3, 3, 1),
+        ("c", 1, 0, 0),
+    ]
+    assert [tuple(r) for r in alerts.alert_type_distribution(frame).collect()] == [
+        ("x", 4),
+        (None, 3),
+        ("y", 1),
+    ]
+    latest = [(r.user_id, r.alert_type, r.timestamp) for r in alerts.recent_alerts(frame, 3).collect()]
+    assert latest == [
+        ("b", None, "2024-01-01 00:00:03"),
+        ("b", "x", "2024-01-01 00:00:03"),
+        ("b", "y", "2024-01-01 00:00:03"),
+    ]
+    assert alerts.recent_alerts(frame, 7).collect()[-1].timestamp == "bad"
+
+
+def test_row_counts_and_preview(spark):
+    frame = reading_rows(spark, *[("a", 1, 1, 1.0, None)] * 7)
+    counts = tables.table_row_counts({"readings": frame, "none": reading_rows(spark)})
+    assert sorted(map(tuple, counts.collect())) == [("none", 0), ("readings", 7)]
+    assert tables.preview(frame).count() == 5
+
+
+def uneven_tables(spark):
+    """Tables in which one user holds a third of the rows; some fields are null."""
+    ids = spark.range(3000)
+    user = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, F.concat(F.lit("u"), F.col("id") % 41))
+    time = F.date_format(F.timestamp_seconds(1_704_067_200 + F.col("id") * 977), "yyyy-MM-dd HH:mm:ss")
+    return {
+        "readings": ids.select(
+            user.alias("user_id"),
+            F.when(F.col("id") % 7 != 0, F.col("id") % 91 + 60).cast("int").alias("heart_rate"),
+            F.when(F.col("id") % 41 != 5, F.col("id") % 500).cast("int").alias("steps"),
+            (F.col("id") % 97 / 4).alias("calories"),
+            F.when(F.col("id") % 11 != 0, time).otherwise("bad").alias("timestamp"),
+        ),
+        "summaries": ids.select(
+            user.alias("user_id"),
+            F.when(F.col("id") % 13 != 0, F.col("id") % 700).cast("int").alias("total_steps"),
+            (F.col("id") % 89 / 8).alias("total_calories"),
+            (F.col("id") % 31 + 70).cast("int").alias("avg_heart_rate"),
+            F.substring(time, 1, 10).alias("date"),
+        ),
+        "alerts": ids.select(
+            user.alias("user_id"),
+            F.when(F.col("id") % 5 != 0, F.concat(F.lit("t"), F.col("id") % 4)).alias("alert_type"),
+            F.lit("m").alias("alert_message"),
+            time.alias("timestamp"),
+        ),
+    }
+
+
+DIRECT = {
+    "user_stats": ("readings", readings.user_stats),
+    "daily_trends": ("readings", readings.daily_trends),
+    "user_performance": ("summaries", summaries.user_performance),
+    "overall_daily_stats": ("summaries", summaries.overall_daily_stats),
+    "alert_type_distribution": ("alerts", alerts.alert_type_distribution),
+    "user_alert_distribution": ("alerts", alerts.user_alert_distribution),
+}
+
+
+def test_batch_job_equals_the_single_reports(spark, tmp_path):
+    stored = uneven_tables(spark)
+    written = batch.run_batch(stored, str(tmp_path))
+    for name, (table, report) in DIRECT.items():
+        direct = report(stored[table])
+        ours = spark.read.parquet(written[name])
+        assert ours.columns == direct.columns
+        for got, wanted in zip(
+            sorted(map(tuple, ours.collect()), key=repr),
+            sorted(map(tuple, direct.collect()), key=repr),
+            strict=True,
+        ):
+            assert got == pytest.approx(wanted), name
+    counts = spark.read.parquet(written["table_row_counts"])
+    assert {row.row_count for row in counts.collect()} == {3000}
+    assert set(written) >= {
+        "chart_heart_rate_histogram",
+        "chart_steps_calories",
+        "chart_steps_boxplot",
+        "chart_steps_outliers",
+        "chart_daily_steps_calories",
+        "chart_alert_types",
+        "chart_user_alerts",
+    }
+
+
+def test_batch_job_on_empty_tables(spark, tmp_path):
+    empty = {name: frame.limit(0) for name, frame in uneven_tables(spark).items()}
+    written = batch.run_batch(empty, str(tmp_path))
+    counts = spark.read.parquet(written["table_row_counts"]).collect()
+    assert [row.row_count for row in counts] == [0, 0, 0]
