@@ -2,8 +2,9 @@
 
 Each numeric chart first counts equal values. That step combines copies inside
 the map tasks, so a value that holds most rows costs one row per task, and every
-later step works on distinct values. Spark plans the repeated use of the counts
-as one scan and one shuffle.
+later step works on distinct values. Spark runs the repeated use of the counts as
+one scan and one shuffle, provided that each use needs the counts too: extremes
+alone it would take from a second scan.
 """
 
 from __future__ import annotations
@@ -49,8 +50,6 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     counts = _distinct_values(frame, column)
     low, high = F.min("v"), F.max("v")
     margin = F.when(low == high, 0.5).otherwise(0.0)
-    # With the row count among the results, Spark takes them from the counted
-    # values; without, it would scan the table a second time for the extremes.
     scale = counts.agg(
         F.struct(
             (low - margin).alias("start"),
@@ -110,7 +109,10 @@ def boxplot(frame: DataFrame, column: str, accuracy: int | None = None) -> DataF
         .agg(
             F.min(F.when(value >= box.getField("low_fence"), value)).alias("lowest"),
             F.max(F.when(value <= box.getField("high_fence"), value)).alias("highest"),
+            F.sum("n").alias("rows"),
         )
+        # Always true; keeps the counts in use, see above.
+        .where(F.col("rows").isNull() | (F.col("rows") > 0))
         .withColumn("box", box)
         .select(
             "box.q1",
@@ -239,9 +241,15 @@ def _exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
 
 
 def _digits(place: Column, names: list[str]) -> list[Column]:
-    """A slice number as its digits to base ``SLICES_PER_STEP``, highest first."""
+    """A slice number as its digits to base ``SLICES_PER_STEP``, highest first.
+
+    Digits are declared never null: joins on them then add no filter that Spark
+    would push below the counting of values, which it could no longer share.
+    """
     powers = range(len(names) - 1, -1, -1)
     return [
-        F.floor(place / SLICES_PER_STEP**power % SLICES_PER_STEP).cast("int").alias(name)
+        F.coalesce(
+            F.floor(place / SLICES_PER_STEP**power % SLICES_PER_STEP).cast("int"), F.lit(0)
+        ).alias(name)
         for power, name in zip(powers, names, strict=True)
     ]

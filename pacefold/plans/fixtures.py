@@ -33,7 +33,7 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
         _events(spark, sf_dir).select(
             _user(),
             (60 + F.col("event_id") % 91).cast("int").alias("heart_rate"),
-            (F.get_json_object("props", "$.k").cast("int") * 5).alias("steps"),
+            (_prop_k().try_cast("int") * 5).alias("steps"),
             F.col("value").alias("calories"),
             timestamp_text(F.col("ts")).alias("timestamp"),
             F.col("event_id").alias("offset"),
@@ -109,6 +109,11 @@ def _user():
     return F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id")
 
 
+def _prop_k():
+    # Several times faster than parsing the whole JSON text for its one number.
+    return F.regexp_extract("props", '"k": *([0-9]+)', 1)
+
+
 def _positioned(rows: DataFrame) -> DataFrame:
     return rows.withColumn(
         "partition", F.pmod("offset", F.lit(TOPIC_PARTITIONS)).cast("int")

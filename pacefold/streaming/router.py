@@ -9,21 +9,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
-from pacefold.operators.alerts import alert_view, recent_alerts
+from pacefold.operators.alerts import recent_alerts
 from pacefold.operators.readings import batch_user_stats, health_snapshot
 from pacefold.operators.summaries import daily_summary_view
+from pacefold.operators.tables import preview
 from pacefold.sinks.tables import Sink
 
 Report = Callable[[DataFrame], DataFrame]
 
+
+def summary_preview(summaries: DataFrame) -> DataFrame:
+    """A look at a batch of summaries: any 20 of them."""
+    return preview(daily_summary_view(summaries), 20)
+
+
 #: Per-batch reports of each feed. They see the current batch only.
 BATCH_REPORTS: dict[str, dict[str, Report]] = {
     READINGS.name: {
         "batch_user_stats": batch_user_stats,
         "health_snapshot": health_snapshot,
     },
-    SUMMARIES.name: {"daily_summary_view": daily_summary_view},
-    ALERTS.name: {"alert_view": alert_view, "recent_alerts": recent_alerts},
+    SUMMARIES.name: {"summary_preview": summary_preview},
+    ALERTS.name: {"recent_alerts": recent_alerts},
 }
 
 #: Table of row counts per batch and topic, unknown topics included.
