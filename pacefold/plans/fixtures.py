@@ -21,6 +21,9 @@ from pacefold.sinks.topics import publish_to_files
 
 TOPIC_PARTITIONS = 4
 
+# Fixed value: decimals of calories in messages.
+CALORIE_DECIMALS = 2
+
 _ALERT_EVENTS = {
     "error": HIGH_HEART_RATE,
     "view": LOW_ACTIVITY,
@@ -47,7 +50,7 @@ def summaries(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy("user_id", event_date().alias("day"))
         .agg(
             F.sum("steps").alias("total_steps"),
-            F.sum("calories").alias("total_calories"),
+            F.round(F.sum("calories"), CALORIE_DECIMALS).alias("total_calories"),
             F.round(F.avg("heart_rate")).cast("int").alias("avg_heart_rate"),
             F.min("offset").alias("offset"),
         )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pacefold.feeds import ALERTS, READINGS, SUMMARIES
 from pacefold.functions.messages import ALERT_MESSAGES
-from pacefold.plans.fixtures import TOPIC_PARTITIONS
+from pacefold.plans.fixtures import CALORIE_DECIMALS, TOPIC_PARTITIONS
 from pacefold.plans.queries import STEP_GOAL
 
 _R, _S, _A = READINGS.topic, SUMMARIES.topic, ALERTS.topic
@@ -23,7 +23,8 @@ readings AS (
 ),
 daily AS (
   SELECT user_id, CAST(sum(steps) AS bigint) AS total_steps,
-         sum(calories) AS total_calories,
+         round(sum(calories), {CALORIE_DECIMALS}) AS total_calories,
+         sum(calories) AS calories_sum,
          CAST(round(avg(heart_rate)) AS integer) AS avg_heart_rate,
          substr("timestamp", 1, 10) AS "date", min(k) AS k
   FROM readings GROUP BY user_id, substr("timestamp", 1, 10)
@@ -61,6 +62,11 @@ _DAILY_FIELDS = (
     "user_id, total_steps, round(total_calories, 9) AS total_calories, "
     'avg_heart_rate, "date"'
 )
+# The roll-up's own result, with the sum as it is.
+_ROLLUP_FIELDS = (
+    "user_id, total_steps, round(calories_sum, 9) AS total_calories, "
+    'avg_heart_rate, "date"'
+)
 # Messages and stored tables carry 32-bit step totals.
 _DAILY_MESSAGE = _DAILY_FIELDS.replace(
     "total_steps,", "CAST(total_steps AS integer) AS total_steps,", 1
@@ -210,14 +216,14 @@ compared AS (
   SELECT coalesce(b.user_id, s.user_id) AS user_id,
          coalesce(b."date", s."date") AS "date",
          b.total_steps AS batch_total_steps, s.total_steps AS stream_total_steps,
-         b.total_calories AS batch_total_calories,
+         b.calories_sum AS batch_total_calories,
          s.total_calories AS stream_total_calories,
          b.avg_heart_rate AS batch_avg_heart_rate,
          s.avg_heart_rate AS stream_avg_heart_rate,
          b."date" IS NOT NULL AS in_batch, s."date" IS NOT NULL AS in_stream,
          b.total_steps IS NOT DISTINCT FROM s.total_steps
            AND b.avg_heart_rate IS NOT DISTINCT FROM s.avg_heart_rate
-           AND abs(b.total_calories - s.total_calories) < 0.000001 AS matches
+           AND abs(b.calories_sum - s.total_calories) < 0.000001 AS matches
   FROM closed b FULL JOIN windowed s
     ON b.user_id = s.user_id AND b."date" = s."date"
 )
@@ -278,9 +284,9 @@ def oracle() -> dict[str, str]:
         "health_snapshot": _sql(_HEALTH),
         "stream_health_snapshot": _sql(_HEALTH),
         "daily_summary_view": _sql(f"SELECT {_DAILY_FIELDS} FROM daily"),
-        "daily_summary_rollup": _sql(f"SELECT {_DAILY_FIELDS} FROM daily"),
+        "daily_summary_rollup": _sql(f"SELECT {_ROLLUP_FIELDS} FROM daily"),
         "stream_daily_summary": _sql(
-            f"SELECT {_DAILY_FIELDS} FROM closed", _CLOSED_DAILY
+            f"SELECT {_ROLLUP_FIELDS} FROM closed", _CLOSED_DAILY
         ),
         "alert_view": _sql(f"SELECT {_ALERT_FIELDS} FROM alerts"),
         "recent_alerts": _sql(
