@@ -37,7 +37,9 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     parser.add_argument(
         "--max-offsets", type=int, default=10_000_000, help="messages per batch and topic"
     )
-    parser.add_argument("--once", action="store_true", help="stop when caught up")
+    pace = parser.add_mutually_exclusive_group()
+    pace.add_argument("--once", action="store_true", help="stop when caught up")
+    pace.add_argument("--every", default="1 minute", help="interval between batches")
     add_options(parser, "jdbc", "store the tables in a database; url, driver, user, ...")
     add_options(parser, "kafka", "further Kafka options")
     return parser.parse_args(arguments)
@@ -62,7 +64,7 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
         combined_stream(spark, source),
         router,
         options.checkpoint,
-        AVAILABLE_NOW if options.once else None,
+        AVAILABLE_NOW if options.once else {"processingTime": options.every},
         options.writer,
     )
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pacefold.feeds import ALERTS
+from pacefold.functions.measures import row_count
 from pacefold.functions.messages import HIGH_HEART_RATE, alert_message
 from pacefold.functions.times import date_text, ensure_event_time
 
@@ -58,7 +59,7 @@ def stream_sessions(readings: DataFrame, gap_seconds: int = 3600) -> DataFrame:
     return (
         ensure_event_time(readings)
         .groupBy("user_id", F.session_window("event_time", f"{gap_seconds} seconds"))
-        .agg(F.count("*").alias("readings"))
+        .agg(row_count("readings"))
         .select(
             "user_id",
             F.col("session_window.start").alias("session_start"),
@@ -134,7 +135,7 @@ def _slots(readings: DataFrame, slot_seconds: int) -> DataFrame:
         .agg(
             F.min("event_time").alias("first"),
             F.max("event_time").alias("last"),
-            F.count("*").alias("readings"),
+            row_count("readings"),
         )
         .where(F.col("first").isNotNull())
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS
+from pacefold.functions.measures import row_count
 from pacefold.functions.times import event_time
 
 
@@ -33,7 +34,7 @@ def alert_type_distribution(alerts: DataFrame) -> DataFrame:
     """Alerts per type, commonest first; alerts without a type are a group too."""
     return (
         alerts.groupBy("alert_type")
-        .agg(F.count("*").alias("count"))
+        .agg(row_count("count"))
         .orderBy(F.desc("count"), "alert_type")
     )
 
@@ -45,7 +46,7 @@ def user_alert_distribution(alerts: DataFrame) -> DataFrame:
     second step sees one row per type.
     """
     return user_distribution(
-        alerts.groupBy("user_id", "alert_type").agg(F.count("*").alias("rows"))
+        alerts.groupBy("user_id", "alert_type").agg(row_count("rows"))
     )
 
 

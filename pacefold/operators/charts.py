@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pacefold.functions.measures import row_count
+
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 #: How exact quantiles narrow down the value range: slices per step, and steps.
@@ -27,7 +29,7 @@ def value_counts(frame: DataFrame, column: str) -> DataFrame:
     return (
         frame.where(F.col(column).isNotNull())
         .groupBy(F.col(column).alias("key"))
-        .agg(F.count("*").alias("count"))
+        .agg(row_count("count"))
         .orderBy(F.desc("count"), "key")
     )
 
@@ -37,7 +39,7 @@ def point_counts(frame: DataFrame, x: str, y: str) -> DataFrame:
     return (
         frame.where(F.col(x).isNotNull() & F.col(y).isNotNull())
         .groupBy(F.col(x).alias("x"), F.col(y).alias("y"))
-        .agg(F.count("*").alias("count"))
+        .agg(row_count("count"))
     )
 
 
@@ -47,7 +49,7 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     The last bin includes its right edge, empty bins are listed, and a constant
     column gets a range one unit wide around its value.
     """
-    counts = _distinct_values(frame, column)
+    counts = distinct_values(frame, column)
     low, high = F.min("v"), F.max("v")
     margin = F.when(low == high, 0.5).otherwise(0.0)
     scale = counts.agg(
@@ -97,23 +99,34 @@ def quartiles(frame: DataFrame, column: str, accuracy: int | None = None) -> Dat
                 for place, name in enumerate(QUARTILES)
             )
         )
-    return _exact_quantiles(_distinct_values(frame, column), QUARTILES)
+    return _exact_quantiles(distinct_values(frame, column), QUARTILES)
 
 
 def boxplot(frame: DataFrame, column: str, accuracy: int | None = None) -> DataFrame:
-    """Quartiles, and whiskers at the extreme values within 1.5 IQR of the box."""
-    box = _box(frame, column, accuracy)
+    """Quartiles, and whiskers at the extreme values within 1.5 IQR of the box.
+
+    ``accuracy`` switches to approximate quartiles.
+    """
+    box = quartiles(frame, column, accuracy) if accuracy else None
+    return boxplot_of(distinct_values(frame, column), box)
+
+
+def boxplot_of(counts: DataFrame, box: DataFrame | None = None) -> DataFrame:
+    """The same from counted values ``v``, ``n``, and from quartiles if known."""
+    if box is None:
+        box = _exact_quantiles(counts, QUARTILES)
+    low, high = _fences()
+    edges = box.select(F.struct(*QUARTILES, low, high)).scalar()
     value = F.col("v")
     return (
-        _distinct_values(frame, column)
-        .agg(
-            F.min(F.when(value >= box.getField("low_fence"), value)).alias("lowest"),
-            F.max(F.when(value <= box.getField("high_fence"), value)).alias("highest"),
+        counts.agg(
+            F.min(F.when(value >= edges.getField("low_fence"), value)).alias("lowest"),
+            F.max(F.when(value <= edges.getField("high_fence"), value)).alias("highest"),
             F.sum("n").alias("rows"),
         )
         # Always true; keeps the counts in use, see above.
         .where(F.col("rows").isNull() | (F.col("rows") > 0))
-        .withColumn("box", box)
+        .withColumn("box", edges)
         .select(
             "box.q1",
             "box.median",
@@ -128,35 +141,29 @@ def boxplot_outliers(
     frame: DataFrame, column: str, accuracy: int | None = None
 ) -> DataFrame:
     """The rows whose value lies beyond the fences of the box plot."""
-    box = _box(frame, column, accuracy)
-    value = F.col(column)
-    return frame.where(
-        (value < box.getField("low_fence")) | (value > box.getField("high_fence"))
-    )
+    return beyond_fences(frame, column, quartiles(frame, column, accuracy))
+
 
+def beyond_fences(frame: DataFrame, column: str, box: DataFrame) -> DataFrame:
+    """Rows beyond the fences of a one-row frame with ``q1`` and ``q3``."""
+    fences = box.select(F.struct(*_fences())).scalar()
+    low, high = fences.getField("low_fence"), fences.getField("high_fence")
+    return frame.where((F.col(column) < low) | (F.col(column) > high))
 
-def _distinct_values(frame: DataFrame, column: str) -> DataFrame:
+
+def distinct_values(frame: DataFrame, column: str) -> DataFrame:
+    """Non-null values ``v`` of a numeric column, each with its row count ``n``."""
     return (
         frame.where(F.col(column).isNotNull())
         .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(F.count("*").alias("n"))
+        .agg(row_count("n"))
     )
 
 
-def _box(frame: DataFrame, column: str, accuracy: int | None) -> Column:
-    """Quartiles and fences as one struct value."""
+def _fences() -> tuple[Column, Column]:
     reach = (F.col("q3") - F.col("q1")) * 1.5
-    return (
-        quartiles(frame, column, accuracy)
-        .select(
-            F.struct(
-                *QUARTILES,
-                (F.col("q1") - reach).alias("low_fence"),
-                (F.col("q3") + reach).alias("high_fence"),
-            )
-        )
-        .scalar()
-    )
+    low, high = F.col("q1") - reach, F.col("q3") + reach
+    return low.alias("low_fence"), high.alias("high_fence")
 
 
 def _exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:

@@ -1,27 +1,31 @@
-"""Reports over readings."""
+"""Reports over readings.
+
+All are plain aggregates: Spark combines rows inside the map tasks, so a user or a
+day that holds a large share of the readings costs no more than any other.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pacefold.functions.measures import measures, row_count
 from pacefold.functions.times import date_text, event_date
 
 
+def _activity_means() -> list[Column]:
+    return measures(
+        F.avg, avg_steps="steps", avg_calories="calories", avg_heart_rate="heart_rate"
+    )
+
+
 def user_stats(readings: DataFrame) -> DataFrame:
     """Per-user totals, means and maxima, most active users first."""
-    return (
-        readings.groupBy("user_id")
-        .agg(
-            F.count("*").alias("total_records"),
-            F.avg("steps").alias("avg_steps"),
-            F.avg("calories").alias("avg_calories"),
-            F.avg("heart_rate").alias("avg_heart_rate"),
-            F.max("steps").alias("max_steps"),
-            F.max("calories").alias("max_calories"),
-        )
-        .orderBy(F.desc_nulls_last("avg_steps"), "user_id")
+    peaks = measures(F.max, max_steps="steps", max_calories="calories")
+    per_user = readings.groupBy("user_id").agg(
+        row_count("total_records"), *_activity_means(), *peaks
     )
+    return per_user.orderBy(F.desc_nulls_last("avg_steps"), "user_id")
 
 
 def top_users(readings: DataFrame, k: int = 20) -> DataFrame:
@@ -35,38 +39,27 @@ def daily_trends(readings: DataFrame) -> DataFrame:
     Groups on the 4-byte date and formats only the grouped rows. Readings whose
     timestamp cannot be read form the null-date group.
     """
+    per_day = readings.groupBy(event_date().alias("day")).agg(
+        *_activity_means(), row_count("total_records")
+    )
     return (
-        readings.groupBy(event_date().alias("day"))
-        .agg(
-            F.avg("steps").alias("avg_steps"),
-            F.avg("calories").alias("avg_calories"),
-            F.avg("heart_rate").alias("avg_heart_rate"),
-            F.count("*").alias("total_records"),
-        )
-        .orderBy("day")
-        .select(
-            date_text(F.col("day")).alias("date"),
-            "avg_steps",
-            "avg_calories",
-            "avg_heart_rate",
-            "total_records",
-        )
+        per_day.orderBy("day")
+        .select(date_text(F.col("day")).alias("date"), "*")
+        .drop("day")
     )
 
 
 def batch_user_stats(readings: DataFrame) -> DataFrame:
     """Per-user means of one batch of readings."""
-    return readings.groupBy("user_id").agg(
-        F.avg("steps").alias("avg_steps"),
-        F.avg("calories").alias("avg_calories"),
-        F.avg("heart_rate").alias("avg_heart_rate"),
-    )
+    return readings.groupBy("user_id").agg(*_activity_means())
 
 
 def health_snapshot(readings: DataFrame) -> DataFrame:
     """Mean, highest and lowest heart rate; one row, of nulls if there is no input."""
+    functions = {"avg": F.avg, "max": F.max, "min": F.min}
     return readings.agg(
-        F.avg("heart_rate").alias("avg_heart_rate"),
-        F.max("heart_rate").alias("max_heart_rate"),
-        F.min("heart_rate").alias("min_heart_rate"),
+        *(
+            function("heart_rate").alias(f"{name}_heart_rate")
+            for name, function in functions.items()
+        )
     )

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.feeds import SUMMARIES
+from pacefold.functions.measures import measures, row_count
 from pacefold.functions.times import date_text, ensure_event_time
 
 
 def _summary_measures() -> list[Column]:
     # total_steps stays 64-bit: a busy user-day must not overflow the job.
     return [
-        F.sum("steps").alias("total_steps"),
-        F.sum("calories").alias("total_calories"),
+        *measures(F.sum, total_steps="steps", total_calories="calories"),
         F.round(F.avg("heart_rate")).cast("int").alias("avg_heart_rate"),
     ]
 
@@ -52,8 +52,8 @@ def periodic_user_stats(readings: DataFrame, period: str = "1 hour") -> DataFram
         ensure_event_time(readings)
         .groupBy("user_id", F.window("event_time", period).alias("period"))
         .agg(
-            F.count("*").alias("readings"),
-            F.avg("heart_rate").alias("avg_heart_rate"),
+            row_count("readings"),
+            *measures(F.avg, avg_heart_rate="heart_rate"),
         )
         .select(
             "user_id",

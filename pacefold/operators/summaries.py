@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.feeds import SUMMARIES
+from pacefold.functions.measures import measures
 
 
 def daily_summary_view(summaries: DataFrame) -> DataFrame:
@@ -15,22 +16,22 @@ def daily_summary_view(summaries: DataFrame) -> DataFrame:
 
 def user_performance(summaries: DataFrame) -> DataFrame:
     """Per-user means over days, each day weighing the same; best users first."""
-    return (
-        summaries.groupBy("user_id")
-        .agg(
-            F.avg("total_steps").alias("avg_daily_steps"),
-            F.avg("total_calories").alias("avg_daily_calories"),
-            F.avg("avg_heart_rate").alias("avg_heart_rate"),
-        )
-        .orderBy(F.desc_nulls_last("avg_daily_steps"), "user_id")
+    means = measures(
+        F.avg,
+        avg_daily_steps="total_steps",
+        avg_daily_calories="total_calories",
+        avg_heart_rate="avg_heart_rate",
     )
+    per_user = summaries.groupBy("user_id").agg(*means)
+    return per_user.orderBy(F.desc_nulls_last("avg_daily_steps"), "user_id")
 
 
 def overall_daily_stats(summaries: DataFrame) -> DataFrame:
     """Means and maximum over all user-days; one row, of nulls if there is no input."""
-    return summaries.agg(
-        F.avg("total_steps").alias("avg_total_steps"),
-        F.max("total_steps").alias("max_total_steps"),
-        F.avg("total_calories").alias("avg_total_calories"),
-        F.avg("avg_heart_rate").alias("overall_avg_heart_rate"),
+    means = measures(
+        F.avg,
+        avg_total_steps="total_steps",
+        avg_total_calories="total_calories",
+        overall_avg_heart_rate="avg_heart_rate",
     )
+    return summaries.agg(*means, *measures(F.max, max_total_steps="total_steps"))

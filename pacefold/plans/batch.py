@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pacefold.functions.measures import measures, row_count
 from pacefold.functions.times import date_text, event_date
 from pacefold.operators import alerts as alert_reports
 from pacefold.operators import charts
@@ -36,6 +37,8 @@ def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     activity = written(condense_readings(readings), "activity")
     performance = written(condense_summaries(summaries), "performance")
     alert_counts = written(condense_alerts(alerts), "alert-counts")
+    step_counts = written(charts.distinct_values(summaries, "total_steps"), "steps")
+    step_box = written(charts.boxplot_of(step_counts), "steps-box")
     return {
         "table_row_counts": _row_counts(activity, performance, alert_counts),
         "user_stats": user_stats(activity),
@@ -46,9 +49,9 @@ def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         "user_alert_distribution": user_alert_distribution(alert_counts),
         "chart_heart_rate_histogram": charts.histogram(readings, "heart_rate"),
         "chart_steps_calories": charts.point_counts(readings, "steps", "calories"),
-        "chart_steps_boxplot": charts.boxplot(summaries, "total_steps"),
-        "chart_steps_outliers": charts.boxplot_outliers(
-            summaries, "total_steps"
+        "chart_steps_boxplot": step_box,
+        "chart_steps_outliers": charts.beyond_fences(
+            summaries, "total_steps", step_box
         ).select("user_id", "date", "total_steps"),
         "chart_daily_steps_calories": charts.point_counts(
             summaries, "total_steps", "total_calories"
@@ -68,7 +71,7 @@ def written(frame: DataFrame, label: str) -> DataFrame:
 def condense_readings(readings: DataFrame) -> DataFrame:
     """Counts, sums and maxima per user and day."""
     return readings.groupBy("user_id", event_date().alias("day")).agg(
-        F.count("*").alias("rows"),
+        row_count("rows"),
         *_sums("steps", "calories", "heart_rate"),
         F.max("steps").alias("max_steps"),
         F.max("calories").alias("max_calories"),
@@ -78,7 +81,7 @@ def condense_readings(readings: DataFrame) -> DataFrame:
 def condense_summaries(summaries: DataFrame) -> DataFrame:
     """Counts, sums and maximum per user."""
     return summaries.groupBy("user_id").agg(
-        F.count("*").alias("rows"),
+        row_count("rows"),
         *_sums("total_steps", "total_calories", "avg_heart_rate"),
         F.max("total_steps").alias("max_total_steps"),
     )
@@ -86,57 +89,49 @@ def condense_summaries(summaries: DataFrame) -> DataFrame:
 
 def condense_alerts(alerts: DataFrame) -> DataFrame:
     """Counts per user and alert type."""
-    return alerts.groupBy("user_id", "alert_type").agg(F.count("*").alias("rows"))
+    return alerts.groupBy("user_id", "alert_type").agg(row_count("rows"))
 
 
 def user_stats(activity: DataFrame) -> DataFrame:
-    return (
-        activity.groupBy("user_id")
-        .agg(
-            F.sum("rows").alias("total_records"),
-            _mean("steps").alias("avg_steps"),
-            _mean("calories").alias("avg_calories"),
-            _mean("heart_rate").alias("avg_heart_rate"),
-            F.max("max_steps").alias("max_steps"),
-            F.max("max_calories").alias("max_calories"),
-        )
-        .orderBy(F.desc_nulls_last("avg_steps"), "user_id")
+    per_user = activity.groupBy("user_id").agg(
+        F.sum("rows").alias("total_records"),
+        *_activity_means(),
+        *measures(F.max, max_steps="max_steps", max_calories="max_calories"),
     )
+    return per_user.orderBy(F.desc_nulls_last("avg_steps"), "user_id")
 
 
 def daily_trends(activity: DataFrame) -> DataFrame:
+    per_day = activity.groupBy("day").agg(
+        *_activity_means(), F.sum("rows").alias("total_records")
+    )
     return (
-        activity.groupBy("day")
-        .agg(
-            _mean("steps").alias("avg_steps"),
-            _mean("calories").alias("avg_calories"),
-            _mean("heart_rate").alias("avg_heart_rate"),
-            F.sum("rows").alias("total_records"),
-        )
-        .orderBy("day")
-        .withColumn("date", date_text(F.col("day")))
-        .select("date", "avg_steps", "avg_calories", "avg_heart_rate", "total_records")
+        per_day.orderBy("day")
+        .select(date_text(F.col("day")).alias("date"), "*")
+        .drop("day")
     )
 
 
 def user_performance(performance: DataFrame) -> DataFrame:
-    return (
-        performance.groupBy("user_id")
-        .agg(
-            _mean("total_steps").alias("avg_daily_steps"),
-            _mean("total_calories").alias("avg_daily_calories"),
-            _mean("avg_heart_rate").alias("avg_heart_rate"),
-        )
-        .orderBy(F.desc_nulls_last("avg_daily_steps"), "user_id")
+    means = measures(
+        _mean,
+        avg_daily_steps="total_steps",
+        avg_daily_calories="total_calories",
+        avg_heart_rate="avg_heart_rate",
     )
+    per_user = performance.groupBy("user_id").agg(*means)
+    return per_user.orderBy(F.desc_nulls_last("avg_daily_steps"), "user_id")
 
 
 def overall_daily_stats(performance: DataFrame) -> DataFrame:
+    means = measures(
+        _mean,
+        avg_total_steps="total_steps",
+        avg_total_calories="total_calories",
+        overall_avg_heart_rate="avg_heart_rate",
+    )
     return performance.agg(
-        _mean("total_steps").alias("avg_total_steps"),
-        F.max("max_total_steps").alias("max_total_steps"),
-        _mean("total_calories").alias("avg_total_calories"),
-        _mean("avg_heart_rate").alias("overall_avg_heart_rate"),
+        *means, *measures(F.max, max_total_steps="max_total_steps")
     )
 
 
@@ -166,6 +161,12 @@ def _row_counts(*condensed: DataFrame) -> DataFrame:
     return table_row_counts(named, F.coalesce(F.sum("rows"), F.lit(0)))
 
 
+def _activity_means() -> list[Column]:
+    return measures(
+        _mean, avg_steps="steps", avg_calories="calories", avg_heart_rate="heart_rate"
+    )
+
+
 def _sums(*columns: str) -> list[Column]:
     return [
         measure

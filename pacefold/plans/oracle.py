@@ -315,7 +315,14 @@ def oracle() -> dict[str, str]:
             """SELECT '{"user_id":"' || user_id || '","heart_rate":' || heart_rate """
             """|| ',"steps":' || steps || ',"calories":' || calories """
             """|| ',"timestamp":"' || "timestamp" || '"}' AS value, """
-            f"'{_R}' AS topic FROM readings"
+            f"'{_R}' AS topic FROM readings "
+            """UNION ALL SELECT '{"user_id":"' || user_id || '","total_steps":' """
+            """|| total_steps || ',"total_calories":' || total_calories """
+            """|| ',"avg_heart_rate":' || avg_heart_rate """
+            f"""|| ',"date":"' || "date" || '"}}', '{_S}' FROM daily """
+            """UNION ALL SELECT '{"user_id":"' || user_id || '","alert_type":"' """
+            """|| alert_type || '","alert_message":"' || alert_message """
+            f"""|| '","timestamp":"' || "timestamp" || '"}}', '{_A}' FROM alerts"""
         ),
         "combined_stream": _sql(
             f"SELECT {_READING_FIELDS}, NULL AS total_steps, NULL AS total_calories, "

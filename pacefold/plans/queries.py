@@ -28,7 +28,7 @@ from pacefold.operators import (
     tables,
 )
 from pacefold.plans import batch, fixtures
-from pacefold.session import new_scratch
+from pacefold.session import new_scratch, require_settings
 from pacefold.sinks.tables import create_parquet_tables, parquet_sink
 from pacefold.sinks.topics import encode_messages
 from pacefold.sources.tables import parquet_reader
@@ -39,6 +39,7 @@ from pacefold.sources.topics import (
     message_id,
     quarantine,
     read_topic,
+    union_feeds,
 )
 from pacefold.streaming.router import Router, routing_totals
 from pacefold.streaming.run import AVAILABLE_NOW, run_to_table, start_batches
@@ -60,7 +61,7 @@ def _comparable(query: Query) -> Query:
     """Pin the zone, round doubles and spell out times, as the oracle does."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        require_settings(spark)
         result = query(spark, sf_dir)
         return result.select(*(_comparable_column(f) for f in result.schema.fields))
 
@@ -109,7 +110,8 @@ def _decode(feed: Feed) -> Query:
 
 
 def _publish_envelope(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encode_messages(_feed(spark, sf_dir, READINGS), READINGS)
+    encoded = [encode_messages(_feed(spark, sf_dir, feed), feed) for feed in FEEDS]
+    return union_feeds(encoded)
 
 
 def _combined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -236,8 +238,11 @@ def _goals(rows: DataFrame) -> DataFrame:
 
 
 def _goal_alerts(rows: DataFrame) -> DataFrame:
-    goals = _goals(rows).select("user_id", timestamp_text(F.col("timestamp")).alias("timestamp"))
-    return alerting.as_alerts(goals, GOAL_ACHIEVED)
+    goals = alerting.goals_achieved(rows, STEP_GOAL)
+    return alerting.as_alerts(
+        goals.select("user_id", timestamp_text(F.col("time")).alias("timestamp")),
+        GOAL_ACHIEVED,
+    )
 
 
 def _condensed(

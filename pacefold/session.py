@@ -7,15 +7,20 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-#: Settings the operators rely on, or that keep them fast on large inputs.
-SETTINGS = {
+#: Settings the operators rely on, in any session.
+REQUIRED = {
     # Message timestamps carry no zone: days and hours are cut in one fixed zone.
     "spark.sql.session.timeZone": "UTC",
+    # Combine a hot user's sessions inside each map task before the shuffle.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+#: Settings for sessions this package creates.
+SETTINGS = {
+    **REQUIRED,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Combine a hot user's sessions inside each map task before the shuffle.
-    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
     # Keep window and dedup state off the heap.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -44,6 +49,12 @@ def build_session(
     return builder.getOrCreate()
 
 
+def require_settings(spark: SparkSession) -> None:
+    """Set what the operators rely on in a session created elsewhere."""
+    for key, value in REQUIRED.items():
+        spark.conf.set(key, value)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder the session names in ``spark.checkpoint.dir``.
 

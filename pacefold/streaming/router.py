@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
+from pacefold.functions.measures import row_count
 from pacefold.operators.alerts import recent_alerts
 from pacefold.operators.readings import batch_user_stats, health_snapshot
 from pacefold.operators.summaries import daily_summary_view
@@ -77,7 +78,7 @@ def routing_counts(batch: DataFrame) -> DataFrame:
         target = F.when(F.col("topic") == feed.topic, feed.table).otherwise(target)
     return (
         batch.groupBy("topic")
-        .agg(F.count("*").alias("row_count"))
+        .agg(row_count("row_count"))
         .select("topic", target.alias("target_table"), "row_count")
     )
 

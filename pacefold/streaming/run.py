@@ -21,7 +21,8 @@ def start_batches(
     """Hand each micro-batch to a function; an error in it stops the query.
 
     The checkpoint makes a restart go on where the last batch ended. Without a
-    trigger, batches follow each other as fast as they can.
+    trigger, batches follow each other as fast as they can; on a busy stream give
+    an interval, since each batch leaves one folder per table.
     """
     writer = (
         stream.writeStream.outputMode("append")
