@@ -75,6 +75,9 @@ ALERTS = Feed(
 
 FEEDS = (READINGS, SUMMARIES, ALERTS)
 
+#: Storage columns that say which micro-batch wrote a row.
+BATCH_COLUMNS = (StructField("writer", StringType()), StructField("batch_id", LongType()))
+
 #: Shape of a raw message as brokers deliver it (extra broker columns are ignored).
 ENVELOPE = StructType(
     [

@@ -20,8 +20,8 @@ from pacefold.functions.measures import row_count
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
 #: How exact quantiles narrow down the value range: slices per step, and steps.
-SLICES_PER_STEP = 4096
-ZOOM_STEPS = 3
+SLICES_PER_STEP = 65536
+ZOOM_STEPS = 2
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
@@ -64,7 +64,7 @@ def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
     filled = counts.withColumn("scale", scale).select(
         F.least(F.lit(bins - 1), place).cast("int").alias("bin"), "n"
     )
-    empty = frame.sparkSession.range(bins).select(
+    empty = frame.sparkSession.range(0, bins, 1, numPartitions=1).select(
         F.col("id").cast("int").alias("bin"), F.lit(0).cast("long").alias("n")
     )
 
@@ -170,11 +170,11 @@ def _exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
     """Exact quantiles from distinct values ``v`` and their counts ``n``.
 
     A quantile lies between the values at two neighbouring ranks. The value range
-    is cut into 4096 slices; slice totals show which slice holds each rank; only
-    those slices are cut again, and once more. The last slices are 2**-36 of the
-    range wide, so ranking the values inside them is a small task: at most one
-    whole number each for 32-bit values. Every step on the way holds at most two
-    slices per quantile times 4096 totals, which also bounds what is broadcast.
+    is cut into 65536 slices; slice totals show which slice holds each rank; only
+    those slices are cut again. The last slices are 2**-32 of the range wide, so
+    ranking the values inside them is a small task: at most one whole number each
+    for 32-bit values. One task orders at most 65536 totals, and at most two slices
+    per quantile are broadcast.
     """
     whole = counts.agg(
         F.struct(

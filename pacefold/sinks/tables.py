@@ -19,9 +19,6 @@ from pacefold.feeds import FEEDS, Feed
 
 Sink = Callable[[DataFrame, str, int], None]
 
-#: Storage columns that say which micro-batch wrote a row.
-BATCH_COLUMNS = ("writer", "batch_id")
-
 
 def parquet_sink(root: str, writer: str) -> Sink:
     """One Parquet folder per table; a batch replaces its own subfolder."""

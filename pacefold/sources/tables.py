@@ -8,8 +8,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from pacefold.feeds import FEEDS, Feed
+from pacefold.feeds import BATCH_COLUMNS, FEEDS, Feed
 
 TableReader = Callable[[Feed], DataFrame]
 
@@ -18,7 +19,8 @@ def parquet_reader(spark: SparkSession, root: str) -> TableReader:
     """Tables written by :func:`pacefold.sinks.tables.parquet_sink`."""
 
     def read(feed: Feed) -> DataFrame:
-        return spark.read.parquet(f"{root}/{feed.table}")
+        schema = StructType([*feed.stored_schema.fields, *BATCH_COLUMNS])
+        return spark.read.schema(schema).parquet(f"{root}/{feed.table}")
 
     return read
 

@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pacefold.operators import charts
 
 SLOW = settings(
-    max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+    max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
 )
 
 
@@ -69,7 +69,7 @@ def test_box_of_whole_numbers(spark, values):
     check_box(spark, values, "int")
 
 
-@settings(SLOW, max_examples=5)
+@settings(SLOW, max_examples=4)
 @given(st.lists(st.integers(0, 10**6).map(lambda n: n / 64), min_size=1, max_size=40))
 def test_box_of_fractions(spark, values):
     check_box(spark, values, "double")
