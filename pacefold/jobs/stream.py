@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from pacefold.feeds import FEEDS
 from pacefold.jobs.options import add_options
 from pacefold.session import build_session
 from pacefold.sinks.tables import (
@@ -31,6 +32,13 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     source.add_argument("--bootstrap-servers", help="Kafka brokers")
     source.add_argument("--messages", help="folder of message files, one per topic")
     parser.add_argument("--format", default="parquet", help="format of message files")
+    parser.add_argument(
+        "--feeds",
+        nargs="+",
+        choices=[feed.name for feed in FEEDS],
+        default=[feed.name for feed in FEEDS],
+        help="feeds of this query; run busy feeds as queries of their own",
+    )
     parser.add_argument("--tables", required=True, help="folder of tables and reports")
     parser.add_argument("--checkpoint", required=True, help="folder of the checkpoint")
     parser.add_argument("--writer", default="main", help="name unique to the checkpoint")
@@ -52,6 +60,7 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
         )
     else:
         source = file_source(options.messages, options.format)
+    feeds = tuple(feed for feed in FEEDS if feed.name in options.feeds)
     files = parquet_sink(options.tables, options.writer)
     if options.jdbc:
         database = dict(options.jdbc)
@@ -61,7 +70,7 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
         create_parquet_tables(spark, options.tables)
         router = Router(files)
     return start_batches(
-        combined_stream(spark, source),
+        combined_stream(spark, source, feeds),
         router,
         options.checkpoint,
         AVAILABLE_NOW if options.once else {"processingTime": options.every},

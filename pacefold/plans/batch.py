@@ -18,9 +18,6 @@ from pacefold.operators import charts
 from pacefold.operators.tables import table_row_counts
 from pacefold.session import new_scratch
 
-#: The three tables as the counts report names them, in report order.
-TABLE_NAMES = ("readings", "summaries", "alerts")
-
 
 def run_batch(tables: dict[str, DataFrame], output: str) -> dict[str, str]:
     """Compute all reports and write each to its own Parquet folder."""
@@ -33,14 +30,13 @@ def run_batch(tables: dict[str, DataFrame], output: str) -> dict[str, str]:
 
 def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All reports by name; condenses the tables on the way."""
-    readings, summaries, alerts = (tables[name] for name in TABLE_NAMES)
-    activity = written(condense_readings(readings), "activity")
-    performance = written(condense_summaries(summaries), "performance")
-    alert_counts = written(condense_alerts(alerts), "alert-counts")
+    readings, summaries = tables["readings"], tables["summaries"]
+    condensed = condense_tables(tables)
+    activity, performance, alert_counts = (condensed[name] for name in CONDENSED)
     step_counts = written(charts.distinct_values(summaries, "total_steps"), "steps")
     step_box = written(charts.boxplot_of(step_counts), "steps-box")
     return {
-        "table_row_counts": _row_counts(activity, performance, alert_counts),
+        "table_row_counts": row_counts(condensed),
         "user_stats": user_stats(activity),
         "daily_trends": daily_trends(activity),
         "user_performance": user_performance(performance),
@@ -61,6 +57,14 @@ def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     }
 
 
+def condense_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Each table condensed, written and read back."""
+    return {
+        name: written(condense(tables[name]), f"condensed-{name}")
+        for name, condense in CONDENSED.items()
+    }
+
+
 def written(frame: DataFrame, label: str) -> DataFrame:
     """The frame's rows, written to the shared folder and read back."""
     path = new_scratch(frame.sparkSession, label)
@@ -92,6 +96,18 @@ def condense_alerts(alerts: DataFrame) -> DataFrame:
     return alerts.groupBy("user_id", "alert_type").agg(row_count("rows"))
 
 
+CONDENSED = {
+    "readings": condense_readings,
+    "summaries": condense_summaries,
+    "alerts": condense_alerts,
+}
+
+
+def row_counts(condensed: dict[str, DataFrame]) -> DataFrame:
+    """Rows of the original tables, which a condensed empty table has none of."""
+    return table_row_counts(condensed, F.coalesce(F.sum("rows"), F.lit(0)))
+
+
 def user_stats(activity: DataFrame) -> DataFrame:
     per_user = activity.groupBy("user_id").agg(
         F.sum("rows").alias("total_records"),
@@ -156,11 +172,6 @@ def _chart_counts(alert_counts: DataFrame, column: str) -> DataFrame:
     )
 
 
-def _row_counts(*condensed: DataFrame) -> DataFrame:
-    named = dict(zip(TABLE_NAMES, condensed, strict=True))
-    return table_row_counts(named, F.coalesce(F.sum("rows"), F.lit(0)))
-
-
 def _activity_means() -> list[Column]:
     return measures(
         _mean, avg_steps="steps", avg_calories="calories", avg_heart_rate="heart_rate"

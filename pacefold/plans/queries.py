@@ -348,7 +348,7 @@ _QUERIES: dict[str, Query] = {
     "batch_job_user_alert_distribution": _condensed(
         ALERTS, batch.condense_alerts, batch.user_alert_distribution
     ),
-    "batch_job_table_row_counts": lambda spark, sf_dir: batch.batch_reports(
-        _feeds(spark, sf_dir)
-    )["table_row_counts"],
+    "batch_job_table_row_counts": lambda spark, sf_dir: batch.row_counts(
+        batch.condense_tables(_feeds(spark, sf_dir))
+    ),
 }

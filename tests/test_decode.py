@@ -1,6 +1,8 @@
 """Decoding, encoding and quarantine of single messages."""
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS, ENVELOPE, FEEDS, READINGS, SUMMARIES
@@ -8,11 +10,13 @@ from pacefold.sinks.topics import encode_messages, publish_to_files
 from pacefold.sources.topics import (
     decode_messages,
     file_batch,
+    file_source,
     kafka_options,
     quarantine,
     read_topic,
     union_feeds,
 )
+from pacefold.streaming.run import run_to_table
 
 CASES = [
     # payload, decoded fields (user, rate, steps, calories, timestamp), grade
@@ -91,6 +95,35 @@ def test_publishing_then_decoding_is_identity(spark, tmp_path, feed, file_format
     )
 
 
+any_reading = st.tuples(
+    st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=8),
+    st.none() | st.integers(-(2**31), 2**31 - 1),
+    st.none() | st.integers(-(2**31), 2**31 - 1),
+    st.none() | st.floats(allow_nan=False, allow_infinity=False),
+    st.none() | st.text(st.characters(exclude_categories=["Cs"]), max_size=8),
+)
+
+
+@settings(
+    max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
+)
+@given(st.lists(any_reading, min_size=1, max_size=40))
+def test_any_values_survive(spark, rows):
+    sent = encode_messages(spark.createDataFrame(rows, READINGS.schema), READINGS)
+    texts = spark.createDataFrame([tuple(row) for row in sent.collect()], "value string, topic string")
+    back = decode_messages(texts, READINGS).drop("topic")
+    assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
+    assert quarantine(texts, READINGS).count() == 0
+
+
+def test_quarantine_on_a_stream(spark, tmp_path):
+    values = [case[0] for case in CASES]
+    messages(spark, values).write.parquet(f"{tmp_path}/messages/{READINGS.topic}")
+    raw = file_source(f"{tmp_path}/messages")(spark, READINGS.topic)
+    stored = run_to_table(quarantine(raw, READINGS), str(tmp_path))
+    assert stored.count() == sum(1 for case in CASES if case[2])
+
+
 def test_nulls_are_published(spark):
     rows = spark.createDataFrame([("a", None, None, None, None)], READINGS.schema)
     value = encode_messages(rows, READINGS).first().value

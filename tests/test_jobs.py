@@ -5,6 +5,8 @@ import pytest
 from pacefold.feeds import FEEDS
 from pacefold.jobs import batch, publish, stream
 from pacefold.plans import fixtures
+from pacefold.sinks.topics import publish_to_files
+from pacefold.sources.tables import load_tables, parquet_reader
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -31,6 +33,25 @@ def test_from_rows_to_reports(spark, tmp_path):
     assert users.count() == 15
 
 
+def test_one_query_per_feed(spark, tmp_path):
+    for feed in FEEDS:
+        rows = fixtures.table(spark, SF_DIR, feed)
+        publish_to_files(rows, feed, f"{tmp_path}/messages", "json")
+    for name in ("readings", "alerts"):
+        arguments = ["--messages", f"{tmp_path}/messages", "--format", "json", "--feeds", name]
+        arguments += ["--tables", f"{tmp_path}/tables", "--writer", name, "--once"]
+        arguments += ["--checkpoint", f"{tmp_path}/checkpoint-{name}"]
+        stream.start(spark, stream.parse(arguments)).awaitTermination()
+    tables = load_tables(parquet_reader(spark, f"{tmp_path}/tables"))
+    assert {name: table.count() for name, table in tables.items()} == {
+        "readings": 1000,
+        "summaries": 0,
+        "alerts": fixtures.alerts(spark, SF_DIR).count(),
+    }
+    writers = tables["alerts"].select("writer").distinct().collect()
+    assert [row.writer for row in writers] == ["alerts"]
+
+
 def test_options():
     options = stream.parse(
         "--bootstrap-servers b:1 --tables t --checkpoint c --jdbc url=jdbc:x --jdbc user=u".split()
