@@ -8,7 +8,9 @@ other groupings and read the tables' few columns themselves.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import partial
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacefold.functions.measures import measures, row_count
@@ -17,23 +19,34 @@ from pacefold.operators import alerts as alert_reports
 from pacefold.operators import charts
 from pacefold.operators.tables import table_row_counts
 from pacefold.session import new_scratch
+from pacefold.sinks.parallel import run_all
 
 
 def run_batch(tables: dict[str, DataFrame], output: str) -> dict[str, str]:
     """Compute all reports and write each to its own Parquet folder."""
-    written = {}
-    for name, report in batch_reports(tables).items():
-        written[name] = f"{output}/{name}"
-        report.write.mode("overwrite").parquet(written[name])
-    return written
+    reports = batch_reports(tables)
+    paths = {name: f"{output}/{name}" for name in reports}
+    run_all(
+        _session(reports),
+        [
+            partial(report.write.mode("overwrite").parquet, paths[name])
+            for name, report in reports.items()
+        ],
+    )
+    return paths
 
 
 def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All reports by name; condenses the tables on the way."""
     readings, summaries = tables["readings"], tables["summaries"]
-    condensed = condense_tables(tables)
+    condensed, step_counts = run_all(
+        _session(tables),
+        [
+            partial(condense_tables, tables),
+            partial(written, charts.distinct_values(summaries, "total_steps"), "steps"),
+        ],
+    )
     activity, performance, alert_counts = (condensed[name] for name in CONDENSED)
-    step_counts = written(charts.distinct_values(summaries, "total_steps"), "steps")
     step_box = written(charts.boxplot_of(step_counts), "steps-box")
     return {
         "table_row_counts": row_counts(condensed),
@@ -59,10 +72,11 @@ def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 def condense_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Each table condensed, written and read back."""
-    return {
-        name: written(condense(tables[name]), f"condensed-{name}")
+    steps = [
+        partial(written, condense(tables[name]), f"condensed-{name}")
         for name, condense in CONDENSED.items()
-    }
+    ]
+    return dict(zip(CONDENSED, run_all(_session(tables), steps), strict=True))
 
 
 def written(frame: DataFrame, label: str) -> DataFrame:
@@ -172,6 +186,10 @@ def _chart_counts(alert_counts: DataFrame, column: str) -> DataFrame:
     )
 
 
+def _session(frames: dict[str, DataFrame]) -> SparkSession:
+    return next(iter(frames.values())).sparkSession
+
+
 def _activity_means() -> list[Column]:
     return measures(
         _mean, avg_steps="steps", avg_calories="calories", avg_heart_rate="heart_rate"

@@ -6,6 +6,8 @@ position a message would have.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +19,7 @@ from pacefold.functions.messages import (
     alert_message,
 )
 from pacefold.functions.times import date_text, event_date, timestamp_text
+from pacefold.sinks.parallel import run_all
 from pacefold.sinks.topics import publish_to_files
 
 TOPIC_PARTITIONS = 4
@@ -100,8 +103,10 @@ def publish(
     spark: SparkSession, sf_dir: str, root: str, feeds: tuple[Feed, ...] = FEEDS
 ) -> None:
     """Publish feeds as message files under ``root``."""
-    for feed in feeds:
-        publish_to_files(table(spark, sf_dir, feed), feed, root)
+    run_all(
+        spark,
+        [partial(publish_to_files, table(spark, sf_dir, f), f, root) for f in feeds],
+    )
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,11 +11,13 @@ give every checkpoint its own writer name, or its batches replace another's.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacefold.feeds import FEEDS, Feed
+from pacefold.sinks.parallel import run_all
 
 Sink = Callable[[DataFrame, str, int], None]
 
@@ -79,9 +81,16 @@ def not_stored(rows: DataFrame, stored: DataFrame) -> DataFrame:
 
 def create_parquet_tables(spark: SparkSession, root: str) -> None:
     """Make all three tables readable before the first batch, if they are absent."""
-    for feed in FEEDS:
-        folder = _batch_folder(root, feed.table, "none", -1)
-        _empty(spark, feed).write.mode("ignore").parquet(folder)
+    run_all(
+        spark,
+        [
+            partial(
+                _empty(spark, feed).write.mode("ignore").parquet,
+                _batch_folder(root, feed.table, "none", -1),
+            )
+            for feed in FEEDS
+        ],
+    )
 
 
 def create_catalog_tables(
@@ -145,4 +154,5 @@ def _stamped(rows: DataFrame, writer: str, batch_id: int) -> DataFrame:
 
 
 def _empty(spark: SparkSession, feed: Feed) -> DataFrame:
-    return spark.createDataFrame([], feed.stored_schema)
+    # The limit turns it into a constant, written by one task.
+    return spark.createDataFrame([], feed.stored_schema).limit(0)

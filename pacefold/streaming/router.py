@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pacefold.operators.alerts import recent_alerts
 from pacefold.operators.readings import batch_user_stats, health_snapshot
 from pacefold.operators.summaries import daily_summary_view
 from pacefold.operators.tables import preview
+from pacefold.sinks.parallel import run_all
 from pacefold.sinks.tables import Sink
 
 Report = Callable[[DataFrame], DataFrame]
@@ -61,12 +63,18 @@ class Router:
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             routing = routing_counts(batch)
+            writes = [(self._report, routing, ROUTING_TABLE)]
             for feed in feeds_present(routing):
                 rows = feed_rows(batch, feed)
-                self._store(rows, feed.table, batch_id)
-                for name, report in self._reports.get(feed.name, {}).items():
-                    self._report(report(rows), name, batch_id)
-            self._report(routing, ROUTING_TABLE, batch_id)
+                writes.append((self._store, rows, feed.table))
+                writes += [
+                    (self._report, report(rows), name)
+                    for name, report in self._reports.get(feed.name, {}).items()
+                ]
+            run_all(
+                batch.sparkSession,
+                [partial(sink, rows, table, batch_id) for sink, rows, table in writes],
+            )
         finally:
             batch.unpersist()
 
