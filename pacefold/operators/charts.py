@@ -173,8 +173,9 @@ def _exact_quantiles(counts: DataFrame, shares: dict[str, float]) -> DataFrame:
     is cut into 65536 slices; slice totals show which slice holds each rank; only
     those slices are cut again. The last slices are 2**-32 of the range wide, so
     ranking the values inside them is a small task: at most one whole number each
-    for 32-bit values. One task orders at most 65536 totals, and at most two slices
-    per quantile are broadcast.
+    for 32-bit values (for fractions that crowd into a tiny part of their range,
+    ``accuracy`` is the way). One task orders at most 65536 totals, and at most two
+    slices per quantile are broadcast.
     """
     whole = counts.agg(
         F.struct(
