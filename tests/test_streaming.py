@@ -68,6 +68,18 @@ def test_mixed_batch_goes_to_its_tables(spark, tmp_path):
     assert totals == {(feed.topic, feed.table): len(rows) for feed, rows in ROWS.items()}
 
 
+def test_batch_is_decoded_once_and_released(spark, tmp_path):
+    levels = []
+
+    def watching(rows, table, batch_id):
+        levels.append(spark.sparkContext._jsc.getPersistentRDDs().size())
+
+    batch = spark.createDataFrame([(READINGS.topic, "a", 3)], "topic string, user_id string, steps int")
+    Router(watching, reports={})(batch, 0)
+    assert levels == [1, 1]
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
+
+
 def test_restart_handles_new_messages_only(spark, tmp_path):
     send_all(spark, tmp_path)
     route(spark, tmp_path)
