@@ -21,9 +21,14 @@ from pacefold.sinks.tables import (
     jdbc_sink,
     parquet_sink,
 )
-from pacefold.sources.topics import combined_stream, file_source, kafka_source
+from pacefold.sources.topics import (
+    combined_stream,
+    file_source,
+    kafka_source,
+    quarantined_stream,
+)
 from pacefold.streaming.router import Router
-from pacefold.streaming.run import AVAILABLE_NOW, start_batches
+from pacefold.streaming.run import AVAILABLE_NOW, start_batches, start_table
 
 
 def parse(arguments: Sequence[str] | None = None) -> Namespace:
@@ -41,6 +46,9 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     )
     parser.add_argument("--tables", required=True, help="folder of tables and reports")
     parser.add_argument("--checkpoint", required=True, help="folder of the checkpoint")
+    parser.add_argument(
+        "--quarantine", help="folder of messages that could not be decoded, if wanted"
+    )
     parser.add_argument("--writer", default="main", help="name unique to the checkpoint")
     parser.add_argument(
         "--max-offsets", type=int, default=10_000_000, help="messages per batch and topic"
@@ -53,34 +61,59 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     return parser.parse_args(arguments)
 
 
-def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
+def start(spark: SparkSession, options: Namespace) -> list[StreamingQuery]:
+    feeds = tuple(feed for feed in FEEDS if feed.name in options.feeds)
     if options.bootstrap_servers:
         source = kafka_source(
             options.bootstrap_servers, options.max_offsets, **dict(options.kafka)
         )
     else:
         source = file_source(options.messages, options.format)
-    feeds = tuple(feed for feed in FEEDS if feed.name in options.feeds)
+    trigger = AVAILABLE_NOW if options.once else {"processingTime": options.every}
+    queries = [
+        start_batches(
+            combined_stream(spark, source, feeds),
+            _router(spark, options),
+            options.checkpoint,
+            trigger,
+            options.writer,
+        )
+    ]
+    if options.quarantine:
+        queries.append(
+            start_table(
+                quarantined_stream(spark, source, feeds),
+                options.quarantine,
+                f"{options.checkpoint}-quarantine",
+                trigger,
+            )
+        )
+    return queries
+
+
+def _router(spark: SparkSession, options: Namespace) -> Router:
     files = parquet_sink(options.tables, options.writer)
     if options.jdbc:
         database = dict(options.jdbc)
         create_jdbc_tables(spark, database)
-        router = Router(jdbc_sink(database, options.writer), report=files)
+        return Router(jdbc_sink(database, options.writer), report=files)
+    create_parquet_tables(spark, options.tables)
+    return Router(files)
+
+
+def wait(spark: SparkSession, queries: list[StreamingQuery], once: bool) -> None:
+    """Until all have caught up, or else until any one stops; raises its error."""
+    if once:
+        for query in queries:
+            query.awaitTermination()
     else:
-        create_parquet_tables(spark, options.tables)
-        router = Router(files)
-    return start_batches(
-        combined_stream(spark, source, feeds),
-        router,
-        options.checkpoint,
-        AVAILABLE_NOW if options.once else {"processingTime": options.every},
-        options.writer,
-    )
+        spark.streams.awaitAnyTermination()
 
 
 def main() -> None:
     options = parse()
-    start(build_session("pacefold-stream"), options).awaitTermination()
+    spark = build_session("pacefold-stream")
+    wait(spark, start(spark, options), options.once)
 
 
 if __name__ == "__main__":

@@ -118,6 +118,13 @@ def union_feeds(frames: list[DataFrame]) -> DataFrame:
     )
 
 
+def quarantined_stream(
+    spark: SparkSession, source: TopicSource, feeds: tuple[Feed, ...] = FEEDS
+) -> DataFrame:
+    """The quarantined messages of several feeds."""
+    return union_feeds([quarantine(source(spark, feed.topic), feed) for feed in feeds])
+
+
 def quarantine(messages: DataFrame, feed: Feed) -> DataFrame:
     """Messages of a topic that could not be decoded, wholly or in part."""
     return (

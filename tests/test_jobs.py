@@ -2,7 +2,7 @@
 
 import pytest
 
-from pacefold.feeds import FEEDS
+from pacefold.feeds import ENVELOPE, FEEDS
 from pacefold.jobs import batch, publish, stream
 from pacefold.plans import fixtures
 from pacefold.sinks.topics import publish_to_files
@@ -22,15 +22,25 @@ def test_from_rows_to_reports(spark, tmp_path):
 
     arguments = ["--messages", f"{tmp_path}/messages", "--tables", f"{tmp_path}/tables"]
     arguments += ["--checkpoint", f"{tmp_path}/checkpoint", "--once"]
+    arguments += ["--quarantine", f"{tmp_path}/quarantine"]
+    bad = [("garbage", feed.topic, 0, -1) for feed in FEEDS]
+    for row in bad:
+        frame = spark.createDataFrame([row], ENVELOPE)
+        frame.write.mode("append").parquet(f"{tmp_path}/messages/{row[1]}")
     for _ in range(2):
-        stream.start(spark, stream.parse(arguments)).awaitTermination()
+        stream.wait(spark, stream.start(spark, stream.parse(arguments)), once=True)
+
+    kept = spark.read.parquet(f"{tmp_path}/quarantine").collect()
+    assert sorted((row.value, row.topic) for row in kept) == sorted(
+        ("garbage", feed.topic) for feed in FEEDS
+    )
 
     arguments = ["--tables", f"{tmp_path}/tables", "--output", f"{tmp_path}/reports"]
     written = batch.run(spark, batch.parse(arguments))
     counts = spark.read.parquet(written["table_row_counts"]).collect()
-    assert {row.table_name: row.row_count for row in counts} == sizes
+    assert {row.table_name: row.row_count - 1 for row in counts} == sizes
     users = spark.read.parquet(written["user_stats"])
-    assert users.count() == 15
+    assert users.count() == 15 + 1  # and the null user of the message that is garbage
 
 
 def test_one_query_per_feed(spark, tmp_path):
@@ -41,7 +51,7 @@ def test_one_query_per_feed(spark, tmp_path):
         arguments = ["--messages", f"{tmp_path}/messages", "--format", "json", "--feeds", name]
         arguments += ["--tables", f"{tmp_path}/tables", "--writer", name, "--once"]
         arguments += ["--checkpoint", f"{tmp_path}/checkpoint-{name}"]
-        stream.start(spark, stream.parse(arguments)).awaitTermination()
+        stream.wait(spark, stream.start(spark, stream.parse(arguments)), once=True)
     tables = load_tables(parquet_reader(spark, f"{tmp_path}/tables"))
     assert {name: table.count() for name, table in tables.items()} == {
         "readings": 1000,

@@ -1,5 +1,7 @@
 """Stored tables: replayed batches, catalog tables, database options, failed loads."""
 
+from unittest.mock import MagicMock
+
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
@@ -83,6 +85,14 @@ def test_shared_folder_comes_from_the_session(spark):
     assert first != second and first.startswith(shared_dir(spark))
 
 
+def test_no_local_folder_on_a_cluster():
+    session = MagicMock()
+    session.conf.get.return_value = None
+    session.sparkContext.master = "yarn"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(session)
+
+
 def test_stored_parquet_is_pruned(spark, tmp_path):
     sinks.parquet_sink(str(tmp_path), "w")(alerts(spark), ALERTS.table, 0)
     table = sources.parquet_reader(spark, str(tmp_path))(ALERTS)
