@@ -16,13 +16,14 @@ def dedup(frame: DataFrame, key: Sequence[str] = MESSAGE_KEY) -> DataFrame:
 
 
 def dedup_stream(
-    stream: DataFrame, key: Sequence[str] = MESSAGE_KEY, salt: int = 0
+    stream: DataFrame, key: Sequence[str] = MESSAGE_KEY, salt: int = 16
 ) -> DataFrame:
     """One row per key (stream with a watermark), also across micro-batches.
 
-    A streaming dedup sends all copies of a key to one task. Where one message
-    may have very many copies in a batch, ``salt`` first drops copies in that
-    many sub-groups side by side, so at most ``salt`` copies per key go on.
+    A streaming dedup sends all copies of a key to one task, and a message may have
+    very many copies. They are therefore first thinned out in ``salt`` sub-groups
+    side by side, so that at most ``salt`` copies per key go on. Where copies are
+    known to be few, ``salt=0`` saves that step and its state.
     """
     if salt > 1:
         stream = (

@@ -42,7 +42,9 @@ def test_catalog_tables(spark, tmp_path):
     sink(alerts(spark), ALERTS.table, 0)
     sink(alerts(spark), ALERTS.table, 1)
     sink(alerts(spark), ALERTS.table, 1)
+    sink(alerts(spark).drop("id"), ALERTS.table, 0)
     read = sources.catalog_reader(spark, "telemetry")
+    assert read(ALERTS).where("id is null").count() == 2
     assert read(ALERTS).count() == 4
     assert read(READINGS).count() == 0
     fields = read(SUMMARIES).drop("writer", "batch_id").schema
