@@ -35,7 +35,8 @@ def daily_summary_rollup(readings: DataFrame) -> DataFrame:
 def daily_summary_windows(readings: DataFrame) -> DataFrame:
     """The same roll-up over one-day windows, for streams with a watermark.
 
-    A stream emits a user-day once the watermark has passed its end.
+    A stream emits a user-day once the watermark has passed its end. Readings
+    without a readable time belong to no window and are left out.
     """
     return (
         ensure_event_time(readings)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pacefold.feeds import FEEDS, Feed
@@ -113,11 +113,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _user():
+def _user() -> Column:
     return F.concat(F.lit("user_"), F.col("user_id").cast("string")).alias("user_id")
 
 
-def _prop_k():
+def _prop_k() -> Column:
     # Several times faster than parsing the whole JSON text for its one number.
     return F.regexp_extract("props", '"k": *([0-9]+)', 1)
 

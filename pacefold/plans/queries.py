@@ -1,17 +1,18 @@
 """The query registry: every operator over the fixture tables.
 
 Each entry takes a session and a folder with an ``events`` table. Means and sums
-of doubles are rounded, since engines add them up in different orders. Entries that exercise streams publish the messages as files under the
-shared folder, run the stream over all of them, and return what it stored.
+of doubles are rounded, since engines add them up in different orders. Entries
+that exercise streams publish the messages as files under the shared folder, run
+the stream over all of them, and return what it stored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, TimestampType
+from pyspark.sql.types import DoubleType, StructField, TimestampType
 
 from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
 from pacefold.functions.messages import GOAL_ACHIEVED, LOW_ACTIVITY
@@ -68,7 +69,7 @@ def _comparable(query: Query) -> Query:
     return run
 
 
-def _comparable_column(field):
+def _comparable_column(field: StructField) -> Column:
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, DoubleType):
         return F.round(column, DIGITS).alias(field.name)
@@ -203,6 +204,7 @@ def _low_activity_alerts(readings_stream: DataFrame) -> DataFrame:
 
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> dict:
+    """Arguments of the comparison: both roll-ups of the days the stream closed."""
     streamed = _streamed("reconcile", rollups.daily_summary_windows)(spark, sf_dir)
     rows = _feed(spark, sf_dir, READINGS)
     daily = rollups.daily_summary_rollup(rows)

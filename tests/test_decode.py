@@ -110,7 +110,9 @@ any_reading = st.tuples(
 @given(st.lists(any_reading, min_size=1, max_size=40))
 def test_any_values_survive(spark, rows):
     sent = encode_messages(spark.createDataFrame(rows, READINGS.schema), READINGS)
-    texts = spark.createDataFrame([tuple(row) for row in sent.collect()], "value string, topic string")
+    texts = spark.createDataFrame(
+        [tuple(row) for row in sent.collect()], "value string, topic string"
+    )
     back = decode_messages(texts, READINGS).drop("topic")
     assert sorted(map(tuple, back.collect()), key=repr) == sorted(rows, key=repr)
     assert quarantine(texts, READINGS).count() == 0
@@ -144,7 +146,8 @@ def test_feeds_are_united_by_name(spark):
         "topic",
         *(name for feed in FEEDS for name in feed.schema.fieldNames()),
     }
-    summary = united.where(F.col("topic") == SUMMARIES.topic).where("user_id = 'a'").first()
+    summary = united.where(F.col("topic") == SUMMARIES.topic).where("user_id = 'a'")
+    summary = summary.first()
     assert (summary.total_steps, summary.heart_rate) == (7000, None)
     assert united.schema["heart_rate"].dataType.simpleString() == "int"
     # One topic reads one branch only.

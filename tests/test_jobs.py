@@ -70,4 +70,4 @@ def test_options():
     with pytest.raises(SystemExit):
         batch.parse(["--output", "o"])
     with pytest.raises(SystemExit):
-        stream.parse(["--bootstrap-servers", "b", "--tables", "t", "--checkpoint", "c", "--jdbc", "x"])
+        stream.parse("--bootstrap-servers b --tables t --checkpoint c --jdbc x".split())

@@ -44,7 +44,10 @@ def test_unreadable_times_form_the_null_day(spark):
         ("a", 70, 20, 1.0, "bad"),
         ("a", 70, 40, 1.0, None),
     )
-    days = [(row.date, row.avg_steps, row.total_records) for row in readings.daily_trends(frame).collect()]
+    days = [
+        (row.date, row.avg_steps, row.total_records)
+        for row in readings.daily_trends(frame).collect()
+    ]
     assert days == [(None, 30.0, 2), ("2024-01-01", 30.0, 1), ("2024-01-02", 10.0, 1)]
     rolled = {row.date: row.total_steps for row in rollups.daily_summary_rollup(frame).collect()}
     assert rolled == {None: 60, "2024-01-01": 30, "2024-01-02": 10}
@@ -107,7 +110,10 @@ def test_alert_types_are_counted_once_each(spark):
         (None, 3),
         ("y", 1),
     ]
-    latest = [(r.user_id, r.alert_type, r.timestamp) for r in alerts.recent_alerts(frame, 3).collect()]
+    latest = [
+        (r.user_id, r.alert_type, r.timestamp)
+        for r in alerts.recent_alerts(frame, 3).collect()
+    ]
     assert latest == [
         ("b", None, "2024-01-01 00:00:03"),
         ("b", "x", "2024-01-01 00:00:03"),
@@ -126,8 +132,10 @@ def test_row_counts_and_preview(spark):
 def uneven_tables(spark):
     """Tables in which one user holds a third of the rows; some fields are null."""
     ids = spark.range(3000)
-    user = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, F.concat(F.lit("u"), F.col("id") % 41))
-    time = F.date_format(F.timestamp_seconds(1_704_067_200 + F.col("id") * 977), "yyyy-MM-dd HH:mm:ss")
+    other = F.concat(F.lit("u"), F.col("id") % 41)
+    user = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 50 != 1, other)
+    seconds = F.timestamp_seconds(1_704_067_200 + F.col("id") * 977)
+    time = F.date_format(seconds, "yyyy-MM-dd HH:mm:ss")
     return {
         "readings": ids.select(
             user.alias("user_id"),

@@ -22,7 +22,9 @@ READING_ROWS = [
     ("a", 90, 30, 3.0, "2024-01-01 00:10:00"),
 ]
 SUMMARY_ROWS = [("a", 7000, 2000.5, 75, "2024-01-01")]
-ALERT_ROWS = [("b", "low_activity", "No activity detected in the last hour!", "2024-01-01 01:00:00")]
+ALERT_ROWS = [
+    ("b", "low_activity", "No activity detected in the last hour!", "2024-01-01 01:00:00")
+]
 ROWS = dict(zip(FEEDS, (READING_ROWS, SUMMARY_ROWS, ALERT_ROWS), strict=True))
 
 
@@ -64,7 +66,10 @@ def test_mixed_batch_goes_to_its_tables(spark, tmp_path):
         assert stored(spark, tmp_path, feed) == sorted(rows)
         columns = parquet_reader(spark, f"{tmp_path}/tables")(feed).columns
         assert columns == [*feed.stored_schema.fieldNames(), "writer", "batch_id"]
-    totals = {(r.topic, r.target_table): r.row_count for r in routing_totals(spark, f"{tmp_path}/tables").collect()}
+    totals = {
+        (row.topic, row.target_table): row.row_count
+        for row in routing_totals(spark, f"{tmp_path}/tables").collect()
+    }
     assert totals == {(feed.topic, feed.table): len(rows) for feed, rows in ROWS.items()}
 
 
@@ -74,7 +79,9 @@ def test_batch_is_decoded_once_and_released(spark, tmp_path):
     def watching(rows, table, batch_id):
         levels.append(spark.sparkContext._jsc.getPersistentRDDs().size())
 
-    batch = spark.createDataFrame([(READINGS.topic, "a", 3)], "topic string, user_id string, steps int")
+    batch = spark.createDataFrame(
+        [(READINGS.topic, "a", 3)], "topic string, user_id string, steps int"
+    )
     Router(watching, reports={})(batch, 0)
     assert levels == [1, 1]
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
@@ -209,7 +216,13 @@ def test_late_rows_are_left_out_by_windows(spark, tmp_path):
 def spread_readings(days):
     start = datetime(2024, 1, 1)
     return [
-        (f"u{number % 3}", 60 + number % 40, number % 50, number / 4, str(start + timedelta(minutes=97 * number)))
+        (
+            f"u{number % 3}",
+            60 + number % 40,
+            number % 50,
+            number / 4,
+            str(start + timedelta(minutes=97 * number)),
+        )
         for number in range(days * 24 * 60 // 97)
     ]
 
