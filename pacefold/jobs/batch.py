@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from argparse import ArgumentParser, Namespace
 from collections.abc import Sequence
+from functools import partial
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from pacefold.jobs.options import add_options
-from pacefold.plans.batch import run_batch
+from pacefold.plans.batch import run_batch, written
 from pacefold.session import build_session
+from pacefold.sinks.parallel import run_all
 from pacefold.sources.tables import jdbc_reader, load_tables, parquet_reader
 
 
@@ -32,9 +34,16 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
 def run(spark: SparkSession, options: Namespace) -> dict[str, str]:
     if options.jdbc:
         reader = jdbc_reader(spark, dict(options.jdbc), options.split_by, options.splits)
+        tables = copied(spark, load_tables(reader))
     else:
-        reader = parquet_reader(spark, options.tables)
-    return run_batch(load_tables(reader), options.output)
+        tables = load_tables(parquet_reader(spark, options.tables))
+    return run_batch(tables, options.output)
+
+
+def copied(spark: SparkSession, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Copies in the shared folder, so that a database is read once and not per report."""
+    steps = [partial(written, table, f"copy-{name}") for name, table in tables.items()]
+    return dict(zip(tables, run_all(spark, steps), strict=True))
 
 
 def main() -> None:

@@ -62,6 +62,27 @@ def test_one_query_per_feed(spark, tmp_path):
     assert [row.writer for row in writers] == ["alerts"]
 
 
+def test_database_is_read_once(spark, tmp_path, monkeypatch):
+    """The database reader is replaced; every frame it hands out is read one time."""
+    reads = []
+
+    def reader(session, options, column, splits):
+        assert (options, column, splits) == ({"url": "u"}, "batch_id", 8)
+
+        def read(feed):
+            reads.append(feed.name)
+            rows = fixtures.table(session, SF_DIR, feed)
+            return rows.select(*feed.schema.fieldNames())
+
+        return read
+
+    monkeypatch.setattr(batch, "jdbc_reader", reader)
+    arguments = "--jdbc url=u --split-by batch_id --splits 8 --output".split()
+    written = batch.run(spark, batch.parse([*arguments, f"{tmp_path}/reports"]))
+    assert sorted(reads) == sorted(feed.name for feed in FEEDS)
+    assert spark.read.parquet(written["user_stats"]).count() == 15
+
+
 def test_options():
     options = stream.parse(
         "--bootstrap-servers b:1 --tables t --checkpoint c --jdbc url=jdbc:x --jdbc user=u".split()

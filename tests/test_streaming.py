@@ -10,9 +10,15 @@ from pyspark.sql.types import StructType
 from pacefold.feeds import ALERTS, ENVELOPE, FEEDS, READINGS, SUMMARIES
 from pacefold.functions.times import with_event_time
 from pacefold.operators import alerting, dedup, rollups
-from pacefold.sinks.tables import create_parquet_tables, parquet_sink
+from pacefold.sinks.parallel import run_all
+from pacefold.sinks.tables import (
+    catalog_sink,
+    create_catalog_tables,
+    create_parquet_tables,
+    parquet_sink,
+)
 from pacefold.sinks.topics import encode_messages
-from pacefold.sources.tables import load_tables, parquet_reader
+from pacefold.sources.tables import catalog_reader, load_tables, parquet_reader
 from pacefold.sources.topics import combined_stream, file_source, read_topic
 from pacefold.streaming.router import ROUTING_TABLE, Router, routing_totals
 from pacefold.streaming.run import AVAILABLE_NOW, run_to_table, start_batches, start_table
@@ -141,6 +147,32 @@ def test_failing_sink_stops_the_query_and_the_batch_comes_again(spark, tmp_path)
         assert stored(spark, tmp_path, feed) == sorted(rows)
 
 
+def test_stream_into_catalog_tables(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS streamed")
+    create_catalog_tables(spark, "streamed", f"{tmp_path}/catalog")
+    send_all(spark, tmp_path)
+    router = Router(catalog_sink("w", "streamed"), parquet_sink(f"{tmp_path}/tables", "w"))
+    route(spark, tmp_path, router)
+    route(spark, tmp_path, router)
+    tables = load_tables(catalog_reader(spark, "streamed"))
+    for feed, rows in ROWS.items():
+        fields = tables[feed.name].select(*feed.schema.fieldNames())
+        assert sorted(map(tuple, fields.collect())) == sorted(rows)
+
+
+def test_all_writes_are_tried_before_an_error_is_raised(spark):
+    done = []
+
+    def fail():
+        raise OSError("down")
+
+    with pytest.raises(OSError, match="down"):
+        run_all(spark, [fail, lambda: done.append(spark.range(3).count())])
+    assert done == [3]
+    assert run_all(spark, []) == []
+    assert run_all(spark, [lambda n=n: n for n in range(20)]) == list(range(20))
+
+
 def test_unknown_topics_are_counted_and_not_stored(spark, tmp_path):
     batch = spark.createDataFrame(
         [("x", "a", 1), ("x", "b", 2), (READINGS.topic, "a", 3), (None, "c", 4)],
