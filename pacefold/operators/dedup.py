@@ -23,7 +23,8 @@ def dedup_stream(
     A streaming dedup sends all copies of a key to one task, and a message may have
     very many copies. They are therefore first thinned out in ``salt`` sub-groups
     side by side, so that at most ``salt`` copies per key go on. Where copies are
-    known to be few, ``salt=0`` saves that step and its state.
+    known to be few, ``salt=0`` saves that step and its state. Choose before the
+    first start: a checkpoint belongs to one choice.
     """
     if salt > 1:
         stream = (
