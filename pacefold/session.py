@@ -73,3 +73,9 @@ def shared_dir(spark: SparkSession) -> str:
 def new_scratch(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created yet."""
     return f"{shared_dir(spark)}/pacefold/{label}-{uuid.uuid4().hex}"
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder this package wrote, in whatever store holds it."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

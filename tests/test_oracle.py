@@ -6,10 +6,12 @@ import pytest
 
 import __spark_entry__ as driver
 from compare import connect, oracle_rows, spark_rows
+from pacefold.plans.oracle import oracle
+from pacefold.plans.queries import registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
-QUERIES = driver.queries()
-ORACLE = driver.oracle_sql()
+QUERIES = registry()
+ORACLE = oracle()
 
 
 @pytest.fixture(scope="module")
@@ -23,6 +25,11 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
+def test_driver_registers_them_all():
+    assert set(QUERIES) <= set(driver.queries())
+    assert set(ORACLE) <= set(driver.oracle_sql())
+
+
 def test_entry_has_rows(spark):
     assert driver.entry(spark).count() > 0
 
