@@ -1,0 +1,92 @@
+"""Repeated passages against a brute-force reading of every window."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+import pyarrow.parquet as pq
+from llm_reading import SF, rows_of
+
+from pacefold.llm import suffix_dedup
+
+
+def brute(rows):
+    """What must remain: every window looked up in the order of (id, start)."""
+    rows = sorted({(i, t or "") for i, t in rows})
+    seen, out = set(), {}
+    for doc_id, text in rows:
+        data = text.encode()
+        gone = bytearray(len(data))
+        for start in range(len(data) - 99):
+            window = data[start : start + 100]
+            if window in seen:
+                gone[start : start + 100] = b"\1" * 100
+            seen.add(window)
+        kept = bytes(b for b, g in zip(data, gone, strict=True) if not g)
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        out[doc_id] = (len(data), sum(gone), spans, hashlib.sha256(kept).hexdigest())
+    return out
+
+
+def found(frame):
+    return {row[0]: row[1:] for row in rows_of(suffix_dedup.op9(frame))}
+
+
+def test_whole_table_against_brute_force(spark):
+    table = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    rows = [(r["doc_id"], r["text"]) for r in table]
+    expected = brute(rows)
+    assert any(removed for _, removed, _, _ in expected.values())
+    assert found(spark.read.parquet(f"{SF}/documents.parquet")) == expected
+
+
+def test_repeats_of_every_kind(docs):
+    pick = random.Random(7)
+    letters = "abcdefgh ä\n"
+    text = lambda n: "".join(pick.choice(letters) for _ in range(n))
+    passages = [text(n) for n in (60, 99, 100, 101, 130, 250, 700)]
+    rows = [(i, text(pick.randrange(200)) + pick.choice(passages) + text(pick.randrange(200)) + pick.choice(passages)) for i in range(60)]
+    rows += [(100, "x" * 450), (101, "ab" * 200), (102, passages[6] * 3), (103, "x" * 99)]
+    # near copies: one long text, cut and changed in places
+    base = text(3000)
+    for i in range(200, 230):
+        at = pick.randrange(2900)
+        rows.append((i, base[:at] + text(3) + base[at + pick.randrange(60) :]))
+    rows += [(i, base) for i in range(300, 310)]
+    pick.shuffle(rows)
+    assert found(docs(rows)) == brute(rows)
+
+
+def test_edges(docs):
+    rows = [(1, None), (2, ""), (3, "short"), (4, "y" * 5000), (5, "y" * 150), (6, None)]
+    result = found(docs(rows))
+    assert result == brute(rows)
+    assert found(docs([])) == {}
+
+
+def test_rows_that_repeat_an_id_do_not_repeat_themselves(docs):
+    text = " ".join(str(n) for n in range(100))
+    result = rows_of(suffix_dedup.op9(docs([(1, text), (1, text), (2, text)])))
+    assert sorted(row[2] for row in result) == [0, 0, len(text)]
+
+
+def test_documents_without_id_take_no_part(docs):
+    text = " ".join(str(n) for n in range(100))
+    result = rows_of(suffix_dedup.op9(docs([(None, text), (5, text), (None, text)])))
+    assert [row[2] for row in result] == [0, 0, 0]
+
+
+def test_long_text_alone_in_its_piece(docs):
+    pick = random.Random(3)
+    long = "".join(pick.choice("abcdefghij ") for _ in range(3_000_000))
+    result = found(docs([(1, long), (2, long[1_000_000:1_000_300])]))
+    assert result[1][1] == 0
+    assert result[2][1:3] == (300, 1)
+
+
+def test_clashing_columns_are_ignored(docs):
+    frame = docs([(1, "z" * 300)])
+    for name in ("part", "kind", "doc", "start", "count", "todo", "found"):
+        frame = frame.selectExpr("*", f"'x' AS `{name}`")
+    assert found(frame) == brute([(1, "z" * 300)])
