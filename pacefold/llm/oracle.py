@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pacefold.llm import decontaminate, mixing
+from pacefold.llm import chat, decontaminate, mixing
 
 _LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
 
@@ -71,5 +71,33 @@ FROM placed
 """
 
 
+def _escaped(column: str) -> str:
+    """Length of a text with one backslash more in each control string."""
+    return f"length({column}) + len(regexp_extract_all({column}, '<\\\\*\\|'))"
+
+
+_CHATS = f"""
+WITH turns AS (
+  SELECT CAST(conv_id AS bigint) AS conv_id, turn, role AS r, text AS t,
+         coalesce(role, '') AS role, coalesce(text, '') AS text
+  FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '{chat.HOSTILE}', 'user', '{chat.HOSTILE}'
+  UNION ALL SELECT -1, 1, 'assistant', '{chat.HOSTILE}', 'assistant', '{chat.HOSTILE}'),
+joined AS (
+  SELECT conv_id, count(*) AS n_turns,
+         string_agg(role || chr(10) || text || chr(10), ''
+                    ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST) AS said,
+         coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, r NULLS FIRST, t NULLS FIRST)
+                  FILTER (role = '{chat.LEARNT_ROLE}'), '') AS learnt,
+         sum({len(chat.START) + len(chat.END) + 2} + {_escaped("role")} + {_escaped("text")}
+             + {len(chat.ROLE_FEED) - 1} * (length(role) - length(replace(role, chr(10), ''))))
+           AS formatted_chars
+  FROM turns GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(said) AS turns_sha256, CAST(length(learnt) AS bigint) AS loss_chars,
+       sha256(learnt) AS loss_sha256, CAST(formatted_chars AS bigint) AS formatted_chars
+FROM joined
+"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op1_decontamination": _CONTAINED, "op8_mixing": _MIXED}
+    return {"op1_decontamination": _CONTAINED, "op4_chat": _CHATS, "op8_mixing": _MIXED}

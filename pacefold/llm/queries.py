@@ -8,7 +8,18 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pacefold.llm import decontaminate, language, mixing, near_dedup, suffix_dedup
+from pacefold.llm import (
+    chat,
+    decontaminate,
+    language,
+    language_model,
+    mixing,
+    near_dedup,
+    neighbours,
+    quality,
+    suffix_dedup,
+    token_counts,
+)
 from pacefold.llm.folders import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,8 +29,8 @@ def _on_documents(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(documents(spark, sf_dir))
 
 
-def _benchmark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def workers_find_package(spark: SparkSession) -> None:
@@ -48,10 +59,17 @@ def _prepared(query: Query) -> Query:
 
 _QUERIES: dict[str, Query] = {
     "op1_decontamination": lambda spark, sf_dir: decontaminate.op1(
-        documents(spark, sf_dir), _benchmark(spark, sf_dir)
+        documents(spark, sf_dir), _table(spark, sf_dir, "benchmark")
     ),
+    "op2_language_model": _on_documents(language_model.op2),
+    "op3_token_counts": _on_documents(token_counts.op3),
+    "op4_chat": lambda spark, sf_dir: chat.op4(_table(spark, sf_dir, "conversations")),
     "op5_near_duplicates": _on_documents(near_dedup.op5),
     "op6_language": _on_documents(language.op6),
+    "op7_neighbours": lambda spark, sf_dir: neighbours.op7(_table(spark, sf_dir, "embeddings")),
     "op8_mixing": _on_documents(mixing.op8),
     "op9_suffix_dedup": _on_documents(suffix_dedup.op9),
+    "op10_quality": lambda spark, sf_dir: quality.op10(
+        documents(spark, sf_dir), _table(spark, sf_dir, "labels")
+    ),
 }

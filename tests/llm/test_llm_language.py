@@ -1,0 +1,108 @@
+"""Code lengths against a plain reading of the trees; accuracy on held-out rows."""
+
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from llm_reading import crc, rows_of
+
+from pacefold.llm import language
+from pacefold.llm.text import pieces
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain_read(text: str) -> bytes:
+    out = bytearray()
+    for byte in text.encode():
+        read = byte if byte >= 0x80 else (byte | 0x20 if chr(byte).isalpha() else 0x20)
+        if read != 0x20 or not out or out[-1] != 0x20:
+            out.append(read)
+    return bytes(out)
+
+
+def plain_counts(texts: list[str]) -> dict[bytes, Counter]:
+    trees: dict[bytes, Counter] = {}
+    for text in texts:
+        data = bytes(language.ORDER) + plain_read(text)
+        for i in range(language.ORDER, len(data)):
+            for order in range(language.ORDER + 1):
+                trees.setdefault(data[i - order : i], Counter())[data[i]] += 1
+    return trees
+
+
+def plain_length(trees: dict[bytes, Counter], text: str) -> float:
+    data, bits = bytes(language.ORDER) + plain_read(text), 0.0
+    for i in range(language.ORDER, len(data)):
+        for order in range(language.ORDER, -1, -1):
+            seen = trees.get(data[i - order : i])
+            if not seen:
+                continue
+            room = sum(seen.values()) + len(seen)
+            if data[i] in seen:
+                bits -= math.log2(seen[data[i]] / room)
+                break
+            bits -= math.log2(len(seen) / room)
+        else:
+            bits += 8
+    return bits
+
+
+def test_code_lengths_are_exact():
+    learnt = {
+        "aa": ["The cat sat on the mat.", "Then that cat ran, 12 times!", "thé"],
+        "bb": ["Der Hund und die Katze", "über den Zaun", "der die das, der"],
+    }
+    import pandas as pd
+
+    parts = []
+    for name, texts in learnt.items():
+        batch = pa.record_batch([pa.array([name] * len(texts)), pa.array(texts)], ["lang", "text"])
+        parts += [b.to_pandas() for b in language._count(iter([batch]))]
+    counts = pd.concat(parts).groupby(["lang", "gram"], as_index=False)["n"].sum()
+    model = language.build(counts)
+    texts = ["the cat", "Über die Katze!", "zzz qqq", "", "xyz the der 漢字", "t"]
+    piece = next(pieces(pa.array(texts)))
+    sums = language.code_lengths(model, piece)
+    for column, name in enumerate(model.languages):
+        trees = plain_counts(learnt[name])
+        expected = [plain_length(trees, t) for t in texts]
+        assert np.allclose(sums[:, column], expected, rtol=1e-5)
+
+
+def test_held_out_accuracy(spark):
+    table = pq.read_table(f"{SF}/documents.parquet", columns=["doc_id", "text", "lang"]).to_pylist()
+    truth = {r["doc_id"]: r for r in table}
+    result = rows_of(language.op6(spark.read.parquet(f"{SF}/documents.parquet")))
+    assert len(result) == len(truth)
+    held = [r for r in result if r[1]]
+    assert {r[0] for r in held} == {i for i in truth if crc(i) % 3 == 1}
+    assert np.mean([r[2] == truth[r[0]]["lang"] for r in held]) > 0.98
+    assert all(0 <= r[3] <= 1 for r in result)
+
+
+def test_language_of_held_out_rows_is_not_used(spark):
+    frame = spark.read.parquet(f"{SF}/documents.parquet").limit(300)
+    changed = frame.selectExpr(
+        "doc_id", "text", "if(crc32(string(doc_id)) % 3 = 1, 'xx', lang) AS lang", "source", "n_chars"
+    )
+    assert sorted(rows_of(language.op6(frame))) == sorted(rows_of(language.op6(changed)))
+
+
+def test_edges(docs):
+    rows = [(i, "the cat sat on the mat", "en", "s") for i in range(6)]
+    rows += [(i, "der hund und die katze", "de", "s") for i in range(6, 12)]
+    odd = [(20, None), (21, ""), (22, "12 34 !?"), (23, "—…😀"), (24, "É"), (25, "the " * 200_000), (None, "the cat")]
+    result = {r[0]: r[1:] for r in rows_of(language.op6(docs(rows + [(i, t, None, None) for i, t in odd])))}
+    for doc_id in (20, 21, 22, 23):
+        assert result[doc_id][1:] == ("und", 0.0)
+    assert result[25][1] == "en" and result[None][1] == "en"
+    assert result[24][1] in ("en", "de")
+    assert rows_of(language.op6(docs([]))) == []
+    assert {r[2] for r in rows_of(language.op6(docs([(1, "a", None, None)])))} == {"und"}
+    clash = docs(rows).selectExpr("*", "'x' AS lang_pred", "1.0D AS score", "'y' AS _lettered")
+    assert len(rows_of(language.op6(clash))) == 12

@@ -1,0 +1,80 @@
+"""Scores on held-out rows, the sum-of-squares identity and its gradients."""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
+from llm_reading import crc, rows_of
+
+from pacefold.llm import quality
+from pacefold.llm.text import pieces
+
+SF = "/root/testdata/sf0.1"
+
+
+def tables(spark, sf=SF):
+    return spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
+
+
+def area_under_curve(scores, labels):
+    order = np.argsort(scores, kind="stable")
+    ranks = np.empty(len(scores))
+    ranks[order] = np.arange(1, len(scores) + 1)
+    good = labels == 1
+    return (ranks[good].sum() - good.sum() * (good.sum() + 1) / 2) / (good.sum() * (~good).sum())
+
+
+def test_held_out_scores(spark):
+    result = {r[0]: r[1:] for r in rows_of(quality.op10(*tables(spark)))}
+    labels = pq.read_table(f"{SF}/labels.parquet").to_pylist()
+    held = [r for r in labels if crc(r["doc_id"]) % 3 == 1]
+    assert all(result[r["doc_id"]][0] for r in held)
+    truth = np.array([r["quality"] for r in held])
+    scores = np.array([result[r["doc_id"]][1] for r in held])
+    guessed = np.array([result[r["doc_id"]][2] for r in held])
+    assert area_under_curve(scores, truth) > 0.9
+    assert (guessed == truth).mean() > max(truth.mean(), 0.9)
+
+
+def test_pairs_by_sum_of_squares():
+    texts = ["The cat sat, the CAT ran.", "", "x 1 2 !!", "line\nline\nline"]
+    piece = next(pieces(pa.array(texts)))
+    rows = quality.features(piece, np.array([20.0, np.nan, 3, 14]))
+    pick = np.random.default_rng(1)
+    machine = quality.Machine(
+        0.3, pick.normal(size=quality.FEATURES), pick.normal(size=(quality.FEATURES, quality.FACTORS))
+    )
+    outputs, _, _ = machine.outputs(rows)
+    ends = np.append(rows.begins[1:], len(rows.index))
+    for row, (low, high) in enumerate(zip(rows.begins, ends, strict=True)):
+        index, value = rows.index[low:high], rows.value[low:high].astype(float)
+        expected = 0.3 + machine.weights[index] @ value
+        for i in range(len(index)):
+            for j in range(i + 1, len(index)):
+                product = machine.factors[index[i]] @ machine.factors[index[j]]
+                expected += product * value[i] * value[j]
+        assert np.isclose(outputs[row], expected)
+
+
+def test_labels_of_held_out_rows_are_not_used(spark):
+    documents, labels = tables(spark, "/root/testdata/sf0.01")
+    changed = labels.selectExpr(
+        "doc_id", "if(crc32(string(doc_id)) % 3 = 1, 1 - quality, quality) AS quality", "toxic"
+    )
+    assert sorted(rows_of(quality.op10(documents, labels))) == sorted(
+        rows_of(quality.op10(documents, changed))
+    )
+
+
+def test_edges(spark, docs):
+    labels = spark.createDataFrame(
+        [(1, 1), (2, 0), (2, None), (3, 1), (3, 0), (99, 1), (None, 1)], "doc_id long, quality int"
+    )
+    rows = [(1, "fine words here"), (2, "@@@ ###"), (3, "more fine words"), (4, None), (5, ""), (6, "w " * 300_000), (None, "x"), (1, "fine words here")]
+    frame = docs(rows).selectExpr("doc_id", "text", "if(doc_id = 4, null, n_chars) AS n_chars", "'z' AS quality", "'y' AS score")
+    result = rows_of(quality.op10(frame, labels))
+    assert len(result) == len(rows)
+    assert all(0 <= r[2] <= 1 and r[3] == int(r[2] >= 0.5) for r in result)
+    assert rows_of(quality.op10(docs([]), labels)) == []
+    assert {r[2] for r in rows_of(quality.op10(docs(rows), labels.limit(0)))} == {0.5}
