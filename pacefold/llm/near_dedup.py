@@ -11,12 +11,17 @@ first non-empty bin on a probe sequence of its own (optimal densification). ``RO
 bins make a band; classes that agree on a band meet in a bucket. A pair at the
 threshold misses all bands with probability ``(1 - 0.85**4)**28``, about 1e-9.
 
-Buckets hand out star-shaped edges, from a centre to the members, never all pairs.
-Links are confirmed on the full sets. Since a component is what is wanted, a bucket is
-done once its members are in one component; otherwise members outside the component of
-its smallest member become centres in turn, in rounds that double, until every pair of
-the bucket was compared or lies in one component. Nothing is capped: a round emits
-only more stars when earlier ones left members apart.
+Candidate edges are star-shaped: each bucket's members go to its most connected class,
+the centre, and a member shared by several buckets of one centre goes there once. All
+sets of a star are compared with its centre's. Members linked with the centre are one
+component already; only a *stranger*, a member that is not, can still be linked with
+other members, and it is compared with those that three tests leave: their distance
+(one minus similarity, a metric) to the centre must be within 0.15 of its own, their
+sizes must allow the similarity, and their finer signatures of ``FINE_BINS`` bins must
+not put it five standard deviations below the threshold. Two linked classes share a
+bucket and so a star; hence no link is lost, and copies of one text, the usual large
+group, cost one comparison each. Stars too large for one task are cut by distance to
+the centre, and a stranger goes to the parts within its reach.
 
 Defined cases: null and wordless texts have an empty set, are linked with nothing and
 kept; documents without an id likewise (their component is null); rows that repeat an
@@ -30,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.llm.folders import Store, stored, workspace
@@ -41,36 +46,44 @@ PERCENT = 85
 BANDS = 28
 ROWS = 4
 BINS = BANDS * ROWS
-#: Members of a star that one task compares with its centre, on average.
-STAR_PART = 256
+#: Bins of the finer signatures that keep strangers from being compared in vain.
+FINE_BINS = 256
+#: Shingles of a star's members that one task holds, about.
+PART_SHINGLES = 1_000_000
+#: Large stars are cut into rings of this width around their centre.
+RING = 0.05
+
+_REACH = 1 - PERCENT / 100
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _probe(attempt: int) -> np.ndarray:
+def _probe(attempt: int, bins: int) -> np.ndarray:
     """Where each bin looks at the given attempt."""
-    seeds = np.arange(BINS, dtype=np.uint64) + np.uint64(attempt) * np.uint64(BINS)
-    return (mix(seeds + np.uint64(0x51ED270B)) % np.uint64(BINS)).astype(np.int64)
+    seeds = np.arange(bins, dtype=np.uint64) + np.uint64(attempt) * np.uint64(bins)
+    return (mix(seeds + np.uint64(0x51ED270B)) % np.uint64(bins)).astype(np.int64)
 
 
-def signatures(shingles: np.ndarray, docs: np.ndarray, count: int) -> np.ndarray:
+def signatures(
+    shingles: np.ndarray, docs: np.ndarray, count: int, bins: int = BINS
+) -> np.ndarray:
     """One-permutation hashes of each document's set, densified; one row per document.
 
     ``shingles`` must be sorted within each document. Bins follow the order of hashes,
     so the first shingle of a bin is its smallest. Rows of empty sets stay empty.
     """
-    bins = ((shingles >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
-    slots = docs * BINS + bins
+    place = ((shingles >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)).astype(np.int64)
+    slots = docs * bins + place
     first = np.flatnonzero(np.r_[True, slots[1:] != slots[:-1]]) if len(slots) else slots
-    table = np.full(count * BINS, _EMPTY, dtype=np.uint64)
+    table = np.full(count * bins, _EMPTY, dtype=np.uint64)
     table[slots[first]] = shingles[first]
-    given = table.reshape(count, BINS)
+    given = table.reshape(count, bins)
     dense = given.copy()
     filled = np.bincount(docs, minlength=count) > 0
     rows, holes = np.nonzero((given == _EMPTY) & filled[:, None])
     attempt = 0
     while len(rows):
-        donor = given[rows, _probe(attempt)[holes]]
+        donor = given[rows, _probe(attempt, bins)[holes]]
         dense[rows, holes] = donor
         left = donor == _EMPTY
         rows, holes = rows[left], holes[left]
@@ -110,21 +123,30 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Full sets and fine signatures, the latter one byte a bin."""
     for batch in batches:
         ids = batch.column("doc_id")
         for piece in pieces(batch.column("text")):
             shingles, docs = shingle_sets(piece, WIDTH)
-            ends = np.cumsum(np.bincount(docs, minlength=piece.count))
-            blobs = pa.LargeBinaryArray.from_buffers(
-                pa.large_binary(),
-                piece.count,
-                [None, pa.py_buffer(np.r_[0, ends].astype(np.int64) * 8), pa.py_buffer(shingles)],
-            )
+            sizes = np.bincount(docs, minlength=piece.count)
+            fine = mix(signatures(shingles, docs, piece.count, FINE_BINS)).astype(np.uint8)
             yield pa.RecordBatch.from_arrays(
-                [ids.slice(piece.first, piece.count), blobs.cast(pa.binary())], ["rep", "members"]
+                [
+                    ids.slice(piece.first, piece.count),
+                    pa.array(sizes, pa.int64()),
+                    _blobs(np.cumsum(sizes) * 8, shingles),
+                    _blobs(np.arange(1, piece.count + 1) * FINE_BINS, fine),
+                ],
+                ["rep", "n", "members", "fine"],
             )
 
 
+def _blobs(ends: np.ndarray, values: np.ndarray) -> pa.Array:
+    offsets = np.concatenate([[0], ends]).astype(np.int64)
+    parts = [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(ends), parts).cast(pa.binary())
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and its ``root``, the smallest node of its component.
 
@@ -160,51 +182,196 @@ def components(edges: DataFrame) -> DataFrame:
         return stored(found, "roots")
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compare each star's members with its centre, which comes first."""
-    centre_set = np.zeros(0, dtype=np.uint64)
+def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with equal keys; a run may span batches."""
+    held = None
     for batch in batches:
-        centres, reps = batch.column("centre").to_numpy(), batch.column("rep").to_numpy()
-        linked = np.zeros(batch.num_rows, dtype=bool)
-        for row, blob in enumerate(batch.column("members")):
-            own = np.frombuffer(blob.as_buffer(), dtype=np.uint64)
-            if centres[row] == reps[row]:
-                centre_set = own.copy()
-                continue
-            both = np.intersect1d(centre_set, own, assume_unique=True).size
-            linked[row] = 100 * both >= PERCENT * (centre_set.size + own.size - both)
-        member = centres != reps
-        low, high = np.minimum(centres, reps)[member], np.maximum(centres, reps)[member]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(low), pa.array(high), pa.array(linked[member])], ["u", "v", "linked"]
-        )
+        if held is not None:
+            batch = pa.concat_batches([held, batch])
+        if not batch.num_rows:
+            continue
+        values = [batch.column(k).to_numpy() for k in keys]
+        fresh = np.any([v[1:] != v[:-1] for v in values], axis=0)
+        cuts = np.concatenate([[0], np.flatnonzero(fresh) + 1])
+        for low, high in zip(cuts[:-1], cuts[1:], strict=True):
+            yield batch.slice(low, high - low)
+        held = batch.slice(cuts[-1])
+    if held is not None and held.num_rows:
+        yield held
+
+
+class _Members:
+    """Some members of a star."""
+
+    def __init__(self, rows: pa.RecordBatch) -> None:
+        self.reps = rows.column("rep").to_numpy()
+        self.sets = [np.frombuffer(b.as_buffer(), dtype=np.uint64) for b in rows.column("members")]
+        self.sizes = np.array([len(s) for s in self.sets], dtype=np.int64)
+        fine = [np.frombuffer(b.as_buffer(), dtype=np.uint8) for b in rows.column("fine")]
+        self.fine = np.stack(fine) if fine else np.zeros((0, FINE_BINS), dtype=np.uint8)
+
+
+def _shared(one: np.ndarray, other: np.ndarray) -> int:
+    return np.intersect1d(one, other, assume_unique=True).size
+
+
+def _linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return 100 * shared >= PERCENT * (one + other - shared)
 
 
-def confirmed(edges: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
-    """Compare the full sets of each edge ``centre, rep``.
+def _lowest_match(sizes: np.ndarray) -> np.ndarray:
+    """Share of fine bins that linked sets of these sizes agree on, at the very least.
 
-    Returns ``u < v`` and whether they are ``linked``. A star of many members is dealt
-    to several tasks, each with a copy of the centre.
+    Five standard deviations below the threshold, over the bins that the smaller set
+    fills by itself.
     """
+    filled = FINE_BINS * (1 - np.exp(-sizes / FINE_BINS))
+    level = PERCENT / 100
+    return level - 5 * np.sqrt(level * (1 - level) / np.maximum(filled, 1))
+
+
+def _links_of_strangers(
+    strangers: _Members, from_centre: np.ndarray, members: _Members, distances: np.ndarray
+) -> list[tuple[int, int]]:
+    """Links between strangers and members of a star, by their full sets."""
+    found = []
+    for row, rep in enumerate(strangers.reps):
+        size = strangers.sizes[row]
+        low, high = np.minimum(members.sizes, size), np.maximum(members.sizes, size)
+        near = np.abs(distances - from_centre[row]) <= _REACH + 1e-9
+        near &= (100 * low >= PERCENT * high) & (members.reps != rep)
+        rows = np.flatnonzero(near)
+        match = (members.fine[rows] == strangers.fine[row]).mean(axis=1)
+        for other in rows[match >= _lowest_match(low[rows])]:
+            both = _shared(strangers.sets[row], members.sets[other])
+            if _linked(both, size, members.sizes[other]):
+                found.append((rep, members.reps[other]))
+    return found
+
+
+_EDGES = "u long, v long, linked boolean, distance double, parts int"
+
+
+def _edges(u, v, linked, distance, parts) -> pa.RecordBatch:
+    columns = zip((u, v, linked, distance, parts), _EDGE_TYPES, strict=True)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, t) for c, t in columns], ["u", "v", "linked", "distance", "parts"]
+    )
+
+
+_EDGE_TYPES = (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.int32())
+
+
+def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare a star's members with its centre; settle stars of one part wholly."""
+    for group in _groups(batches, ["centre", "part"]):
+        centre, parts = group.column("centre")[0].as_py(), group.column("parts")[0].as_py()
+        star = _Members(group)
+        at = int(np.flatnonzero(star.reps == centre)[0])
+        own, size = star.sets[at], star.sizes[at]
+        shared = np.array([_shared(own, s) for s in star.sets])
+        distances = 1 - shared / (star.sizes + size - shared)
+        linked = _linked(shared, star.sizes, size)
+        others = np.flatnonzero(star.reps != centre)
+        count = len(others)
+        yield _edges(
+            np.full(count, centre), star.reps[others], linked[others], distances[others],
+            np.full(count, parts),
+        )
+        alone = np.flatnonzero(~linked)
+        if parts == 1 and len(alone) and count > 1:
+            strangers = _Members(group.take(pa.array(alone)))
+            pairs = _links_of_strangers(strangers, distances[alone], star, distances)
+            if pairs:
+                u, v = zip(*pairs, strict=True)
+                yield _edges(u, v, [True] * len(u), [None] * len(u), [1] * len(u))
+
+
+def _rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare strangers with the members of one part of a ring."""
+    for group in _groups(batches, ["centre", "ring", "part"]):
+        stranger = group.column("stranger").to_numpy(zero_copy_only=False)
+        distances = group.column("distance").to_numpy()
+        some, rest = np.flatnonzero(stranger), np.flatnonzero(~stranger)
+        pairs = _links_of_strangers(
+            _Members(group.take(pa.array(some))), distances[some],
+            _Members(group.take(pa.array(rest))), distances[rest],
+        )
+        if pairs:
+            u, v = zip(*pairs, strict=True)
+            yield _edges(u, v, [True] * len(u), [None] * len(u), [1] * len(u))
+
+
+def star_links(stars: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+    """Links ``u, v`` of all stars, given as ``centre, rep`` with the centre not among them."""
+    sizes = sets.select("rep", "n")
     parts = store(
-        edges.groupBy("centre").agg(F.ceil(F.count("*") / STAR_PART).cast("int").alias("parts")),
+        stars.join(sizes, "rep")
+        .groupBy("centre")
+        .agg(F.ceil(F.sum("n") / PART_SHINGLES).cast("int").alias("parts")),
         "star-parts",
     )
-    members = edges.join(parts, "centre").select(
-        "centre", F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int").alias("part"), "rep"
+    members = stars.join(parts, "centre").select(
+        "centre", "parts", _dealt("rep", F.col("parts")).alias("part"), "rep"
     )
     centres = parts.select(
         "centre",
+        "parts",
         F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
         F.col("centre").alias("rep"),
     )
-    return (
+    compared = store(
         members.union(centres)
         .join(sets, "rep")
         .repartition("centre", "part")
-        .sortWithinPartitions("centre", "part", F.col("rep") != F.col("centre"), "rep")
-        .select("centre", "rep", "members")
-        .mapInArrow(_compare, "u long, v long, linked boolean")
+        .sortWithinPartitions("centre", "part", "rep")
+        .mapInArrow(_stars, _EDGES),
+        "compared",
+    )
+    links = compared.where("linked").select("u", "v")
+    large = compared.where("parts > 1").select(
+        F.col("u").alias("centre"), F.col("v").alias("rep"), "distance"
+    )
+    if large.isEmpty():
+        return links
+    return links.union(_links_across_parts(large, sets, store))
+
+
+def _dealt(column: str, count: Column) -> Column:
+    return F.pmod(F.xxhash64(column), count).cast("int")
+
+
+def _links_across_parts(large: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+    """Links of strangers in stars of several parts, given each member's distance."""
+    placed = large.withColumn("ring", F.floor(F.col("distance") / RING).cast("int"))
+    rings = store(
+        placed.join(sets.select("rep", "n"), "rep")
+        .groupBy("centre", "ring")
+        .agg(F.ceil(F.sum("n") / PART_SHINGLES).cast("int").alias("parts")),
+        "rings",
+    )
+    members = placed.join(rings, ["centre", "ring"]).select(
+        "centre", "ring", _dealt("rep", F.col("parts")).alias("part"), "rep", "distance",
+        F.lit(False).alias("stranger"),
+    )
+    inner, outer = F.col("ring") * RING, (F.col("ring") + 1) * RING
+    strangers = (
+        large.where(F.col("distance") > _REACH - 1e-9)
+        .join(rings, "centre")
+        .where((inner <= F.col("distance") + _REACH + 1e-6) & (outer >= F.col("distance") - _REACH - 1e-6))
+        .select(
+            "centre", "ring",
+            F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+            "rep", "distance", F.lit(True).alias("stranger"),
+        )
+    )
+    return (
+        members.union(strangers)
+        .join(sets, "rep")
+        .repartition("centre", "ring", "part")
+        .sortWithinPartitions("centre", "ring", "part")
+        .mapInArrow(_rings, _EDGES)
+        .select("u", "v")
     )
 
 
@@ -235,108 +402,41 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     return every, firsts.dropDuplicates(["rep"])
 
 
-def shared_buckets(firsts: DataFrame, store: Store) -> DataFrame:
-    """Rows ``bucket, rep, n`` of the buckets with more than one class."""
-    rows = firsts.select(
-        F.explode("buckets").alias("bucket"), "rep", F.col("n_shingles").alias("n")
+def star_edges(firsts: DataFrame, store: Store) -> DataFrame:
+    """Distinct ``centre, rep`` of all buckets with more than one class.
+
+    A bucket's centre is the class that meets most others over all its buckets.
+    """
+    rows = firsts.select(F.explode("buckets").alias("bucket"), "rep")
+    several = rows.groupBy("bucket").agg(F.count("*").alias("met")).where("met > 1")
+    buckets = store(rows.join(several, "bucket"), "buckets")
+    connected = buckets.groupBy("rep").agg((-F.sum("met")).alias("rank"))
+    ranked = store(buckets.join(connected, "rep").select("bucket", "rank", "rep"), "ranked")
+    highest = ranked.groupBy("bucket").agg(F.min("rank").alias("rank"))
+    centres = (
+        ranked.join(highest, ["bucket", "rank"])
+        .groupBy("bucket")
+        .agg(F.min("rep").alias("centre"))
     )
-    several = (
-        rows.groupBy("bucket")
-        .agg(F.min("rep").alias("low"), F.max("rep").alias("high"))
-        .where("low < high")
-        .select("bucket")
+    return store(
+        ranked.join(centres, "bucket").where("rep <> centre").select("centre", "rep").distinct(),
+        "stars",
     )
-    return store(rows.join(several, "bucket"), "buckets")
 
 
 def link_classes(firsts: DataFrame, documents: DataFrame) -> DataFrame:
     """``node, root`` of every class that is linked with another."""
     with workspace(documents.sparkSession, "links") as store:
-        buckets = shared_buckets(firsts, store)
-        active = buckets.select(F.col("rep").alias("doc_id")).distinct()
+        stars = star_edges(firsts, store)
+        active = stars.select(F.col("rep").alias("doc_id")).union(stars.select("centre")).distinct()
         sets = store(
             documents.select(F.col("doc_id").cast("long"), "text")
             .join(active, "doc_id", "left_semi")
-            .mapInArrow(_sets, "rep long, members binary")
+            .mapInArrow(_sets, "rep long, n long, members binary, fine binary")
             .dropDuplicates(["rep"]),
             "sets",
         )
-        compared = store(confirmed(store(_first_star(buckets), "stars"), sets, store), "compared")
-        roots = components(compared.where("linked"))
-        done = buckets.select("bucket", "rep").limit(0)
-        most = 1
-        while True:
-            labelled = store(_labelled(buckets, roots), "labelled")
-            centres = store(_next_centres(labelled, done, most), "centres")
-            if centres.isEmpty():
-                return roots
-            edges = store(_stars(labelled, centres, compared), "stars")
-            if not edges.isEmpty():
-                compared = compared.union(store(confirmed(edges, sets, store), "compared"))
-                roots = components(compared.where("linked"))
-            done = done.union(centres.select("bucket", "rep"))
-            most *= 4
-
-
-def _first_star(buckets: DataFrame) -> DataFrame:
-    """One edge per class, to the smallest class it shares a bucket with."""
-    low = buckets.groupBy("bucket").agg(F.min(F.struct("rep", "n")).alias("low"))
-    return (
-        buckets.join(low, "bucket")
-        .where((F.col("low.rep") < F.col("rep")) & _sizes_allow(F.col("n"), F.col("low.n")))
-        .groupBy("rep")
-        .agg(F.min("low.rep").alias("centre"))
-    )
-
-
-def _sizes_allow(one: Column, other: Column) -> Column:
-    """Whether two set sizes leave room for the similarity."""
-    return 100 * F.least(one, other) >= PERCENT * F.greatest(one, other)
-
-
-def _labelled(buckets: DataFrame, roots: DataFrame) -> DataFrame:
-    """Members of the buckets that more than one component shares, with their root."""
-    rows = buckets.join(roots, buckets["rep"] == roots["node"], "left").select(
-        "bucket", "rep", "n", F.coalesce("root", "rep").alias("root")
-    )
-    mixed = (
-        rows.groupBy("bucket")
-        .agg(F.min("root").alias("home"), F.max("root").alias("_high"))
-        .where("home < _high")
-        .drop("_high")
-    )
-    return rows.join(mixed, "bucket")
-
-
-def _next_centres(labelled: DataFrame, done: DataFrame, most: int) -> DataFrame:
-    """Up to ``most`` members per bucket outside its first component, not yet centres."""
-    order = Window.partitionBy("bucket").orderBy("rep")
-    return (
-        labelled.where("root <> home")
-        .join(done, ["bucket", "rep"], "left_anti")
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= most)
-        .select("bucket", "rep", "n", "root")
-    )
-
-
-def _stars(labelled: DataFrame, centres: DataFrame, compared: DataFrame) -> DataFrame:
-    """Edges from the centres to members of other components, if not compared before."""
-    hubs = centres.select(
-        "bucket", F.col("rep").alias("centre"), F.col("n").alias("_n"), F.col("root").alias("_root")
-    )
-    pairs = (
-        labelled.join(hubs, "bucket")
-        .where((F.col("root") != F.col("_root")) & _sizes_allow(F.col("n"), F.col("_n")))
-        .select(
-            "centre", "rep", F.least("centre", "rep").alias("u"), F.greatest("centre", "rep").alias("v")
-        )
-    )
-    return (
-        pairs.dropDuplicates(["u", "v"])
-        .join(compared.select("u", "v"), ["u", "v"], "left_anti")
-        .select("centre", "rep")
-    )
+        return components(star_links(stars, sets, store))
 
 
 def near_duplicates(documents: DataFrame) -> DataFrame:

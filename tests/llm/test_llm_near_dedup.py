@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import pyarrow.parquet as pq
+import pytest
 from llm_reading import SF, rows_of, shingles_of
 
 from pacefold.llm import near_dedup
@@ -47,8 +48,13 @@ def test_whole_table_against_brute_force(spark):
     assert found(spark.read.parquet(f"{SF}/documents.parquet")) == expected
 
 
-def test_chains_and_groups_around_the_threshold(docs):
-    """Chains of small changes, so that many members are linked only through others."""
+@pytest.mark.parametrize("part", [1_000_000, 300])
+def test_chains_and_groups_around_the_threshold(docs, monkeypatch, part):
+    """Chains of small changes, so that many members are linked only through others.
+
+    Small parts cut every star into several, whose strangers meet ring by ring.
+    """
+    monkeypatch.setattr(near_dedup, "PART_SHINGLES", part)
     pick = random.Random(11)
     vocabulary = [f"w{i}" for i in range(400)]
     rows, next_id = [], 0
