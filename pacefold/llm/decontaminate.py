@@ -16,9 +16,9 @@ Only built-in functions are used. The sketches are broadcast if they have at mos
 with one another.
 
 Defined cases: null and wordless texts contain nothing, and such items are contained in
-nothing; rows without an id are left out; rows that repeat an id are one document (or
-item) that has the shingles of all its rows' best one; ties do not arise; further
-columns are ignored; an empty table on either side gives an empty result.
+nothing; rows without an id are left out; rows that repeat an id must hold the same text
+and are one document (or item); a share just at the threshold counts; further columns
+are ignored; an empty table on either side gives an empty result.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacefold.llm.folders import lower_ascii, stored
+from pacefold.llm.folders import lower_ascii, of_ids, stored
 
 WIDTH = 5
 #: Part of an item's shingles, in percent, that a document must have.
@@ -113,7 +113,7 @@ def contained(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = stored(candidates(texts, items), "candidates")
     item_sets = items.select("item_id", shingle_texts("words").alias("item_shingles"))
     doc_sets = (
-        texts.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+        of_ids(texts, found.select("doc_id").distinct(), "doc_id")
         .select("doc_id", word_list(F.col("text")).alias("words"))
         .select("doc_id", shingle_texts("words").alias("doc_shingles"))
     )

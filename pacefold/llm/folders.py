@@ -42,6 +42,25 @@ def _written(frame: DataFrame, path: str) -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+#: Slots of the sieve that rows pass before a join on their ids, 8 bytes each.
+SIEVE_SLOTS = 1 << 21
+
+
+def of_ids(frame: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of a wide frame whose id is in ``ids``, which may be of any size.
+
+    The ids' hashed slots, at most ``SIEVE_SLOTS`` numbers, are sent to all executors
+    and hold back most other rows before the join shuffles what is left by its id.
+    """
+
+    def slot(name: str):
+        return F.pmod(F.xxhash64(F.col(name).cast("long")), F.lit(SIEVE_SLOTS)).alias("_slot")
+
+    sieve = F.broadcast(ids.select(slot(column)).distinct())
+    passed = frame.withColumn("_slot", slot(column)).join(sieve, "_slot", "left_semi")
+    return passed.drop("_slot").join(ids.select(column), column, "left_semi")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pacefold.llm.folders import Store, stored, workspace
+from pacefold.llm.folders import Store, of_ids, stored, workspace
 from pacefold.llm.text import mix, pieces, shingle_sets, signed
 
 WIDTH = 5
@@ -429,11 +429,11 @@ def link_classes(firsts: DataFrame, documents: DataFrame) -> DataFrame:
     with workspace(documents.sparkSession, "links") as store:
         stars = star_edges(firsts, store)
         active = stars.select(F.col("rep").alias("doc_id")).union(stars.select("centre")).distinct()
+        texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         sets = store(
-            documents.select(F.col("doc_id").cast("long"), "text")
-            .join(active, "doc_id", "left_semi")
-            .mapInArrow(_sets, "rep long, n long, members binary, fine binary")
-            .dropDuplicates(["rep"]),
+            of_ids(texts, store(active, "active"), "doc_id").mapInArrow(
+                _sets, "rep long, n long, members binary, fine binary"
+            ),
             "sets",
         )
         return components(star_links(stars, sets, store))
