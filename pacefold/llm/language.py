@@ -185,13 +185,19 @@ def learn(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Count grams in a bounded sample of the documents that have a language.
 
     A language's sample is its ``sample_docs`` documents with the smallest hash of
-    their id; whole texts count. What comes to the driver is one row per language and
+    their id; whole texts count. One row per language is broadcast. What comes to the driver is one row per language and
     distinct gram of that sample.
     """
-    chosen = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    named = documents.where(F.col("lang").isNotNull()).select("doc_id", "lang")
+    sizes = named.groupBy(F.col("lang").alias("_of")).agg(F.count("*").alias("_docs"))
+    # Only ids hashed low enough to be among the smallest are ranked: twice as many as
+    # are wanted, or all, however many documents a language has.
+    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    chosen = Window.partitionBy("lang").orderBy("_share", "doc_id")
     ranked = (
-        documents.where(F.col("lang").isNotNull())
-        .select("doc_id", "lang")
+        named.withColumn("_share", share)
+        .join(F.broadcast(sizes), F.col("lang") == F.col("_of"))
+        .where(F.col("_share") * F.col("_docs") <= 2 * sample_docs)
         .withColumn("_rank", F.row_number().over(chosen))
         .where(F.col("_rank") <= sample_docs)
         .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
