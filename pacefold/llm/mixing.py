@@ -28,7 +28,7 @@ MOST_PASSES = 3
 #: Change of the sources' demand over training, repeating like the weights.
 SLOPES = (0.5, 0.0, -0.5)
 #: Documents of a source that one task puts in order, on average.
-SLICE_ROWS = 20_000
+SLICE_ROWS = 1_000
 
 
 def word_count(text: Column) -> Column:
