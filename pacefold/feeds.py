@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql.types import (
+    DateType,
     DoubleType,
     IntegerType,
     LongType,
@@ -16,12 +17,16 @@ from pyspark.sql.types import (
 
 @dataclass(frozen=True)
 class Feed:
-    """One kind of message: where it comes from, where it is stored, its fields."""
+    """One kind of message: where it comes from, where it is stored, its fields.
+
+    ``time_field`` names the field whose day the stored table is partitioned by.
+    """
 
     name: str
     topic: str
     table: str
     schema: StructType
+    time_field: str = "timestamp"
 
     @property
     def stored_schema(self) -> StructType:
@@ -58,6 +63,7 @@ SUMMARIES = Feed(
             StructField("date", StringType()),
         ]
     ),
+    time_field="date",
 )
 ALERTS = Feed(
     name="alerts",
@@ -78,6 +84,9 @@ FEEDS = (READINGS, SUMMARIES, ALERTS)
 #: Storage columns that say which micro-batch wrote a row.
 BATCH_COLUMNS = (StructField("writer", StringType()), StructField("batch_id", LongType()))
 
+#: Storage column of the day a row is about; null where it cannot be read.
+DAY_COLUMN = StructField("event_date", DateType())
+
 #: Shape of a raw message as brokers deliver it (extra broker columns are ignored).
 ENVELOPE = StructType(
     [

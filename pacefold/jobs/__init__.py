@@ -1 +1 @@
-"""Command-line jobs: stream, batch and publish."""
+"""Command-line jobs: stream, batch, alerts, compact and publish."""

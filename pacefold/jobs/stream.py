@@ -22,13 +22,18 @@ from pacefold.sinks.tables import (
     parquet_sink,
 )
 from pacefold.sources.topics import (
+    TopicSource,
     combined_stream,
+    deduplicated,
     file_source,
     kafka_source,
-    quarantined_stream,
 )
-from pacefold.streaming.router import Router
-from pacefold.streaming.run import AVAILABLE_NOW, start_batches, start_table
+from pacefold.streaming.router import Router, batch_reports
+from pacefold.streaming.run import AVAILABLE_NOW, start_batches
+
+
+#: Messages per batch and topic of a Kafka query, unless another bound is given.
+MOST_OFFSETS = 10_000_000
 
 
 def parse(arguments: Sequence[str] | None = None) -> Namespace:
@@ -46,74 +51,65 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     )
     parser.add_argument("--tables", required=True, help="folder of tables and reports")
     parser.add_argument("--checkpoint", required=True, help="folder of the checkpoint")
+    parser.add_argument("--label", help="name to put before the checkpoint's own id")
+    parser.add_argument("--latest", type=int, default=20, help="rows of the latest-rows views")
     parser.add_argument(
-        "--quarantine", help="folder of messages that could not be decoded, if wanted"
+        "--dedup", metavar="DELAY", help='drop copies that arrive within, say, "1 hour"'
     )
-    parser.add_argument("--writer", default="main", help="name unique to the checkpoint")
-    parser.add_argument(
-        "--max-offsets", type=int, default=10_000_000, help="messages per batch and topic"
+    bound = parser.add_mutually_exclusive_group()
+    bound.add_argument(
+        "--max-offsets", type=int, help="messages per batch and topic (10,000,000)"
     )
+    bound.add_argument("--max-files", type=int, help="message files per batch and topic")
     pace = parser.add_mutually_exclusive_group()
     pace.add_argument("--once", action="store_true", help="stop when caught up")
     pace.add_argument("--every", default="1 minute", help="interval between batches")
     add_options(parser, "jdbc", "store the tables in a database; url, driver, user, ...")
     add_options(parser, "kafka", "further Kafka options")
-    return parser.parse_args(arguments)
+    options = parser.parse_args(arguments)
+    if options.messages and options.max_offsets:
+        parser.error("--max-offsets bounds Kafka batches; give --max-files with --messages")
+    if options.bootstrap_servers and options.max_files:
+        parser.error("--max-files bounds batches of files; give --max-offsets for Kafka")
+    return options
 
 
-def start(spark: SparkSession, options: Namespace) -> list[StreamingQuery]:
-    feeds = tuple(feed for feed in FEEDS if feed.name in options.feeds)
+def topic_source(options: Namespace) -> TopicSource:
     if options.bootstrap_servers:
         source = kafka_source(
-            options.bootstrap_servers, options.max_offsets, **dict(options.kafka)
+            options.bootstrap_servers, options.max_offsets or MOST_OFFSETS, **dict(options.kafka)
         )
     else:
-        source = file_source(options.messages, options.format)
-    trigger = AVAILABLE_NOW if options.once else {"processingTime": options.every}
-    queries = [
-        start_batches(
-            combined_stream(spark, source, feeds),
-            _router(spark, options),
-            options.checkpoint,
-            trigger,
-            options.writer,
-        )
-    ]
-    if options.quarantine:
-        queries.append(
-            start_table(
-                quarantined_stream(spark, source, feeds),
-                options.quarantine,
-                f"{options.checkpoint}-quarantine",
-                trigger,
-            )
-        )
-    return queries
+        bound = {"maxFilesPerTrigger": str(options.max_files)} if options.max_files else {}
+        source = file_source(options.messages, options.format, **bound)
+    return deduplicated(source, options.dedup) if options.dedup else source
+
+
+def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
+    """One query: it stores, reports and quarantines from one reading of the topics."""
+    feeds = tuple(feed for feed in FEEDS if feed.name in options.feeds)
+    return start_batches(
+        combined_stream(spark, topic_source(options), feeds, graded=True),
+        _router(spark, options),
+        options.checkpoint,
+        AVAILABLE_NOW if options.once else {"processingTime": options.every},
+        options.label,
+    )
 
 
 def _router(spark: SparkSession, options: Namespace) -> Router:
-    files = parquet_sink(options.tables, options.writer)
+    files, reports = parquet_sink(options.tables, options.label), batch_reports(options.latest)
     if options.jdbc:
         database = dict(options.jdbc)
         create_jdbc_tables(spark, database)
-        return Router(jdbc_sink(database, options.writer), report=files)
+        return Router(jdbc_sink(database, options.label), files, reports)
     create_parquet_tables(spark, options.tables)
-    return Router(files)
-
-
-def wait(spark: SparkSession, queries: list[StreamingQuery], once: bool) -> None:
-    """Until all have caught up, or else until any one stops; raises its error."""
-    if once:
-        for query in queries:
-            query.awaitTermination()
-    else:
-        spark.streams.awaitAnyTermination()
+    return Router(files, files, reports)
 
 
 def main() -> None:
     options = parse()
-    spark = build_session("pacefold-stream")
-    wait(spark, start(spark, options), options.once)
+    start(build_session("pacefold-stream"), options).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -8,14 +8,21 @@ number of readings, are ordered per user.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pacefold.feeds import ALERTS
 from pacefold.functions.measures import row_count
-from pacefold.functions.messages import HIGH_HEART_RATE, alert_message
-from pacefold.functions.times import date_text, ensure_event_time
+from pacefold.functions.messages import (
+    GOAL_ACHIEVED,
+    HIGH_HEART_RATE,
+    LOW_ACTIVITY,
+    alert_message,
+)
+from pacefold.functions.times import date_text, ensure_event_time, timestamp_text
 
 
 def as_alerts(frame: DataFrame, alert_type: str) -> DataFrame:
@@ -69,21 +76,57 @@ def stream_sessions(readings: DataFrame, gap_seconds: int = 3600) -> DataFrame:
     )
 
 
-def low_activity_gaps(readings: DataFrame, gap_seconds: int = 3600) -> DataFrame:
+def low_activity_gaps(
+    readings: DataFrame, gap_seconds: int = 3600, as_of: datetime | None = None
+) -> DataFrame:
     """Pauses longer than the gap: the last reading before and the first after.
 
     Two readings in one gap-long slot are never more than the gap apart, so each
     pause lies between the last reading of a slot and the first of the user's
-    next slot.
+    next slot. With ``as_of``, users without a reading in the gap before that time
+    have a pause too, whose ``next_time`` is null.
     """
     following = F.lead("first").over(Window.partitionBy("user_id").orderBy("slot"))
+    until = F.coalesce("next_time", F.lit(as_of).cast("timestamp"))
     return (
         _slots(readings, gap_seconds)
         .select("user_id", F.col("last").alias("time"), following.alias("next_time"))
-        .where(F.col("next_time") > F.col("time") + _seconds(gap_seconds))
+        .where(until > F.col("time") + _seconds(gap_seconds))
     )
 
 
+def low_activity_alerts(
+    readings: DataFrame, gap_seconds: int = 3600, as_of: datetime | None = None
+) -> DataFrame:
+    """One alert per pause, at the last reading before it."""
+    gaps = low_activity_gaps(readings, gap_seconds, as_of)
+    return as_alerts(_at_time(gaps), LOW_ACTIVITY)
+
+
+def goal_alerts(readings: DataFrame, goal: int = 10000) -> DataFrame:
+    """One alert per user and day that met the step goal."""
+    return as_alerts(_at_time(goals_achieved(readings, goal)), GOAL_ACHIEVED)
+
+
+def derived_alerts(
+    readings: DataFrame,
+    limit: int = 100,
+    gap_seconds: int = 3600,
+    goal: int = 10000,
+    as_of: datetime | None = None,
+) -> DataFrame:
+    """All alerts that readings give rise to, as rows of the alert feed."""
+    return (
+        high_heart_rate_alerts(readings, limit)
+        .unionByName(low_activity_alerts(readings, gap_seconds, as_of))
+        .unionByName(goal_alerts(readings, goal))
+    )
+
+
+def _at_time(events: DataFrame) -> DataFrame:
+    return events.select("user_id", timestamp_text(F.col("time")).alias("timestamp"))
+
+
 def stream_low_activity(sessions: DataFrame, gap_seconds: int = 3600) -> DataFrame:
     """Low-activity events of a stream: every closed session ended in a pause."""
     return sessions.select(

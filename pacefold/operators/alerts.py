@@ -1,4 +1,4 @@
-"""Reports over alerts."""
+"""Reports over alerts, or over their counts from :func:`condense`."""
 
 from __future__ import annotations
 
@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS
-from pacefold.functions.measures import row_count
 from pacefold.functions.times import event_time
+from pacefold.functions.totals import ROWS, is_condensed, totals
 
 
 def alert_view(alerts: DataFrame) -> DataFrame:
@@ -30,11 +30,16 @@ def recent_alerts(alerts: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
+def condense(alerts: DataFrame) -> DataFrame:
+    """Counts per user and alert type, which the distributions can be made from."""
+    return totals(alerts, ["user_id", "alert_type"])
+
+
 def alert_type_distribution(alerts: DataFrame) -> DataFrame:
     """Alerts per type, commonest first; alerts without a type are a group too."""
     return (
-        alerts.groupBy("alert_type")
-        .agg(row_count("count"))
+        totals(alerts, ["alert_type"])
+        .select("alert_type", F.col(ROWS).alias("count"))
         .orderBy(F.desc("count"), "alert_type")
     )
 
@@ -45,18 +50,12 @@ def user_alert_distribution(alerts: DataFrame) -> DataFrame:
     Counts per (user, type) first: whatever one user's share of the alerts, the
     second step sees one row per type.
     """
-    return user_distribution(
-        alerts.groupBy("user_id", "alert_type").agg(row_count("rows"))
-    )
-
-
-def user_distribution(alert_counts: DataFrame) -> DataFrame:
-    """The same report from ``rows`` per user and alert type."""
-    typed = F.sum(F.when(F.col("alert_type").isNotNull(), F.col("rows")))
+    counts = alerts if is_condensed(alerts) else condense(alerts)
+    typed = F.sum(F.when(F.col("alert_type").isNotNull(), F.col(ROWS)))
     return (
-        alert_counts.groupBy("user_id")
+        counts.groupBy("user_id")
         .agg(
-            F.sum("rows").alias("total_alerts"),
+            F.sum(ROWS).alias("total_alerts"),
             F.coalesce(typed, F.lit(0)).alias("typed_alerts"),
             F.count("alert_type").alias("unique_alert_types"),
         )

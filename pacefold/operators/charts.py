@@ -13,9 +13,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 from pyspark.sql.window import Window
 
 from pacefold.functions.measures import row_count
+from pacefold.functions.totals import ROWS, totals
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 
@@ -25,11 +27,13 @@ ZOOM_STEPS = 2
 
 
 def value_counts(frame: DataFrame, column: str) -> DataFrame:
-    """Rows per non-null value: ``key``, ``count``; commonest first."""
+    """Rows per non-null value: ``key``, ``count``; commonest first.
+
+    The frame may hold totals (:mod:`pacefold.functions.totals`) of finer groups.
+    """
     return (
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(row_count("count"))
+        totals(frame.where(F.col(column).isNotNull()), [column])
+        .select(F.col(column).alias("key"), F.col(ROWS).alias("count"))
         .orderBy(F.desc("count"), "key")
     )
 
@@ -44,7 +48,7 @@ def point_counts(frame: DataFrame, x: str, y: str) -> DataFrame:
 
 
 def histogram(frame: DataFrame, column: str, bins: int = 20) -> DataFrame:
-    """Equal-width histogram from the lowest to the highest value; nulls left out.
+    """Equal-width histogram from the lowest to the highest value; nulls and NaN left out.
 
     The last bin includes its right edge, empty bins are listed, and a constant
     column gets a range one unit wide around its value.
@@ -148,16 +152,21 @@ def beyond_fences(frame: DataFrame, column: str, box: DataFrame) -> DataFrame:
     """Rows beyond the fences of a one-row frame with ``q1`` and ``q3``."""
     fences = box.select(F.struct(*_fences())).scalar()
     low, high = fences.getField("low_fence"), fences.getField("high_fence")
-    return frame.where((F.col(column) < low) | (F.col(column) > high))
+    beyond = frame.where((F.col(column) < low) | (F.col(column) > high))
+    if isinstance(frame.schema[column].dataType, DoubleType | FloatType):
+        return beyond.where(~F.isnan(column))
+    return beyond
 
 
 def distinct_values(frame: DataFrame, column: str) -> DataFrame:
-    """Non-null values ``v`` of a numeric column, each with its row count ``n``."""
-    return (
-        frame.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).cast("double").alias("v"))
-        .agg(row_count("n"))
-    )
+    """Values ``v`` of a numeric column, each with its row count ``n``.
+
+    Nulls are left out, and so is NaN, which has no place among the numbers.
+    """
+    numbers = frame.where(F.col(column).isNotNull())
+    if isinstance(frame.schema[column].dataType, DoubleType | FloatType):
+        numbers = numbers.where(~F.isnan(column))
+    return numbers.groupBy(F.col(column).cast("double").alias("v")).agg(row_count("n"))
 
 
 def _fences() -> tuple[Column, Column]:

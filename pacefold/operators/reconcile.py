@@ -3,22 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from pacefold.functions.times import ensure_event_time
 
+def closed_days(daily: DataFrame, watermark: datetime) -> DataFrame:
+    """The days whose end the watermark of a stream has passed.
 
-def closed_days(daily: DataFrame, readings: DataFrame, delay: str) -> DataFrame:
-    """The days whose end the watermark of a finished stream has passed."""
-    watermark = ensure_event_time(readings).agg(
-        F.max("event_time") - F.expr(f"INTERVAL {delay}")
-    ).scalar()
+    A stopped query gives its own (:func:`pacefold.streaming.run.last_watermark`), so
+    the readings are not read again for it.
+    """
     day_end = F.date_add(F.to_date("date"), 1).cast("timestamp")
-    return daily.where(day_end <= watermark)
+    return daily.where(day_end <= F.lit(watermark))
 
 
 def compare(

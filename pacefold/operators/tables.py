@@ -4,21 +4,17 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pacefold.functions.totals import ROWS, totals
 
-def table_row_counts(
-    tables: dict[str, DataFrame], count: Column | None = None
-) -> DataFrame:
-    """One row per table: its name and number of rows.
 
-    ``count`` replaces ``count(*)`` where the frames hold condensed rows.
-    """
-    rows = F.count("*") if count is None else count
+def table_row_counts(tables: dict[str, DataFrame]) -> DataFrame:
+    """One row per table: its name and number of rows, from rows or from totals."""
     counts = [
-        table.agg(rows.alias("row_count")).select(
-            F.lit(name).alias("table_name"), "row_count"
+        totals(table, []).select(
+            F.lit(name).alias("table_name"), F.col(ROWS).alias("row_count")
         )
         for name, table in tables.items()
     ]

@@ -2,210 +2,131 @@
 
 Reading the tables is what costs at scale, so the job condenses each one once
 (per user and day, per user, per user and alert type), writes the condensed rows
-to the shared folder, and computes all tabular reports from those. Charts need
-other groupings and read the tables' few columns themselves.
+to its own folder under the shared one, and computes all tabular reports from those.
+Charts and what is derived from single readings need other groupings and read the few
+columns of the tables that they need. The folder is removed at the end.
 """
 
 from __future__ import annotations
 
+from datetime import datetime
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from pacefold.functions.measures import measures, row_count
-from pacefold.functions.times import date_text, event_date
-from pacefold.operators import alerts as alert_reports
-from pacefold.operators import charts
+from pacefold.operators import alerting, alerts, charts, readings, rollups, summaries
 from pacefold.operators.tables import table_row_counts
-from pacefold.session import new_scratch
+from pacefold.session import new_scratch, remove_folder
 from pacefold.sinks.parallel import run_all
 
+CONDENSED = {
+    "readings": readings.condense,
+    "summaries": summaries.condense,
+    "alerts": alerts.condense,
+}
 
-def run_batch(tables: dict[str, DataFrame], output: str) -> dict[str, str]:
-    """Compute all reports and write each to its own Parquet folder."""
-    reports = batch_reports(tables)
-    paths = {name: f"{output}/{name}" for name in reports}
-    run_all(
-        _session(reports),
-        [
-            partial(report.write.mode("overwrite").parquet, paths[name])
-            for name, report in reports.items()
-        ],
-    )
+
+def run_batch(
+    tables: dict[str, DataFrame],
+    output: str,
+    scratch: str | None = None,
+    as_of: datetime | None = None,
+) -> dict[str, str]:
+    """Compute all reports and write each to its own Parquet folder.
+
+    ``scratch`` is a new folder that all executors can reach, by default one in the
+    session's shared folder. ``as_of`` also reports users who have fallen silent.
+    """
+    spark = _session(tables)
+    scratch = scratch or new_scratch(spark, "batch-job")
+    try:
+        reports = batch_reports(tables, scratch, as_of)
+        paths = {name: f"{output}/{name}" for name in reports}
+        run_all(
+            spark,
+            [
+                partial(report.write.mode("overwrite").parquet, paths[name])
+                for name, report in reports.items()
+            ],
+        )
+    finally:
+        remove_folder(spark, scratch)
     return paths
 
 
-def batch_reports(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """All reports by name; condenses the tables on the way."""
-    readings, summaries = tables["readings"], tables["summaries"]
+def batch_reports(
+    tables: dict[str, DataFrame], scratch: str, as_of: datetime | None = None
+) -> dict[str, DataFrame]:
+    """All reports by name; condenses the tables into the scratch folder on the way."""
+    steps = charts.distinct_values(tables["summaries"], "total_steps")
     condensed, step_counts = run_all(
         _session(tables),
         [
-            partial(condense_tables, tables),
-            partial(written, charts.distinct_values(summaries, "total_steps"), "steps"),
+            partial(condense_tables, tables, scratch),
+            partial(written, steps, f"{scratch}/steps"),
         ],
     )
-    activity, performance, alert_counts = (condensed[name] for name in CONDENSED)
-    step_box = written(charts.boxplot_of(step_counts), "steps-box")
-    return {
-        "table_row_counts": row_counts(condensed),
-        "user_stats": user_stats(activity),
-        "daily_trends": daily_trends(activity),
-        "user_performance": user_performance(performance),
-        "overall_daily_stats": overall_daily_stats(performance),
-        "alert_type_distribution": alert_type_distribution(alert_counts),
-        "user_alert_distribution": user_alert_distribution(alert_counts),
-        "chart_heart_rate_histogram": charts.histogram(readings, "heart_rate"),
-        "chart_steps_calories": charts.point_counts(readings, "steps", "calories"),
-        "chart_steps_boxplot": step_box,
-        "chart_steps_outliers": charts.beyond_fences(
-            summaries, "total_steps", step_box
-        ).select("user_id", "date", "total_steps"),
-        "chart_daily_steps_calories": charts.point_counts(
-            summaries, "total_steps", "total_calories"
-        ),
-        "chart_alert_types": _chart_counts(alert_counts, "alert_type"),
-        "chart_user_alerts": _chart_counts(alert_counts, "user_id"),
-    }
+    step_box = written(charts.boxplot_of(step_counts), f"{scratch}/steps-box")
+    return (
+        tabular_reports(condensed)
+        | chart_reports(tables, step_box)
+        | derived_reports(tables["readings"], as_of)
+    )
 
 
-def condense_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+def condense_tables(tables: dict[str, DataFrame], scratch: str) -> dict[str, DataFrame]:
     """Each table condensed, written and read back."""
     steps = [
-        partial(written, condense(tables[name]), f"condensed-{name}")
+        partial(written, condense(tables[name]), f"{scratch}/condensed-{name}")
         for name, condense in CONDENSED.items()
     ]
     return dict(zip(CONDENSED, run_all(_session(tables), steps), strict=True))
 
 
-def written(frame: DataFrame, label: str) -> DataFrame:
-    """The frame's rows, written to the shared folder and read back."""
-    path = new_scratch(frame.sparkSession, label)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
-
-
-def condense_readings(readings: DataFrame) -> DataFrame:
-    """Counts, sums and maxima per user and day."""
-    return readings.groupBy("user_id", event_date().alias("day")).agg(
-        row_count("rows"),
-        *_sums("steps", "calories", "heart_rate"),
-        F.max("steps").alias("max_steps"),
-        F.max("calories").alias("max_calories"),
-    )
-
-
-def condense_summaries(summaries: DataFrame) -> DataFrame:
-    """Counts, sums and maximum per user."""
-    return summaries.groupBy("user_id").agg(
-        row_count("rows"),
-        *_sums("total_steps", "total_calories", "avg_heart_rate"),
-        F.max("total_steps").alias("max_total_steps"),
-    )
-
-
-def condense_alerts(alerts: DataFrame) -> DataFrame:
-    """Counts per user and alert type."""
-    return alerts.groupBy("user_id", "alert_type").agg(row_count("rows"))
-
-
-CONDENSED = {
-    "readings": condense_readings,
-    "summaries": condense_summaries,
-    "alerts": condense_alerts,
-}
-
-
-def row_counts(condensed: dict[str, DataFrame]) -> DataFrame:
-    """Rows of the original tables, which a condensed empty table has none of."""
-    return table_row_counts(condensed, F.coalesce(F.sum("rows"), F.lit(0)))
-
-
-def user_stats(activity: DataFrame) -> DataFrame:
-    per_user = activity.groupBy("user_id").agg(
-        F.sum("rows").alias("total_records"),
-        *_activity_means(),
-        *measures(F.max, max_steps="max_steps", max_calories="max_calories"),
-    )
-    return per_user.orderBy(F.desc_nulls_last("avg_steps"), "user_id")
-
-
-def daily_trends(activity: DataFrame) -> DataFrame:
-    per_day = activity.groupBy("day").agg(
-        *_activity_means(), F.sum("rows").alias("total_records")
-    )
-    return (
-        per_day.orderBy("day")
-        .select(date_text(F.col("day")).alias("date"), "*")
-        .drop("day")
-    )
-
-
-def user_performance(performance: DataFrame) -> DataFrame:
-    means = measures(
-        _mean,
-        avg_daily_steps="total_steps",
-        avg_daily_calories="total_calories",
-        avg_heart_rate="avg_heart_rate",
-    )
-    per_user = performance.groupBy("user_id").agg(*means)
-    return per_user.orderBy(F.desc_nulls_last("avg_daily_steps"), "user_id")
-
-
-def overall_daily_stats(performance: DataFrame) -> DataFrame:
-    means = measures(
-        _mean,
-        avg_total_steps="total_steps",
-        avg_total_calories="total_calories",
-        overall_avg_heart_rate="avg_heart_rate",
-    )
-    return performance.agg(
-        *means, *measures(F.max, max_total_steps="max_total_steps")
-    )
+def tabular_reports(condensed: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    activity, performance, counts = (condensed[name] for name in CONDENSED)
+    return {
+        "table_row_counts": table_row_counts(condensed),
+        "user_stats": readings.user_stats(activity),
+        "daily_trends": readings.daily_trends(activity),
+        "user_performance": summaries.user_performance(performance),
+        "overall_daily_stats": summaries.overall_daily_stats(performance),
+        "alert_type_distribution": alerts.alert_type_distribution(counts),
+        "user_alert_distribution": alerts.user_alert_distribution(counts),
+        "chart_alert_types": charts.value_counts(counts, "alert_type"),
+        "chart_user_alerts": charts.value_counts(counts, "user_id"),
+    }
 
 
-def alert_type_distribution(alert_counts: DataFrame) -> DataFrame:
-    return (
-        alert_counts.groupBy("alert_type")
-        .agg(F.sum("rows").alias("count"))
-        .orderBy(F.desc("count"), "alert_type")
-    )
+def chart_reports(tables: dict[str, DataFrame], step_box: DataFrame) -> dict[str, DataFrame]:
+    rows, days = tables["readings"], tables["summaries"]
+    outliers = charts.beyond_fences(days, "total_steps", step_box)
+    return {
+        "chart_heart_rate_histogram": charts.histogram(rows, "heart_rate"),
+        "chart_steps_calories": charts.point_counts(rows, "steps", "calories"),
+        "chart_steps_boxplot": step_box,
+        "chart_steps_outliers": outliers.select("user_id", "date", "total_steps"),
+        "chart_daily_steps_calories": charts.point_counts(days, "total_steps", "total_calories"),
+    }
 
 
-def user_alert_distribution(alert_counts: DataFrame) -> DataFrame:
-    return alert_reports.user_distribution(alert_counts)
+def derived_reports(rows: DataFrame, as_of: datetime | None = None) -> dict[str, DataFrame]:
+    """What single readings give rise to."""
+    return {
+        "daily_summary_rollup": rollups.daily_summary_rollup(rows),
+        "hourly_user_stats": rollups.periodic_user_stats(rows),
+        "activity_sessions": alerting.activity_sessions(rows),
+        "low_activity_gaps": alerting.low_activity_gaps(rows, as_of=as_of),
+        "goals_achieved": alerting.goals_achieved(rows),
+        "derived_alerts": alerting.derived_alerts(rows, as_of=as_of),
+    }
 
 
-def _chart_counts(alert_counts: DataFrame, column: str) -> DataFrame:
-    return (
-        alert_counts.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("key"))
-        .agg(F.sum("rows").alias("count"))
-        .orderBy(F.desc("count"), "key")
-    )
+def written(frame: DataFrame, path: str) -> DataFrame:
+    """The frame's rows, written to a folder and read back."""
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
 def _session(frames: dict[str, DataFrame]) -> SparkSession:
     return next(iter(frames.values())).sparkSession
-
-
-def _activity_means() -> list[Column]:
-    return measures(
-        _mean, avg_steps="steps", avg_calories="calories", avg_heart_rate="heart_rate"
-    )
-
-
-def _sums(*columns: str) -> list[Column]:
-    return [
-        measure
-        for column in columns
-        for measure in (
-            F.sum(column).alias(f"{column}_sum"),
-            F.count(column).alias(f"{column}_n"),
-        )
-    ]
-
-
-def _mean(column: str) -> Column:
-    return F.try_divide(F.sum(f"{column}_sum"), F.sum(f"{column}_n"))

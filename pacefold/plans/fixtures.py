@@ -88,8 +88,10 @@ def flawed_messages(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
         .when(kind == "error", F.concat(user, F.lit(',"heart_ra')))
         .when(kind == "signup", F.lit(""))
     )
-    return _events(spark, sf_dir).select(
-        value.alias("value"), F.lit(feed.topic).alias("topic")
+    return _positioned(
+        _events(spark, sf_dir).select(
+            value.alias("value"), F.lit(feed.topic).alias("topic"), F.col("event_id").alias("offset")
+        )
     )
 
 
@@ -100,12 +102,19 @@ def table(spark: SparkSession, sf_dir: str, feed: Feed) -> DataFrame:
 
 
 def publish(
-    spark: SparkSession, sf_dir: str, root: str, feeds: tuple[Feed, ...] = FEEDS
+    spark: SparkSession,
+    sf_dir: str,
+    root: str,
+    feeds: tuple[Feed, ...] = FEEDS,
+    positions: bool = True,
 ) -> None:
-    """Publish feeds as message files under ``root``."""
+    """Publish feeds as message files under ``root``, with broker positions or without."""
+    tables = [table(spark, sf_dir, feed) for feed in feeds]
+    if not positions:
+        tables = [rows.drop("partition", "offset") for rows in tables]
     run_all(
         spark,
-        [partial(publish_to_files, table(spark, sf_dir, f), f, root) for f in feeds],
+        [partial(publish_to_files, rows, feed, root) for rows, feed in zip(tables, feeds, strict=True)],
     )
 
 

@@ -3,12 +3,19 @@
 from __future__ import annotations
 
 from pacefold.feeds import ALERTS, READINGS, SUMMARIES
-from pacefold.functions.messages import ALERT_MESSAGES
+from pacefold.functions.messages import (
+    ALERT_MESSAGES,
+    GOAL_ACHIEVED,
+    HIGH_HEART_RATE,
+    LOW_ACTIVITY,
+)
 from pacefold.plans.fixtures import CALORIE_DECIMALS, TOPIC_PARTITIONS
-from pacefold.plans.queries import STEP_GOAL
+from pacefold.plans.queries import AS_OF, STEP_GOAL, STREAMED_RATE
 
 _R, _S, _A = READINGS.topic, SUMMARIES.topic, ALERTS.topic
-_HIGH, _LOW, _GOAL = ALERT_MESSAGES.values()
+_HIGH, _LOW, _GOAL = (
+    ALERT_MESSAGES[kind] for kind in (HIGH_HEART_RATE, LOW_ACTIVITY, GOAL_ACHIEVED)
+)
 
 _FEEDS = f"""
 readings AS (
@@ -31,9 +38,9 @@ daily AS (
 ),
 alerts AS (
   SELECT 'user_' || CAST(user_id AS varchar) AS user_id,
-         CASE event_type WHEN 'error' THEN 'high_heart_rate'
-                         WHEN 'view' THEN 'low_activity'
-                         ELSE 'goal_achieved' END AS alert_type,
+         CASE event_type WHEN 'error' THEN '{HIGH_HEART_RATE}'
+                         WHEN 'view' THEN '{LOW_ACTIVITY}'
+                         ELSE '{GOAL_ACHIEVED}' END AS alert_type,
          CASE event_type WHEN 'error' THEN '{_HIGH}'
                          WHEN 'view' THEN '{_LOW}'
                          ELSE '{_GOAL}' END AS alert_message,
@@ -203,12 +210,13 @@ closed AS (
 
 # A second roll-up with the day cut from the event time instead of the text.
 _WINDOWED_DAILY = """
+streamed AS (SELECT * FROM readings),
 windowed AS (
   SELECT user_id, CAST(sum(steps) AS bigint) AS total_steps,
          sum(calories) AS total_calories,
          CAST(round(avg(heart_rate)) AS integer) AS avg_heart_rate,
          strftime(date_trunc('day', t), '%Y-%m-%d') AS "date"
-  FROM readings, closing
+  FROM streamed, closing
   WHERE date_trunc('day', t) + INTERVAL 1 DAY <= watermark
   GROUP BY user_id, date_trunc('day', t)
 ),
@@ -223,20 +231,49 @@ compared AS (
          b."date" IS NOT NULL AS in_batch, s."date" IS NOT NULL AS in_stream,
          b.total_steps IS NOT DISTINCT FROM s.total_steps
            AND b.avg_heart_rate IS NOT DISTINCT FROM s.avg_heart_rate
-           AND abs(b.calories_sum - s.total_calories) < 0.000001 AS matches
+           AND coalesce(abs(b.calories_sum - s.total_calories) < 0.000001, false) AS matches
   FROM closed b FULL JOIN windowed s
     ON b.user_id = s.user_id AND b."date" = s."date"
 )
 """
 
+_ALL_STREAMED = "streamed AS (SELECT * FROM readings"
+
+_DIFFERENCES = """
+SELECT user_id, "date", batch_total_steps, stream_total_steps,
+       round(batch_total_calories, 9) AS batch_total_calories,
+       round(stream_total_calories, 9) AS stream_total_calories,
+       batch_avg_heart_rate, stream_avg_heart_rate
+FROM compared WHERE NOT matches
+"""
+
 _HIGH_RATE = f"""
-SELECT user_id, 'high_heart_rate' AS alert_type, '{_HIGH}' AS alert_message, "timestamp"
+SELECT user_id, '{HIGH_HEART_RATE}' AS alert_type, '{_HIGH}' AS alert_message, "timestamp"
 FROM readings WHERE heart_rate > 100
 """
 
+_GOAL_ALERTS = f"""
+SELECT user_id, '{GOAL_ACHIEVED}' AS alert_type, '{_GOAL}' AS alert_message,
+       strftime(t, '%Y-%m-%d %H:%M:%S') AS "timestamp"
+FROM goals
+"""
+
+_PAIRED = """
+paired AS (SELECT user_id, t, lead(t) OVER (PARTITION BY user_id ORDER BY t) AS next_t
+           FROM readings)
+"""
+
+_LOW_ALERTS = f"""
+SELECT user_id, '{LOW_ACTIVITY}' AS alert_type, '{_LOW}' AS alert_message,
+       strftime(t, '%Y-%m-%d %H:%M:%S') AS "timestamp"
+FROM paired
+WHERE coalesce(next_t, TIMESTAMP '{AS_OF:%Y-%m-%d %H:%M:%S}') > t + INTERVAL 1 HOUR
+"""
+
 _FLAWED = """
 flawed AS (
-  SELECT event_type, 'user_' || CAST(user_id AS varchar) AS user_id FROM events
+  SELECT event_type, 'user_' || CAST(user_id AS varchar) AS user_id, event_id AS k
+  FROM events
 )
 """
 
@@ -289,20 +326,23 @@ def oracle() -> dict[str, str]:
             f"SELECT {_ROLLUP_FIELDS} FROM closed", _CLOSED_DAILY
         ),
         "alert_view": _sql(f"SELECT {_ALERT_FIELDS} FROM alerts"),
-        "recent_alerts": _sql(
-            f"SELECT {_ALERT_FIELDS} FROM alerts "
-            'ORDER BY "timestamp" DESC, user_id, alert_type LIMIT 20'
+        **dict.fromkeys(
+            ("recent_alerts", "stream_recent_alerts"),
+            _sql(
+                f"SELECT {_ALERT_FIELDS} FROM alerts "
+                'ORDER BY "timestamp" DESC, user_id, alert_type LIMIT 20'
+            ),
         ),
-        "decode_flawed": _sql(
-            "SELECT CASE WHEN event_type IN ('click', 'view') THEN user_id END "
+        **dict.fromkeys(("decode_flawed", "dedup_flawed"), _sql(
+            f"SELECT {_id(_R)}, CASE WHEN event_type IN ('click', 'view') THEN user_id END "
             "AS user_id, CAST(CASE WHEN event_type = 'click' THEN 70 END AS integer) "
             "AS heart_rate, CAST(NULL AS integer) AS steps, "
             "CAST(NULL AS double) AS calories, CAST(NULL AS varchar) AS \"timestamp\", "
             f"'{_R}' AS topic FROM flawed",
             _FLAWED,
-        ),
+        )),
         "quarantine": _sql(
-            "SELECT CASE event_type "
+            f"SELECT {_id(_R)}, CASE event_type "
             """WHEN 'view' THEN '{"user_id":"' || user_id || '","heart_rate":"70"}' """
             """WHEN 'error' THEN '{"user_id":"' || user_id || '","heart_ra' """
             "WHEN 'signup' THEN '' END AS value, "
@@ -337,7 +377,14 @@ def oracle() -> dict[str, str]:
             f"UNION ALL SELECT '{_S}', '{SUMMARIES.table}', count(*) FROM daily "
             f"UNION ALL SELECT '{_A}', '{ALERTS.table}', count(*) FROM alerts"
         ),
-        "dedup_readings": _sql(f"SELECT {_READING_FIELDS} FROM readings"),
+        **dict.fromkeys(
+            ("dedup_readings", "stored_without_positions", "stored_two_checkpoints"),
+            _sql(f"SELECT {_READING_FIELDS} FROM readings"),
+        ),
+        "compacted_readings": _sql(f"SELECT DISTINCT {_READING_FIELDS} FROM readings"),
+        "stream_summary_view": _sql(
+            f"SELECT {_DAILY_MESSAGE} FROM daily ORDER BY \"date\" DESC, user_id LIMIT 20"
+        ),
         "dedup_batch": _sql(f"SELECT {_id(_R)}, {_READING_FIELDS} FROM readings"),
         "chart_heart_rate_histogram": _sql(
             "SELECT CAST(b AS integer) AS bin, "
@@ -391,8 +438,11 @@ def oracle() -> dict[str, str]:
             "SELECT user_id, strftime(t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\", "
             "strftime(next_t, '%Y-%m-%d %H:%M:%S') AS next_timestamp FROM paired "
             "WHERE next_t > t + INTERVAL 1 HOUR",
-            "paired AS (SELECT user_id, t, lead(t) OVER (PARTITION BY user_id "
-            "ORDER BY t) AS next_t FROM readings)",
+            _PAIRED,
+        ),
+        "alert_low_activity_messages": _sql(_LOW_ALERTS, _PAIRED),
+        "derived_alert_feed": _sql(
+            f"{_HIGH_RATE} UNION ALL {_LOW_ALERTS} UNION ALL {_GOAL_ALERTS}", _PAIRED, _GOALS
         ),
         "activity_sessions": _sql(_SESSION_FIELDS, _SESSIONS),
         "stream_activity_sessions": _sql(
@@ -400,7 +450,7 @@ def oracle() -> dict[str, str]:
             _SESSIONS,
         ),
         "stream_low_activity": _sql(
-            f"SELECT user_id, 'low_activity' AS alert_type, '{_LOW}' AS alert_message, "
+            f"SELECT user_id, '{LOW_ACTIVITY}' AS alert_type, '{_LOW}' AS alert_message, "
             "strftime(last_t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" "
             "FROM sessions, closing WHERE last_t + INTERVAL 1 HOUR <= watermark",
             _SESSIONS,
@@ -410,20 +460,11 @@ def oracle() -> dict[str, str]:
             "strftime(t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM goals",
             _GOALS,
         ),
-        "alert_goal_messages": _sql(
-            f"SELECT user_id, 'goal_achieved' AS alert_type, '{_GOAL}' AS alert_message, "
-            "strftime(t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM goals",
-            _GOALS,
-        ),
-        "reconcile_daily": _sql(
-            'SELECT user_id, "date", batch_total_steps, stream_total_steps, '
-            "round(batch_total_calories, 9) AS batch_total_calories, "
-            "round(stream_total_calories, 9) AS stream_total_calories, "
-            "batch_avg_heart_rate, stream_avg_heart_rate "
-            "FROM compared WHERE matches IS NOT TRUE",
-            _CLOSED_DAILY,
-            _WINDOWED_DAILY,
-        ),
+        "alert_goal_messages": _sql(_GOAL_ALERTS, _GOALS),
+        "reconcile_daily": _sql(_DIFFERENCES, _CLOSED_DAILY, _WINDOWED_DAILY),
+        "reconcile_differing": _sql(
+            _DIFFERENCES, _CLOSED_DAILY, _WINDOWED_DAILY
+        ).replace(_ALL_STREAMED, f"{_ALL_STREAMED} WHERE heart_rate <= {STREAMED_RATE}"),
         "reconcile_report": _sql(
             'SELECT "date", count(*) FILTER (WHERE in_batch) AS batch_rows, '
             "count(*) FILTER (WHERE in_stream) AS stream_rows, "

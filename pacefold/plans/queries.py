@@ -9,13 +9,14 @@ the stream over all of them, and return what it stored.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, TimestampType
 
 from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
-from pacefold.functions.messages import GOAL_ACHIEVED, LOW_ACTIVITY
+from pacefold.functions.messages import LOW_ACTIVITY
 from pacefold.functions.times import timestamp_text, with_event_time
 from pacefold.operators import (
     alerting,
@@ -30,12 +31,15 @@ from pacefold.operators import (
 )
 from pacefold.plans import batch, fixtures
 from pacefold.session import new_scratch, require_settings
+from pacefold.sinks.compaction import compact
 from pacefold.sinks.tables import create_parquet_tables, parquet_sink
-from pacefold.sinks.topics import encode_messages
+from pacefold.sinks.topics import encode_messages, publish_to_files
 from pacefold.sources.tables import parquet_reader
 from pacefold.sources.topics import (
+    TopicSource,
     combined_stream,
     decode_messages,
+    deduplicated,
     file_source,
     message_id,
     quarantine,
@@ -43,7 +47,13 @@ from pacefold.sources.topics import (
     union_feeds,
 )
 from pacefold.streaming.router import Router, routing_totals
-from pacefold.streaming.run import AVAILABLE_NOW, run_to_table, start_batches
+from pacefold.streaming.run import (
+    AVAILABLE_NOW,
+    last_watermark,
+    run_and_watermark,
+    run_to_table,
+    start_batches,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,6 +62,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 DIGITS = 9
 STEP_GOAL = 500
 WATERMARK_DELAY = "1 hour"
+#: When silent users are looked for, after the last reading of the fixtures.
+AS_OF = datetime(2024, 2, 15, tzinfo=UTC)
+#: Readings with a higher heart rate than this do not reach the incomplete stream.
+STREAMED_RATE = 145
 
 
 def registry() -> dict[str, Query]:
@@ -124,13 +138,57 @@ def _combined_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _routed(spark: SparkSession, sf_dir: str, label: str) -> str:
     root = _published(spark, sf_dir, label)
     create_parquet_tables(spark, f"{root}/tables")
+    _route(spark, file_source(f"{root}/messages"), root)
+    return f"{root}/tables"
+
+
+def _route(
+    spark: SparkSession, source: TopicSource, root: str, checkpoint: str = "checkpoint"
+) -> None:
+    """Store everything a source has now, with the sink's own settings."""
     start_batches(
-        combined_stream(spark, file_source(f"{root}/messages")),
-        Router(parquet_sink(f"{root}/tables", writer=label)),
-        f"{root}/checkpoint",
+        combined_stream(spark, source, graded=True),
+        Router(parquet_sink(f"{root}/tables")),
+        f"{root}/{checkpoint}",
         AVAILABLE_NOW,
     ).awaitTermination()
-    return f"{root}/tables"
+
+
+def _readings_of(spark: SparkSession, root: str) -> DataFrame:
+    return parquet_reader(spark, f"{root}/tables")(READINGS).select(*READINGS.schema.fieldNames())
+
+
+def _stored_without_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages without broker positions, copies dropped by id: none may be lost."""
+    root = new_scratch(spark, "no-positions")
+    fixtures.publish(spark, sf_dir, f"{root}/messages", positions=False)
+    create_parquet_tables(spark, f"{root}/tables")
+    _route(spark, deduplicated(file_source(f"{root}/messages")), root)
+    return _readings_of(spark, root)
+
+
+def _stored_two_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two queries, each with a checkpoint of its own, store into the same tables."""
+    root = new_scratch(spark, "two-checkpoints")
+    create_parquet_tables(spark, f"{root}/tables")
+    high = F.col("heart_rate") > STREAMED_RATE
+    for name, part in (("low", ~high), ("high", high)):
+        rows = fixtures.readings(spark, sf_dir).where(part)
+        publish_to_files(rows, READINGS, f"{root}/{name}")
+        for feed in (SUMMARIES, ALERTS):
+            publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/{name}")
+        _route(spark, file_source(f"{root}/{name}"), root, f"checkpoint-{name}")
+    return _readings_of(spark, root)
+
+
+def _compacted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings stored in one batch per message file, merged afterwards."""
+    root = _published(spark, sf_dir, "compacted")
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
+    create_parquet_tables(spark, f"{root}/tables")
+    _route(spark, file_source(f"{root}/messages", maxFilesPerTrigger="1"), root)
+    compact(spark, f"{root}/tables", READINGS)
+    return _readings_of(spark, root).distinct()
 
 
 def _topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,19 +223,29 @@ def _decode_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _dedup_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All messages are published twice, before and again after the first run."""
     root = new_scratch(spark, "dedup")
-    source = file_source(f"{root}/messages")
+    source = deduplicated(file_source(f"{root}/messages"))
     for _ in range(2):
         fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
-        stream = with_event_time(read_topic(spark, READINGS, source), WATERMARK_DELAY)
-        stored = run_to_table(dedup.dedup_stream(stream, ["id"]), root)
+        stored = run_to_table(read_topic(spark, READINGS, source), root)
     return stored.select(*READINGS.schema.fieldNames())
 
 
+def _dedup_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for messages that cannot be decoded and have no readable time."""
+    root = new_scratch(spark, "dedup-flawed")
+    source = deduplicated(file_source(f"{root}/messages"))
+    messages = fixtures.flawed_messages(spark, sf_dir, READINGS)
+    for _ in range(2):
+        messages.write.mode("append").parquet(f"{root}/messages/{READINGS.topic}")
+        stored = run_to_table(read_topic(spark, READINGS, source), root)
+    return stored
+
+
 def _dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.readings(spark, sf_dir)
     messages = encode_messages(rows.union(rows), READINGS)
-    once = dedup.dedup(messages.withColumn("id", message_id()), ["id"])
-    return decode_messages(once.drop("id"), READINGS).drop("topic")
+    once = dedup.dedup(messages.withColumn("id", message_id(messages)))
+    return decode_messages(once, READINGS).drop("topic")
 
 
 def _timed_readings(spark: SparkSession, root: str) -> DataFrame:
@@ -205,11 +273,23 @@ def _low_activity_alerts(readings_stream: DataFrame) -> DataFrame:
 
 def _reconciled(spark: SparkSession, sf_dir: str) -> dict:
     """Arguments of the comparison: both roll-ups of the days the stream closed."""
-    streamed = _streamed("reconcile", rollups.daily_summary_windows)(spark, sf_dir)
-    rows = _feed(spark, sf_dir, READINGS)
-    daily = rollups.daily_summary_rollup(rows)
+    return _against_batch(spark, sf_dir, _published(spark, sf_dir, "reconcile", (READINGS,)))
+
+
+def _differing(spark: SparkSession, sf_dir: str) -> dict:
+    """The same with a stream that some readings did not reach."""
+    root = new_scratch(spark, "reconcile-differing")
+    rows = fixtures.readings(spark, sf_dir).where(F.col("heart_rate") <= STREAMED_RATE)
+    publish_to_files(rows, READINGS, f"{root}/messages")
+    return _against_batch(spark, sf_dir, root)
+
+
+def _against_batch(spark: SparkSession, sf_dir: str, root: str) -> dict:
+    windows = rollups.daily_summary_windows(_timed_readings(spark, root))
+    streamed, query = run_and_watermark(windows, root)
+    daily = rollups.daily_summary_rollup(_feed(spark, sf_dir, READINGS))
     return {
-        "batch": reconcile.closed_days(daily, rows, WATERMARK_DELAY),
+        "batch": reconcile.closed_days(daily, last_watermark(query)),
         "stream": streamed,
         "keys": ["user_id", "date"],
         "values": ["total_steps", "total_calories", "avg_heart_rate"],
@@ -239,12 +319,13 @@ def _goals(rows: DataFrame) -> DataFrame:
     )
 
 
-def _goal_alerts(rows: DataFrame) -> DataFrame:
-    goals = alerting.goals_achieved(rows, STEP_GOAL)
-    return alerting.as_alerts(
-        goals.select("user_id", timestamp_text(F.col("time")).alias("timestamp")),
-        GOAL_ACHIEVED,
-    )
+def _derived_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alerts derived from readings, published to the alert feed and read from it."""
+    root = new_scratch(spark, "derived")
+    rows = alerting.derived_alerts(_feed(spark, sf_dir, READINGS), goal=STEP_GOAL, as_of=AS_OF)
+    publish_to_files(rows, ALERTS, f"{root}/messages")
+    stream = read_topic(spark, ALERTS, file_source(f"{root}/messages"))
+    return run_to_table(stream, root).select(*ALERTS.schema.fieldNames())
 
 
 def _condensed(
@@ -256,7 +337,7 @@ def _condensed(
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         condensed = condense(_feed(spark, sf_dir, feed))
-        return report(batch.written(condensed, f"condensed-{feed.name}"))
+        return report(batch.written(condensed, new_scratch(spark, f"condensed-{feed.name}")))
 
     return run
 
@@ -292,6 +373,12 @@ _QUERIES: dict[str, Query] = {
     "stored_alerts": _stored(ALERTS),
     "stream_batch_user_stats": _stored_report("batch_user_stats"),
     "stream_health_snapshot": _stored_report("health_snapshot"),
+    "stream_summary_view": _stored_report("summary_view"),
+    "stream_recent_alerts": _stored_report("recent_alerts"),
+    "stored_without_positions": _stored_without_positions,
+    "stored_two_checkpoints": _stored_two_checkpoints,
+    "compacted_readings": _compacted_readings,
+    "dedup_flawed": _dedup_flawed,
     "quarantine": _quarantine,
     "dedup_readings": _dedup_readings,
     "dedup_batch": _dedup_batch,
@@ -318,7 +405,11 @@ _QUERIES: dict[str, Query] = {
     "alert_low_activity": _on(READINGS, _low_activity),
     "activity_sessions": _on(READINGS, alerting.activity_sessions),
     "alert_goal_achieved": _on(READINGS, _goals),
-    "alert_goal_messages": _on(READINGS, _goal_alerts),
+    "alert_goal_messages": _on(READINGS, lambda rows: alerting.goal_alerts(rows, STEP_GOAL)),
+    "alert_low_activity_messages": _on(
+        READINGS, lambda rows: alerting.low_activity_alerts(rows, as_of=AS_OF)
+    ),
+    "derived_alert_feed": _derived_feed,
     # the same on streams
     "stream_daily_summary": _streamed("daily", rollups.daily_summary_windows),
     "stream_hourly_user_stats": _streamed("hourly", rollups.periodic_user_stats),
@@ -331,26 +422,25 @@ _QUERIES: dict[str, Query] = {
     "reconcile_report": lambda spark, sf_dir: reconcile.reconcile_report(
         **_reconciled(spark, sf_dir), by="date"
     ),
-    # the batch job's reports, from tables condensed once
-    "batch_job_user_stats": _condensed(
-        READINGS, batch.condense_readings, batch.user_stats
-    ),
-    "batch_job_daily_trends": _condensed(
-        READINGS, batch.condense_readings, batch.daily_trends
+    "reconcile_differing": lambda spark, sf_dir: reconcile.reconcile(
+        **_differing(spark, sf_dir)
     ),
+    # the batch job's reports, from tables condensed once
+    "batch_job_user_stats": _condensed(READINGS, readings.condense, readings.user_stats),
+    "batch_job_daily_trends": _condensed(READINGS, readings.condense, readings.daily_trends),
     "batch_job_user_performance": _condensed(
-        SUMMARIES, batch.condense_summaries, batch.user_performance
+        SUMMARIES, summaries.condense, summaries.user_performance
     ),
     "batch_job_overall_daily_stats": _condensed(
-        SUMMARIES, batch.condense_summaries, batch.overall_daily_stats
+        SUMMARIES, summaries.condense, summaries.overall_daily_stats
     ),
     "batch_job_alert_type_distribution": _condensed(
-        ALERTS, batch.condense_alerts, batch.alert_type_distribution
+        ALERTS, alerts.condense, alerts.alert_type_distribution
     ),
     "batch_job_user_alert_distribution": _condensed(
-        ALERTS, batch.condense_alerts, batch.user_alert_distribution
+        ALERTS, alerts.condense, alerts.user_alert_distribution
     ),
-    "batch_job_table_row_counts": lambda spark, sf_dir: batch.row_counts(
-        batch.condense_tables(_feeds(spark, sf_dir))
+    "batch_job_table_row_counts": lambda spark, sf_dir: tables.table_row_counts(
+        batch.condense_tables(_feeds(spark, sf_dir), new_scratch(spark, "condensed"))
     ),
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -60,12 +61,12 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder the session names in ``spark.checkpoint.dir``.
 
     A machine-local folder is used only when the setting is absent and Spark
-    itself runs on this one machine.
+    itself runs in this one process, as in tests.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     return tempfile.gettempdir()
 

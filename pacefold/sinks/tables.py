@@ -4,8 +4,12 @@ A sink is a function ``(rows, table, batch_id)``. Spark hands a micro-batch out
 again after a failure, with the same id and the same rows, so each sink either
 replaces the batch or skips what is already there.
 
-``writer`` names the streaming query. Batch ids start at zero in each checkpoint:
-give every checkpoint its own writer name, or its batches replace another's.
+Batch ids start at zero in each checkpoint, so batches are kept apart by writer, which
+inside a stream is the id that the query's checkpoint gives it for good. A ``label``
+is put before it; only outside a stream does the label alone tell writers apart.
+
+Tables are also partitioned by the day their rows are about (``event_date``), so that
+reports on some days read those days.
 """
 
 from __future__ import annotations
@@ -16,45 +20,80 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pacefold.feeds import FEEDS, Feed
+from pacefold.feeds import DAY_COLUMN, FEEDS, Feed
+from pacefold.functions.times import event_date
+from pacefold.operators.dedup import with_key
 from pacefold.sinks.parallel import run_all
 
 Sink = Callable[[DataFrame, str, int], None]
 
 
-def parquet_sink(root: str, writer: str) -> Sink:
+#: Where Spark keeps the id of the streaming query whose batch is being written.
+_QUERY_ID = "sql.streaming.queryId"
+
+
+def writer_name(spark: SparkSession, label: str | None = None) -> str:
+    """The checkpoint's own id behind the label, or the label outside a stream."""
+    query_id = spark.sparkContext.getLocalProperty(_QUERY_ID)
+    parts = [part for part in (label, query_id) if part]
+    if not parts:
+        raise ValueError("outside a stream a sink needs a label that is its own")
+    return "-".join(parts)
+
+
+def parquet_sink(root: str, label: str | None = None) -> Sink:
     """One Parquet folder per table; a batch replaces its own subfolder."""
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
-        rows.write.mode("overwrite").parquet(_batch_folder(root, table, writer, batch_id))
+        writer = writer_name(rows.sparkSession, label)
+        dated = with_day(rows, table)
+        days = [DAY_COLUMN.name] if DAY_COLUMN.name in dated.columns else []
+        (
+            dated.write.mode("overwrite")
+            .option("partitionOverwriteMode", "static")
+            .partitionBy(*days)
+            .parquet(_batch_folder(root, table, writer, batch_id))
+        )
 
     return write
 
 
-def catalog_sink(writer: str, database: str | None = None) -> Sink:
-    """Tables of the session's catalog; a batch replaces its own partition."""
+def with_day(rows: DataFrame, table: str) -> DataFrame:
+    """Rows of a feed's table with the day they are about; others as they are."""
+    feed = next((feed for feed in FEEDS if feed.table == table), None)
+    if feed is None:
+        return rows
+    known = feed.time_field in rows.columns
+    day = event_date(F.col(feed.time_field)) if known else F.lit(None).cast("date")
+    return rows.withColumn(DAY_COLUMN.name, day)
+
+
+def catalog_sink(label: str | None = None, database: str | None = None) -> Sink:
+    """Tables of the session's catalog; a batch replaces its own partitions."""
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
         target = f"{database}.{table}" if database else table
         rows.sparkSession.sql(
             f"INSERT OVERWRITE TABLE {target} "
-            "PARTITION (writer = :writer, batch_id = :batch_id) "
+            f"PARTITION (writer = :writer, batch_id = :batch_id, {DAY_COLUMN.name}) "
             "BY NAME SELECT * FROM {rows}",
-            args={"writer": writer, "batch_id": batch_id},
-            rows=rows,
+            args={"writer": writer_name(rows.sparkSession, label), "batch_id": batch_id},
+            rows=with_day(rows, table),
         )
 
     return write
 
 
-def jdbc_sink(options: dict[str, str], writer: str) -> Sink:
+def jdbc_sink(options: dict[str, str], label: str | None = None) -> Sink:
     """Database tables; rows of the batch that are already stored are skipped.
 
-    Meant for rows with an ``id``. Make ``id`` unique in the database as well, so
-    that a repeated write by a lost task is refused instead of stored twice.
+    Every row needs an ``id``; a row without one fails. Make ``id`` unique in the
+    database as well, so that a repeated write by a lost task is refused instead of
+    stored twice.
     """
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
+        writer = writer_name(rows.sparkSession, label)
         stored = (
             rows.sparkSession.read.format("jdbc")
             .options(**options)
@@ -76,7 +115,8 @@ def jdbc_sink(options: dict[str, str], writer: str) -> Sink:
 
 def not_stored(rows: DataFrame, stored: DataFrame) -> DataFrame:
     """The rows whose ``id`` is not among the stored ones."""
-    return rows.join(stored.select("id"), "id", "left_anti").select(*rows.columns)
+    known = with_key(rows, ["id"])
+    return known.join(stored.select("id"), "id", "left_anti").select(*rows.columns)
 
 
 def create_parquet_tables(spark: SparkSession, root: str) -> None:
@@ -86,7 +126,7 @@ def create_parquet_tables(spark: SparkSession, root: str) -> None:
         [
             partial(
                 _empty(spark, feed).write.mode("ignore").parquet,
-                _batch_folder(root, feed.table, "none", -1),
+                f"{_batch_folder(root, feed.table, 'none', -1)}/{_NO_DAY}",
             )
             for feed in FEEDS
         ],
@@ -121,9 +161,11 @@ def create_table_statement(
         f"`{field.name}` {field.dataType.simpleString()}" for field in feed.stored_schema
     )
     place = f" LOCATION '{location}/{feed.table}'" if location else ""
+    day = DAY_COLUMN.name
     return (
-        f"CREATE TABLE IF NOT EXISTS {name} ({fields}, writer string, batch_id bigint) "
-        f"USING parquet PARTITIONED BY (writer, batch_id){place}"
+        f"CREATE TABLE IF NOT EXISTS {name} "
+        f"({fields}, writer string, batch_id bigint, {day} date) "
+        f"USING parquet PARTITIONED BY (writer, batch_id, {day}){place}"
     )
 
 
@@ -143,6 +185,10 @@ def jdbc_column_types(feed: Feed) -> str:
     return ", ".join(f"`{name}` {widths[name]}" for name in names if name in widths)
 
 
+#: Partition of rows whose day cannot be read.
+_NO_DAY = f"{DAY_COLUMN.name}=__HIVE_DEFAULT_PARTITION__"
+
+
 def _batch_folder(root: str, table: str, writer: str, batch_id: int) -> str:
     return f"{root}/{table}/writer={writer}/batch_id={batch_id}"
 

@@ -10,16 +10,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pacefold.feeds import BATCH_COLUMNS, FEEDS, Feed
+from pacefold.feeds import BATCH_COLUMNS, DAY_COLUMN, FEEDS, Feed
 
 TableReader = Callable[[Feed], DataFrame]
 
 
 def parquet_reader(spark: SparkSession, root: str) -> TableReader:
-    """Tables written by :func:`pacefold.sinks.tables.parquet_sink`."""
+    """Tables written by :func:`pacefold.sinks.tables.parquet_sink`.
+
+    A filter on ``event_date`` reads the folders of those days only.
+    """
 
     def read(feed: Feed) -> DataFrame:
-        schema = StructType([*feed.stored_schema.fields, *BATCH_COLUMNS])
+        schema = StructType([*feed.stored_schema.fields, *BATCH_COLUMNS, DAY_COLUMN])
         return spark.read.schema(schema).parquet(f"{root}/{feed.table}")
 
     return read
@@ -35,13 +38,15 @@ def catalog_reader(spark: SparkSession, database: str | None = None) -> TableRea
 def jdbc_reader(
     spark: SparkSession,
     options: dict[str, str],
-    partition_column: str | None = "id",
+    partition_column: str | None = "batch_id",
     num_partitions: int = 32,
 ) -> TableReader:
     """Tables of a database, read in parallel ranges of a numeric column.
 
-    ``options`` carry url, driver and credentials. Without a partition column the
-    whole table arrives through one connection.
+    ``options`` carry url, driver and credentials. Tables this package wrote have a
+    numeric ``batch_id`` and a text ``id``; where the database numbers its rows, split
+    by that number. Without a partition column the whole table arrives through one
+    connection.
     """
 
     def read(feed: Feed) -> DataFrame:
@@ -75,6 +80,11 @@ def split_options(
     """Options that make Spark read ranges of a column; none for an empty table."""
     if low is None:
         return {}
+    if isinstance(low, str):
+        raise ValueError(
+            f"column {column} holds text and cannot be cut into ranges; "
+            "split by a number, such as batch_id"
+        )
     return {
         "partitionColumn": column,
         "lowerBound": str(low),

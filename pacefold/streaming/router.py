@@ -13,39 +13,43 @@ from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
 from pacefold.functions.measures import row_count
 from pacefold.operators.alerts import recent_alerts
 from pacefold.operators.readings import batch_user_stats, health_snapshot
-from pacefold.operators.summaries import daily_summary_view
-from pacefold.operators.tables import preview
+from pacefold.operators.summaries import latest_summaries
 from pacefold.sinks.parallel import run_all
 from pacefold.sinks.tables import Sink
+from pacefold.sources.topics import quarantined
 
 Report = Callable[[DataFrame], DataFrame]
 
+#: Table of row counts per batch and topic, unknown topics included.
+ROUTING_TABLE = "topic_routing"
 
-def summary_preview(summaries: DataFrame) -> DataFrame:
-    """A look at a batch of summaries: any 20 of them."""
-    return preview(daily_summary_view(summaries), 20)
+#: Table of messages that could not be decoded, by the ``id`` of their stored rows.
+QUARANTINE_TABLE = "quarantine"
 
 
-#: Per-batch reports of each feed. They see the current batch only.
-BATCH_REPORTS: dict[str, dict[str, Report]] = {
-    READINGS.name: {
-        "batch_user_stats": batch_user_stats,
-        "health_snapshot": health_snapshot,
-    },
-    SUMMARIES.name: {"summary_preview": summary_preview},
-    ALERTS.name: {"recent_alerts": recent_alerts},
-}
+def batch_reports(latest: int = 20) -> dict[str, dict[str, Report]]:
+    """Per-batch reports of each feed. They see the current batch only.
 
-#: Table of row counts per batch and topic, unknown topics included.
-ROUTING_TABLE = "topic_routing"
+    The views of summaries and alerts show the ``latest`` ones, in a fixed order: a
+    replayed batch shows the same.
+    """
+    return {
+        READINGS.name: {
+            "batch_user_stats": batch_user_stats,
+            "health_snapshot": health_snapshot,
+        },
+        SUMMARIES.name: {"summary_view": partial(latest_summaries, k=latest)},
+        ALERTS.name: {"recent_alerts": partial(recent_alerts, k=latest)},
+    }
 
 
 class Router:
     """``foreachBatch`` function that stores and reports on a mixed micro-batch.
 
     Every row goes by its own topic. Rows of unknown topics are counted in the
-    routing table and not stored. Errors are not caught: the query stops, and
-    the batch is handed out again on restart.
+    routing table and not stored. Where rows are graded, the messages that could not
+    be decoded are quarantined from the same decoded batch. Errors are not caught: the
+    query stops, and the batch is handed out again on restart.
     """
 
     def __init__(
@@ -56,15 +60,19 @@ class Router:
     ) -> None:
         self._store = store
         self._report = report or store
-        self._reports = BATCH_REPORTS if reports is None else reports
+        self._reports = batch_reports() if reports is None else reports
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Used by one write per table and one per report: decode it once.
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             routing = routing_counts(batch)
-            writes = [(self._report, routing, ROUTING_TABLE)]
-            for feed in feeds_present(routing):
+            feeds, any_flawed = present(routing)
+            counts = routing.select("topic", "target_table", "row_count")
+            writes = [(self._report, counts, ROUTING_TABLE)]
+            if any_flawed:
+                writes.append((self._report, quarantined(batch), QUARANTINE_TABLE))
+            for feed in feeds:
                 rows = feed_rows(batch, feed)
                 writes.append((self._store, rows, feed.table))
                 writes += [
@@ -80,22 +88,28 @@ class Router:
 
 
 def routing_counts(batch: DataFrame) -> DataFrame:
-    """Rows per topic and the table they go to; null for unknown topics."""
+    """Rows per topic, those not decoded, and the table they go to; null if unknown."""
     target = F.lit(None).cast("string")
     for feed in FEEDS:
         target = F.when(F.col("topic") == feed.topic, feed.table).otherwise(target)
+    flawed = F.count("grade") if "grade" in batch.columns else F.lit(0)
     return (
         batch.groupBy("topic")
-        .agg(row_count("row_count"))
-        .select("topic", target.alias("target_table"), "row_count")
+        .agg(row_count("row_count"), flawed.alias("flawed_count"))
+        .select("topic", target.alias("target_table"), "row_count", "flawed_count")
     )
 
 
-def feeds_present(routing: DataFrame) -> list[Feed]:
-    """The feeds that have rows (at most one row per feed reaches the driver)."""
-    known = routing.where(F.col("target_table").isNotNull()).select("topic").collect()
-    topics = {row.topic for row in known}
-    return [feed for feed in FEEDS if feed.topic in topics]
+def present(routing: DataFrame) -> tuple[list[Feed], bool]:
+    """The feeds that have rows, and whether any row was not decoded.
+
+    At most one row per feed reaches the driver.
+    """
+    known = routing.where(F.col("target_table").isNotNull())
+    rows = known.select("topic", "flawed_count").collect()
+    topics = {row.topic for row in rows}
+    feeds = [feed for feed in FEEDS if feed.topic in topics]
+    return feeds, any(row.flawed_count for row in rows)
 
 
 def feed_rows(batch: DataFrame, feed: Feed) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
@@ -54,9 +55,25 @@ def start_table(
     return writer.start()
 
 
+def last_watermark(query: StreamingQuery) -> datetime:
+    """The event time up to which a query has closed its windows."""
+    texts = [
+        progress["eventTime"]["watermark"]
+        for progress in query.recentProgress
+        if "watermark" in progress["eventTime"]
+    ]
+    if not texts:
+        raise ValueError("the query has no watermark")
+    return max(datetime.fromisoformat(text) for text in texts).astimezone(UTC)
+
+
 def run_to_table(stream: DataFrame, root: str) -> DataFrame:
     """Process all available input into a Parquet folder and return its rows."""
-    start_table(
-        stream, f"{root}/table", f"{root}/checkpoint", AVAILABLE_NOW
-    ).awaitTermination()
-    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/table")
+    return run_and_watermark(stream, root)[0]
+
+
+def run_and_watermark(stream: DataFrame, root: str) -> tuple[DataFrame, StreamingQuery]:
+    """The same, and the query, which has ended."""
+    query = start_table(stream, f"{root}/table", f"{root}/checkpoint", AVAILABLE_NOW)
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(f"{root}/table"), query

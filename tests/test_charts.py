@@ -105,3 +105,13 @@ def test_points_and_values_leave_nulls_out(spark):
     assert sorted(map(tuple, points)) == [(1, 2.0, 2), (3, 4.0, 1)]
     values = charts.value_counts(frame, "a").collect()
     assert [tuple(row) for row in values] == [(1, 3), (3, 1)]
+
+
+def test_nan_is_no_value(spark):
+    values = [1.0, 2.0, 3.0, 10.0, float("nan"), None, float("nan")]
+    plain = [v for v in values if v is not None and v == v]
+    with_nan, without = column(spark, values), column(spark, plain)
+    assert bins_of(charts.histogram(with_nan, "x")) == bins_of(charts.histogram(without, "x"))
+    assert charts.boxplot(with_nan, "x").collect() == charts.boxplot(without, "x").collect()
+    found = charts.boxplot_outliers(with_nan, "x").collect()
+    assert found == charts.boxplot_outliers(without, "x").collect()

@@ -64,9 +64,12 @@ def bounds(low, high):
 
 
 def test_kafka_stream():
-    session = Recording("messages")
+    loaded = MagicMock()
+    loaded.withColumnRenamed.return_value = "messages"
+    session = Recording(loaded)
     source = kafka_source("b:9092", 500, minPartitions="64")
     assert source(session, READINGS.topic) == "messages"
+    loaded.withColumnRenamed.assert_called_once_with("timestamp", "arrival")
     assert session.recorders[0].calls == {
         "format": "kafka",
         "kafka.bootstrap.servers": "b:9092",

@@ -1,8 +1,9 @@
 """Comparison of batch and streaming results."""
 
+from datetime import datetime, timedelta
+
 import pytest
 
-from pacefold.feeds import READINGS
 from pacefold.operators import reconcile
 
 SCHEMA = "user_id string, date string, steps bigint, calories double"
@@ -52,11 +53,9 @@ def test_a_row_of_nulls_on_one_side_only_differs(spark):
     ("last", "days"), [("2024-01-02 00:59:59", []), ("2024-01-02 01:00:00", ["2024-01-01"])]
 )
 def test_a_day_is_closed_once_the_watermark_reaches_its_end(spark, last, days):
-    readings = spark.createDataFrame(
-        [("a", 1, 1, 1.0, "2024-01-01 00:00:00"), ("a", 1, 1, 1.0, last)], READINGS.schema
-    )
     daily = spark.createDataFrame(
         [("a", "2024-01-01", 1, 1.0), ("a", "2024-01-02", 1, 1.0), ("a", None, 1, 1.0)], SCHEMA
     )
-    closed = reconcile.closed_days(daily, readings, "1 hour")
+    watermark = datetime.fromisoformat(f"{last}+00:00") - timedelta(hours=1)
+    closed = reconcile.closed_days(daily, watermark)
     assert [row.date for row in closed.collect()] == days

@@ -17,11 +17,18 @@ from pacefold.sinks.tables import (
     create_parquet_tables,
     parquet_sink,
 )
-from pacefold.sinks.topics import encode_messages
+from pacefold.sinks.topics import encode_messages, publish_to_files
 from pacefold.sources.tables import catalog_reader, load_tables, parquet_reader
-from pacefold.sources.topics import combined_stream, file_source, read_topic
-from pacefold.streaming.router import ROUTING_TABLE, Router, routing_totals
-from pacefold.streaming.run import AVAILABLE_NOW, run_to_table, start_batches, start_table
+from pacefold.sources.topics import combined_stream, deduplicated, file_source, read_topic
+from pacefold.streaming.router import QUARANTINE_TABLE, ROUTING_TABLE, Router, routing_totals
+from pacefold.streaming.run import (
+    AVAILABLE_NOW,
+    last_watermark,
+    run_and_watermark,
+    run_to_table,
+    start_batches,
+    start_table,
+)
 
 READING_ROWS = [
     ("a", 70, 10, 1.0, "2024-01-01 00:00:00"),
@@ -52,7 +59,7 @@ def send_all(spark, root):
 def route(spark, root, router=None):
     query = start_batches(
         combined_stream(spark, file_source(f"{root}/messages")),
-        router or Router(parquet_sink(f"{root}/tables", writer="w")),
+        router or Router(parquet_sink(f"{root}/tables", label="w")),
         f"{root}/checkpoint",
         AVAILABLE_NOW,
     )
@@ -71,7 +78,7 @@ def test_mixed_batch_goes_to_its_tables(spark, tmp_path):
     for feed, rows in ROWS.items():
         assert stored(spark, tmp_path, feed) == sorted(rows)
         columns = parquet_reader(spark, f"{tmp_path}/tables")(feed).columns
-        assert columns == [*feed.stored_schema.fieldNames(), "writer", "batch_id"]
+        assert columns == [*feed.stored_schema.fieldNames(), "writer", "batch_id", "event_date"]
     totals = {
         (row.topic, row.target_table): row.row_count
         for row in routing_totals(spark, f"{tmp_path}/tables").collect()
@@ -127,7 +134,7 @@ def test_batch_reports_see_their_batch_only(spark, tmp_path):
 def test_failing_sink_stops_the_query_and_the_batch_comes_again(spark, tmp_path):
     send_all(spark, tmp_path)
     calls, failures = [], []
-    write = parquet_sink(f"{tmp_path}/tables", writer="w")
+    write = parquet_sink(f"{tmp_path}/tables", label="w")
 
     def failing(rows, table, batch_id):
         calls.append((table, batch_id))
@@ -222,17 +229,105 @@ def timed(spark, root, delay="1 hour"):
 
 @pytest.mark.parametrize("salt", [0, 4])
 def test_copies_are_stored_once(spark, tmp_path, salt):
-    """In one batch, and again in a later batch after a restart."""
+    """In one batch, and again in later batches after restarts; late ones too."""
+    source = deduplicated(file_source(f"{tmp_path}/messages"), salt=salt)
+    rows = [*READING_ROWS, ("c", 70, 1, 1.0, "bad"), ("c", 70, 1, 1.0, None)]
     for _ in range(3):
-        send(spark, tmp_path, READINGS, READING_ROWS)
-    rows = run_to_table(dedup.dedup_stream(timed(spark, tmp_path), ["id"], salt), str(tmp_path))
-    assert rows.count() == 2
-    send(spark, tmp_path, READINGS, READING_ROWS)
-    send(spark, tmp_path, READINGS, [("b", 70, 1, 1.0, "2024-01-01 00:20:00")], 2)
-    rows = run_to_table(dedup.dedup_stream(timed(spark, tmp_path), ["id"], salt), str(tmp_path))
-    assert sorted(rows.select(*READINGS.schema.fieldNames()).collect()) == sorted(
-        READING_ROWS + [("b", 70, 1, 1.0, "2024-01-01 00:20:00")]
-    )
+        send(spark, tmp_path, READINGS, rows)
+    stored = run_to_table(read_topic(spark, READINGS, source), str(tmp_path))
+    assert stored.count() == 4
+    new = [("b", 70, 1, 1.0, "2024-01-01 00:20:00"), ("b", 70, 1, 1.0, "2001-01-01 00:00:00")]
+    for _ in range(2):
+        send(spark, tmp_path, READINGS, rows)
+        send(spark, tmp_path, READINGS, new, len(rows))
+        stored = run_to_table(read_topic(spark, READINGS, source), str(tmp_path))
+    found = stored.select(*READINGS.schema.fieldNames()).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, rows + new))
+
+
+def unplaced(spark, root, rows):
+    """Messages as the publish job writes them, without broker positions."""
+    publish_to_files(spark.createDataFrame(rows, READINGS.schema), READINGS, f"{root}/messages")
+
+
+def test_messages_without_broker_position_are_told_apart(spark, tmp_path):
+    rows = [("a", 70, n, 1.0, "2024-01-01 00:00:00") for n in range(3)]
+    unplaced(spark, tmp_path, rows)
+    source = file_source(f"{tmp_path}/messages")
+    stored = run_to_table(read_topic(spark, READINGS, deduplicated(source)), f"{tmp_path}/one")
+    ids = [row.id for row in stored.collect()]
+    assert len(set(ids)) == 3 and all(len(i) <= 100 for i in ids)
+    again = run_to_table(read_topic(spark, READINGS, source), f"{tmp_path}/two")
+    assert sorted(row.id for row in again.collect()) == sorted(ids)
+
+
+def test_a_message_without_any_position_is_refused(spark, tmp_path):
+    """JSON files do not number their rows: no message may pass for another's copy."""
+    rows = spark.createDataFrame(READING_ROWS, READINGS.schema)
+    publish_to_files(rows, READINGS, f"{tmp_path}/messages", "json")
+    source = deduplicated(file_source(f"{tmp_path}/messages", "json"))
+    with pytest.raises(StreamingQueryException, match="cannot be told from others"):
+        run_to_table(read_topic(spark, READINGS, source), str(tmp_path))
+    with pytest.raises(Exception, match="cannot be told from others"):
+        dedup.dedup(rows.withColumn("id", F.lit(None).cast("string"))).collect()
+
+
+def test_checkpoints_of_one_table_folder_keep_apart(spark, tmp_path):
+    create_parquet_tables(spark, f"{tmp_path}/tables")
+    for part in "ab":
+        rows = [(part, 70, n, 1.0, "2024-01-01 00:00:00") for n in range(5)]
+        frame = spark.createDataFrame(rows, READINGS.schema)
+        for feed in (SUMMARIES, ALERTS):
+            send(spark, f"{tmp_path}/{part}", feed, [])
+        publish_to_files(frame, READINGS, f"{tmp_path}/{part}/messages")
+        start_batches(
+            combined_stream(spark, file_source(f"{tmp_path}/{part}/messages")),
+            Router(parquet_sink(f"{tmp_path}/tables")),
+            f"{tmp_path}/checkpoint-{part}",
+            AVAILABLE_NOW,
+        ).awaitTermination()
+    assert [row[0] for row in stored(spark, tmp_path, READINGS)] == ["a"] * 5 + ["b"] * 5
+
+
+def test_quarantine_comes_from_the_stored_batch(spark, tmp_path):
+    send_all(spark, tmp_path)
+    bad = [("garbage", READINGS.topic, 0, 90), ('{"user_id":"a","steps":"x"}', READINGS.topic, 0, 91)]
+    frame = spark.createDataFrame(bad, ENVELOPE)
+    frame.write.mode("append").parquet(f"{tmp_path}/messages/{READINGS.topic}")
+    for _ in range(2):
+        start_batches(
+            combined_stream(spark, file_source(f"{tmp_path}/messages"), graded=True),
+            Router(parquet_sink(f"{tmp_path}/tables")),
+            f"{tmp_path}/checkpoint",
+            AVAILABLE_NOW,
+        ).awaitTermination()
+    kept = spark.read.parquet(f"{tmp_path}/tables/{QUARANTINE_TABLE}")
+    assert sorted((r.id, r.value, r.grade) for r in kept.collect()) == [
+        (f"{READINGS.topic}:0:90", "garbage", "undecodable"),
+        (f"{READINGS.topic}:0:91", '{"user_id":"a","steps":"x"}', "partial"),
+    ]
+    rows = parquet_reader(spark, f"{tmp_path}/tables")(READINGS)
+    joined = {r.id: (r.user_id, r.steps) for r in rows.join(kept.select("id"), "id").collect()}
+    assert joined == {f"{READINGS.topic}:0:90": (None, None), f"{READINGS.topic}:0:91": ("a", None)}
+    assert rows.count() == 4
+
+
+def test_the_view_of_summaries_is_the_same_on_every_replay(spark, tmp_path):
+    rows = [(f"u{n}", n, 1.0, 70, f"2024-01-{1 + n % 28:02}") for n in range(60)]
+    frame = spark.createDataFrame(rows, SUMMARIES.schema).withColumn("topic", F.lit(SUMMARIES.topic))
+    seen = []
+    for parts in (1, 7):
+        Router(parquet_sink(f"{tmp_path}/{parts}", "w"))(frame.repartition(parts), 0)
+        view = spark.read.parquet(f"{tmp_path}/{parts}/summary_view")
+        seen.append(sorted(map(tuple, view.select(*SUMMARIES.schema.fieldNames()).collect())))
+    assert seen[0] == seen[1] and len(seen[0]) == 20
+    assert min(row[4] for row in seen[0]) >= "2024-01-19"
+
+
+def test_the_query_tells_its_watermark(spark, tmp_path):
+    send(spark, tmp_path, READINGS, [("a", 70, 1, 1.0, "2024-01-03 12:00:00")])
+    _, query = run_and_watermark(rollups.daily_summary_windows(timed(spark, tmp_path)), str(tmp_path))
+    assert last_watermark(query).isoformat() == "2024-01-03T11:00:00+00:00"
 
 
 def test_late_rows_are_left_out_by_windows(spark, tmp_path):

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from pacefold.feeds import ALERTS, READINGS, SUMMARIES
 from pacefold.session import new_scratch, shared_dir
+from pacefold.sinks import compaction
 from pacefold.sinks import tables as sinks
+from pacefold.sinks.compaction import compact
 from pacefold.sources import tables as sources
 
 ROWS = [("t:0:1", "a", "x", "m", "2024-01-01 00:00:00"), ("t:0:2", "b", "y", "m", None)]
@@ -25,6 +27,7 @@ def test_replayed_batch_replaces_itself(spark, tmp_path):
         sink(alerts(spark), ALERTS.table, 1)
         sink(alerts(spark), ALERTS.table, 1)
     table = sources.parquet_reader(spark, str(tmp_path))(ALERTS)
+    assert sorted({str(row.event_date) for row in table.collect()}) == ["2024-01-01", "None"]
     counts = table.groupBy("writer", "batch_id").count().collect()
     assert sorted(map(tuple, counts)) == [
         ("one", 0, 2),
@@ -47,7 +50,7 @@ def test_catalog_tables(spark, tmp_path):
     assert read(ALERTS).where("id is null").count() == 2
     assert read(ALERTS).count() == 4
     assert read(READINGS).count() == 0
-    fields = read(SUMMARIES).drop("writer", "batch_id").schema
+    fields = read(SUMMARIES).drop("writer", "batch_id", "event_date").schema
     assert [f.dataType for f in fields] == [f.dataType for f in SUMMARIES.stored_schema]
 
 
@@ -72,6 +75,77 @@ def test_database_reads_are_split():
         "numPartitions": "8",
     }
     assert sources.split_options("id", 8, None, None) == {}
+    with pytest.raises(ValueError, match="split by a number"):
+        sources.split_options("id", 8, "t:0:1", "t:0:2")
+
+
+def test_a_sink_outside_a_stream_needs_a_label(spark, tmp_path):
+    with pytest.raises(ValueError, match="label"):
+        sinks.parquet_sink(str(tmp_path))(alerts(spark), ALERTS.table, 0)
+
+
+def test_rows_without_an_id_are_refused(spark):
+    rows = alerts(spark, [(None, "a", "x", "m", None), (None, "b", "y", "m", None)])
+    with pytest.raises(Exception, match="cannot be told from others"):
+        sinks.not_stored(rows, alerts(spark).limit(0)).collect()
+
+
+def test_days_are_pruned(spark, tmp_path):
+    sinks.parquet_sink(str(tmp_path), "w")(alerts(spark), ALERTS.table, 0)
+    rows = sources.parquet_reader(spark, str(tmp_path))(ALERTS).where("event_date = '2024-01-01'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in plan
+    assert [row.id for row in rows.collect()] == ["t:0:1"]
+
+
+def test_a_replay_leaves_no_days_of_the_first_try(spark, tmp_path):
+    sink = sinks.parquet_sink(str(tmp_path), "w")
+    sink(alerts(spark), ALERTS.table, 0)
+    sink(alerts(spark, ROWS[1:]), ALERTS.table, 0)
+    rows = sources.parquet_reader(spark, str(tmp_path))(ALERTS)
+    assert [row.id for row in rows.collect()] == ["t:0:2"]
+
+
+def many_batches(spark, root):
+    for writer in ("v", "w"):
+        sink = sinks.parquet_sink(root, writer)
+        for batch in range(4):
+            rows = [(f"{writer}:{batch}:{n}", "a", "x", "m", f"2024-01-0{1 + n % 3} 00:00:00") for n in range(5)]
+            sink(alerts(spark, rows), ALERTS.table, batch)
+    sinks.create_parquet_tables(spark, root)
+
+
+def test_compaction_keeps_every_row_and_replays_safely(spark, tmp_path):
+    root = str(tmp_path)
+    many_batches(spark, root)
+    table = sources.parquet_reader(spark, root)
+    before = sorted(row.id for row in table(ALERTS).collect())
+    files = len(list(tmp_path.rglob("*.parquet")))
+    assert compact(spark, root, ALERTS) == 6
+    assert sorted(row.id for row in table(ALERTS).collect()) == before
+    assert len(list(tmp_path.rglob("*.parquet"))) < files
+    batches = {(r.writer, r.batch_id) for r in table(ALERTS).collect()}
+    assert batches == {(w, b) for w in "vw" for b in (2, 3)}
+    # the newest batch is handed out again, and replaces itself alone
+    sinks.parquet_sink(root, "w")(alerts(spark, [("w:3:9", "a", "x", "m", None)]), ALERTS.table, 3)
+    expected = [i for i in before if not i.startswith("w:3:")] + ["w:3:9"]
+    assert sorted(row.id for row in table(ALERTS).collect()) == sorted(expected)
+    assert compact(spark, root, ALERTS) == 0
+
+
+def test_interrupted_compaction_is_finished_or_undone(spark, tmp_path):
+    root = str(tmp_path)
+    many_batches(spark, root)
+    before = sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect())
+    folder = tmp_path / ALERTS.table
+    # complete, but not yet in place; and begun, without its mark of success
+    compaction._merge(spark, root, ALERTS, "v", 2, f"{folder}/writer=v/.merge-2")
+    compaction._merge(spark, root, ALERTS, "w", 2, f"{folder}/writer=w/.merge-2")
+    (folder / "writer=w/.merge-2/_SUCCESS").unlink()
+    assert sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect()) == before
+    assert compact(spark, root, ALERTS) == 3
+    assert sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect()) == before
+    assert not list(folder.rglob(".merge-*"))
 
 
 def test_database_column_widths():
@@ -90,9 +164,10 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_no_local_folder_on_a_cluster():
     session = MagicMock()
     session.conf.get.return_value = None
-    session.sparkContext.master = "yarn"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(session)
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://host:7077"):
+        session.sparkContext.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(session)
 
 
 def test_stored_parquet_is_pruned(spark, tmp_path):
