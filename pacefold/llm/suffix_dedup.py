@@ -158,8 +158,9 @@ def _first_pass(parts: int) -> Callable:
         for rows, kind in ((~again, _SORT), (again, _SETTLED)):
             kept = _take(run, np.flatnonzero(rows))
             if len(kept["doc"]):
-                part = (kept["digit"] % np.uint64(parts)).astype(np.int32)
-                yield _packed(kept, part, kind)
+                # What is settled need not meet what it repeats: it is dealt by document.
+                key = kept["digit"] if kind == _SORT else mix(kept["doc"].astype(np.uint64))
+                yield _packed(kept, (key % np.uint64(parts)).astype(np.int32), kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, rows = [], 0
