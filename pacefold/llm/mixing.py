@@ -162,4 +162,16 @@ def training_order(mixed: DataFrame) -> DataFrame:
 
 
 def op8(documents: DataFrame) -> DataFrame:
-    return mix(documents).select("doc_id", "size", "source_size", "target", "taken")
+    """What the copies in the order of training give of each document, 0 if there are none."""
+    mixed = stored(mix(documents), "mix-placed")
+    # Where a document with words begins tells it from all others of its source, even
+    # from those with the same id or none.
+    ordered = stored(training_order(mixed.withColumn("_at", F.col("begin"))), "mix-order")
+    given = ordered.groupBy(F.col("source").alias("_source"), "_at").agg(
+        F.sum("words").alias("_given")
+    )
+    same = F.col("source").eqNullSafe(F.col("_source")) & (F.col("begin") == F.col("_at"))
+    return mixed.join(given, same & (F.col("size") > 0), "left").select(
+        "doc_id", "size", "source_size", "target",
+        F.coalesce("_given", F.lit(0)).cast("long").alias("taken"),
+    )

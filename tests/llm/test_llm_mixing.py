@@ -94,3 +94,16 @@ def test_position_inverts_the_demand(spark):
             .collect()
         )
         assert all(abs(r.t - r.found) < 1e-9 for r in rows)
+
+
+def test_taken_is_what_the_copies_in_training_order_give(docs, monkeypatch):
+    rows = [(i // 2, "w " * (i % 5), "en", f"s{i % 3}") for i in range(60)]
+    rows += [(None, "a b c", "en", None), (None, "a b c", "en", None), (None, "d e", "en", "s0")]
+    frame = docs(rows)
+    placed = sorted((r.doc_id or -1, r.size, r.taken) for r in mixing.mix(frame).collect())
+    assert sorted((r[0] or -1, r[1], r[4]) for r in rows_of(mixing.op8(frame))) == placed
+    whole = mixing.training_order
+    monkeypatch.setattr(mixing, "training_order", lambda mixed: whole(mixed).where("copy = 0"))
+    firsts = rows_of(mixing.op8(frame))
+    assert sum(r[4] for r in firsts) < sum(t for *_, t in placed)
+    assert len(firsts) == len(rows) and all(r[4] <= r[1] for r in firsts)
