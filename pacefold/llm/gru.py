@@ -208,22 +208,27 @@ def gradients(
         g["word_bias"][members] = pull.sum(axis=0)
         back[rows] += pull @ p["words"][members]
     back = back.reshape(steps, streams, STATE)
+    update, reset, memory, fresh = (np.stack(parts) for parts in zip(*kept, strict=True))
+    before = flat.reshape(steps, streams, STATE)
+    by_fresh = (1 - update) * (1 - fresh * fresh)
+    by_update = (before - fresh) * update * (1 - update)
+    pulls = np.stack([by_update, by_fresh * memory * reset * (1 - reset), by_fresh * reset], axis=2)
+    on, back_through = ~ends[:, :, None], np.ascontiguousarray(p["state"].T)
+    pulled, reached = np.empty_like(pulls), np.empty_like(before)
     ahead = np.zeros((streams, STATE), dtype=np.float32)
-    moved_inputs = np.zeros_like(inputs)
     for at in range(steps - 1, -1, -1):
-        update, reset, memory, fresh = kept[at]
-        ahead = ahead * ~ends[at][:, None]
-        to_fresh = ahead * (1 - update) * (1 - fresh * fresh)
-        to_update = ahead * (states[at] - fresh) * update * (1 - update)
-        to_reset = to_fresh * memory * reset * (1 - reset)
-        to_inputs = np.concatenate([to_update, to_reset, to_fresh], axis=1)
-        to_pulled = np.concatenate([to_update, to_reset, to_fresh * reset], axis=1)
-        g["state"] += states[at].T @ to_pulled
-        np.add.at(moved_inputs, words[at], to_inputs)
-        ahead = ahead * update + to_pulled @ p["state"].T + back[at]
-    g["bias"] = moved_inputs.sum(axis=0)
-    g["input"] = p["embedding"].T @ moved_inputs
-    g["embedding"] = moved_inputs @ p["input"].T
+        ahead = np.multiply(ahead, on[at], out=reached[at])
+        np.multiply(ahead[:, None], pulls[at], out=pulled[at])
+        ahead = pulled[at].reshape(streams, -1) @ back_through + ahead * update[at] + back[at]
+    pulled = pulled.reshape(count, -1)
+    g["state"] = flat.T @ pulled
+    pulled[:, 2 * STATE :] = (reached * by_fresh).reshape(count, -1)
+    order = np.argsort(said, kind="stable")
+    firsts = np.flatnonzero(np.r_[True, np.diff(said[order]) != 0])
+    met, moved = said[order[firsts]], np.add.reduceat(pulled[order], firsts, axis=0)
+    g["bias"] = moved.sum(axis=0)
+    g["input"] = p["embedding"][met].T @ moved
+    g["embedding"][met] = moved @ p["input"].T
     return loss / count, g, state
 
 

@@ -8,10 +8,9 @@ one more for tokens never seen. So every token of every text has a probability,
 score is the log10 probability of the whole text: the state is carried through all
 windows from a document's first token to its end.
 
-Counts cover all training documents. The network's weights are learnt from a hashed
-share of them that grows with the corpus, ``1 / SAMPLE`` of the training documents but
-at least about ``LEAST_TOKENS`` tokens; shards of it are trained side by side, each by
-truncated backpropagation, and their weights averaged after each of ``ROUNDS`` rounds.
+Counts and weights are learnt from all training documents, at every size. Shards of
+them are trained side by side, each by truncated backpropagation, and their weights
+averaged after each of ``ROUNDS`` rounds, each a pass over all of them.
 
 Defined cases: null and empty texts are an end alone; with nothing to learn from, all
 scores are 0 like the base; rows that repeat a ``doc_id`` count and are scored each;
@@ -26,18 +25,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pacefold.llm import gru, postings
-from pacefold.llm.folders import crc_of_id, stored
+from pacefold.llm.folders import crc_of_id, partitions, stored
 from pacefold.llm.text import Piece, mix, pieces, signed, word_hashes
 
 VOCABULARY = 2046
-#: One in so many training documents trains the network's weights.
-SAMPLE = 48
-LEAST_TOKENS = 400_000
-#: Tokens that one task trains on, about, and rounds of averaging.
+#: Tokens of a shard, about, and rounds of averaging.
 SHARD_TOKENS = 250_000
 ROUNDS = 3
 RATES = (0.012, 0.008, 0.004)
@@ -133,56 +130,108 @@ def learn_vocabulary(training: DataFrame) -> Vocabulary:
 
 
 def learn_network(training: DataFrame, vocabulary: Vocabulary) -> gru.Network:
-    """Train shards of the sampled documents side by side and average, in rounds."""
+    """Train shards of all documents side by side and average, in rounds."""
     network = gru.new_network(vocabulary.frequency)
     if not vocabulary.total:
         return network
-    share = min(1.0, max(1.0 / SAMPLE, LEAST_TOKENS / vocabulary.total))
-    shards = max(1, round(share * vocabulary.total / SHARD_TOKENS))
-    spread = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.lit(0)), F.lit(7)), F.lit(1 << 20))
-    sampled = training.where(spread < round(share * (1 << 20)))
-    # Dealt by id, not by the order of arrival: a task that is run again sees the same.
-    dealt = sampled.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
-    texts = stored(dealt.select("shard", "doc_id", "text"), "language-model-sample")
-    context = training.sparkSession.sparkContext
+    spark = training.sparkSession
+    texts = stored(shards(training, vocabulary), "language-model-shards")
     for rate in RATES[:ROUNDS]:
-        shared = context.broadcast((network, vocabulary))
-        trained = texts.groupBy("shard").applyInArrow(_train_shard(shared, rate), _WEIGHTS)
-        means = trained.groupBy("part").applyInArrow(_add_up, _WEIGHTS).toArrow()
+        shared = spark.sparkContext.broadcast(network)
+        trained = texts.mapInArrow(_train_shards(shared, rate), _WEIGHTS)
+        means = trained.repartition(AVERAGERS, "part").mapInArrow(_add_up, _WEIGHTS).toArrow()
         values = [np.frombuffer(v, dtype=np.float64) for v in means["values"].to_pylist()]
         network = gru.restored(network, sum(values) / sum(means["n"].to_pylist()))
     return network
 
 
+def shards(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """All documents as numbers of the network, a shard a row: ``words`` and ``sizes``."""
+    spark = training.sparkSession
+    known = spark.sparkContext.broadcast(vocabulary)
+    count = max(1, round(vocabulary.total / SHARD_TOKENS))
+    # Dealt by id and text, not by the order of arrival: a task that is run again sees
+    # the same, and rows without an id are spread too.
+    numbered = training.select(F.xxhash64("doc_id", "text").alias("deal"), "text").mapInArrow(
+        _number(known), "deal long, words binary"
+    )
+    return (
+        numbered.withColumn("shard", F.pmod("deal", F.lit(count)))
+        .repartition(partitions(spark), "shard")
+        .sortWithinPartitions("shard", "deal")
+        .mapInArrow(_gather, "words binary, sizes binary")
+    )
+
+
+def _number(shared) -> Callable:
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            for piece in pieces(batch.column("text")):
+                found, offsets = tokens(piece)
+                words = np.split(known.lookup(found)[0], offsets[1:-1])
+                blobs = pa.array([postings.pack(w) for w in words], pa.binary())
+                deal = batch.column("deal").slice(piece.first, piece.count)
+                yield pa.RecordBatch.from_arrays([deal, blobs], ["deal", "words"])
+
+    return number
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lay a shard's documents end to end; one far above its size goes on as several."""
+
+    def row() -> pa.RecordBatch:
+        blobs = [postings.pack(np.concatenate(held)), postings.pack(np.array([len(h) for h in held]))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([b], pa.binary()) for b in blobs], ["words", "sizes"]
+        )
+
+    held, size, last = [], 0, None
+    for batch in batches:
+        for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("words"), strict=True):
+            if held and (shard != last or size >= 2 * SHARD_TOKENS):
+                yield row()
+                held, size = [], 0
+            held.append(postings.unpack(blob.as_py()))
+            size, last = size + len(held[-1]), shard
+    if held:
+        yield row()
+
+
 _WEIGHTS = "part long, values binary, n long"
 
 
-def _train_shard(shared, rate: float) -> Callable:
-    def train(table: pa.Table) -> pa.Table:
-        start, known = shared.value
-        held, sizes = [], []
-        for piece in pieces(table.sort_by("doc_id")["text"]):
-            found, offsets = tokens(piece)
-            held.append(known.lookup(found)[0])
-            sizes.append(np.diff(offsets))
-        offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))])
-        values = gru.flatten(gru.train(start, np.concatenate(held), offsets, rate))
-        return _weights(table["shard"][0].as_py() % AVERAGERS, values, 1)
+def _train_shards(shared, rate: float) -> Callable:
+    """Train a task's shards one after the other, each from the shared weights."""
+
+    def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, n = 0.0, 0
+        for batch in batches:
+            for words, sizes in zip(batch.column("words"), batch.column("sizes"), strict=True):
+                offsets = np.concatenate([[0], np.cumsum(postings.unpack(sizes.as_py()).astype(np.int64))])
+                numbers = postings.unpack(words.as_py()).astype(np.int64)
+                values = gru.flatten(gru.train(shared.value, numbers, offsets, rate))
+                total, n = total + values.astype(np.float64), n + 1
+        if n:
+            yield _weights(TaskContext.get().partitionId() % AVERAGERS, total, n)
 
     return train
 
 
-def _weights(part: int, values: np.ndarray, n: int) -> pa.Table:
-    blob = values.astype(np.float64).tobytes()
-    return pa.table(
-        [pa.array([part]), pa.array([blob], pa.binary()), pa.array([n])], ["part", "values", "n"]
+def _weights(part: int, values: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([part]), pa.array([values.tobytes()], pa.binary()), pa.array([n])],
+        ["part", "values", "n"],
     )
 
 
-def _add_up(table: pa.Table) -> pa.Table:
-    table = table.combine_chunks()
-    total = sum(np.frombuffer(v.as_buffer(), dtype=np.float64) for v in table["values"])
-    return _weights(table["part"][0].as_py(), total, sum(table["n"].to_pylist()))
+def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total, n = 0.0, 0
+    for batch in batches:
+        for values, some in zip(batch.column("values"), batch.column("n").to_pylist(), strict=True):
+            total, n = total + np.frombuffer(values.as_py(), dtype=np.float64), n + some
+    if n:
+        yield _weights(0, total, n)
 
 
 def _read(shared) -> Callable:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from dataclasses import replace
 
 import numpy as np
 import pyarrow.parquet as pq
@@ -130,3 +131,24 @@ def test_edges(spark, docs, monkeypatch):
     lone = next(i for i in range(100) if crc(i) % 7 == 2)
     ((*_, base, score),) = rows_of(language_model.op2(docs([(lone, "nothing learnt")])))
     assert base == 0 and abs(score) < 1e-6
+
+
+def test_every_training_document_moves_the_weights(docs):
+    """However large the corpus: words of a single document have moved, all of them."""
+    rows = [(i if i % 3 else None, f"a own{i} b c") for i in range(120)]
+    training = docs(rows).select("doc_id", "text")
+    known = language_model.learn_vocabulary(training)
+    net = language_model.learn_network(training, replace(known, total=10**9))
+    change = net.parameters["embedding"] - gru.new_network(known.frequency).parameters["embedding"]
+    words = known.ids[known.hashes != language_model.END]  # behind an end, the state is new
+    assert len(words) == 123 and (np.abs(change[words]).sum(axis=1) > 0).all()
+
+
+def test_shards_hold_every_token_once(docs, monkeypatch):
+    monkeypatch.setattr(language_model, "SHARD_TOKENS", 50)
+    training = docs([(None, f"a b c{i}") for i in range(100)]).select("doc_id", "text")
+    known = language_model.learn_vocabulary(training)
+    rows = rows_of(language_model.shards(training, known))
+    words = np.concatenate([postings.unpack(w) for w, _ in rows])
+    assert (np.bincount(words, minlength=len(known.frequency)) == known.frequency).all()
+    assert sum(postings.unpack(s).astype(int).sum() for _, s in rows) == known.total
