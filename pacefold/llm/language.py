@@ -185,27 +185,32 @@ def learn(documents: DataFrame, sample_docs: int = SAMPLE_DOCS) -> Model | None:
     """Count grams in a bounded sample of the documents that have a language.
 
     A language's sample is its ``sample_docs`` documents with the smallest hash of
-    their id; whole texts count. One row per language is broadcast. What comes to the driver is one row per language and
-    distinct gram of that sample.
+    their id, or of their text if they have no id; whole texts count. Rows that repeat
+    an id are one document here, and those that repeat its text count once. One row per
+    document of the sample is broadcast. What comes to the driver is one row per
+    language and distinct gram of that sample.
     """
-    named = documents.where(F.col("lang").isNotNull()).select("doc_id", "lang")
-    sizes = named.groupBy(F.col("lang").alias("_of")).agg(F.count("*").alias("_docs"))
-    # Only ids hashed low enough to be among the smallest are ranked: twice as many as
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text"))
+    keyed = documents.where(F.col("lang").isNotNull()).select("lang", "text", key.alias("_key"))
+    sizes = keyed.groupBy(F.col("lang").alias("_of")).agg(
+        F.approx_count_distinct("_key").alias("_docs")
+    )
+    # Only keys hashed low enough to be among the smallest are ranked: twice as many as
     # are wanted, or all, however many documents a language has.
-    share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / F.lit(float(1 << 40))
-    chosen = Window.partitionBy("lang").orderBy("_share", "doc_id")
+    share = F.pmod("_key", F.lit(1 << 40)) / F.lit(float(1 << 40))
+    chosen = Window.partitionBy("lang").orderBy("_share", "_key")
     ranked = (
-        named.withColumn("_share", share)
+        keyed.select("lang", "_key", share.alias("_share"))
         .join(F.broadcast(sizes), F.col("lang") == F.col("_of"))
         .where(F.col("_share") * F.col("_docs") <= 2 * sample_docs)
+        .select("lang", "_key", "_share")
+        .distinct()
         .withColumn("_rank", F.row_number().over(chosen))
         .where(F.col("_rank") <= sample_docs)
-        .select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
+        .select("lang", "_key")
     )
-    picked = documents.join(
-        F.broadcast(ranked),
-        (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")),
-        "left_semi",
+    picked = keyed.join(F.broadcast(ranked), ["lang", "_key"], "left_semi").dropDuplicates(
+        ["lang", "_key", "text"]
     )
     counted = (
         picked.select("lang", "text")

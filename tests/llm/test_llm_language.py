@@ -106,3 +106,22 @@ def test_edges(docs):
     assert {r[2] for r in rows_of(language.op6(docs([(1, "a", None, None)])))} == {"und"}
     clash = docs(rows).selectExpr("*", "'x' AS lang_pred", "1.0D AS score", "'y' AS _lettered")
     assert len(rows_of(language.op6(clash))) == 12
+
+
+def test_rows_without_id_are_learnt_and_take_no_place(docs):
+    rows = [(None, f"zyx wvu zyxw {i}", "xx", "s") for i in range(500)]
+    rows += [(i, f"zyx wvu zyxw {i}", "xx", "s") for i in range(60)]
+    rows += [(1000 + i, f"abc def abcd {i}", "en", "s") for i in range(60)]
+    rows += [(2000, "zyx wvu", None, "s"), (2001, "abc def", None, "s")]
+    found = {r[0]: r[2] for r in rows_of(language.op6(docs(rows)))}
+    assert found[2000] == "xx" and found[2001] == "en"
+
+
+def test_a_repeated_id_takes_one_place(docs):
+    rows = [(i, "abc", "en", "s") for i in range(40)]
+    hashed = docs(rows).selectExpr("doc_id", "pmod(xxhash64(doc_id), 1L << 40) AS h")
+    low = hashed.orderBy("h").first().doc_id
+    rows = [(i, "abc" if i == low else f"xyz {i}", "en", "s") for i in range(40)]
+    model = language.learn(docs(rows + [(low, "abc", "en", "s")] * 100), 20)
+    seen = {int(k) & 0xFF for k in model.costs[0].keys if k != 2**64 - 1}
+    assert {ord("a"), ord("x")} <= seen
