@@ -13,6 +13,9 @@ from pacefold.llm import decontaminate, language, mixing, near_dedup, suffix_ded
 from pacefold.llm.folders import documents, stored
 from pacefold.llm.queries import workers_find_package
 
+#: Near duplicates share this much of their five-word shingles, or more.
+SIMILAR_PERCENT = 80
+
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told: those with text that has a letter."""
@@ -24,7 +27,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group; documents without an id stay as they are."""
     workers_find_package(spark)
-    kept = near_dedup.near_duplicates(docs.select("doc_id", "text")).where("kept")
+    kept = near_dedup.near_duplicates(docs.select("doc_id", "text"), SIMILAR_PERCENT).where("kept")
     firsts = docs.join(kept.select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return firsts.select(*docs.columns).union(docs.where(F.col("doc_id").isNull()))
 

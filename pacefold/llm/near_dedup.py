@@ -2,7 +2,7 @@
 
 A document's set are its distinct five-word shingles, A-Z in lower case; with fewer
 words the whole sequence is its one shingle. Two documents are linked if
-``100 * intersection >= 85 * union``.
+``100 * intersection >= percent * union``, ``percent`` being 85 unless given.
 
 Documents with equal sets are one class and go on as its smallest id, so copies are
 never expanded into pairs. One-permutation hashing puts a set's shingle hashes into
@@ -16,10 +16,10 @@ the centre, and a member shared by several buckets of one centre goes there once
 sets of a star are compared with its centre's. Members linked with the centre are one
 component already; only a *stranger*, a member that is not, can still be linked with
 other members, and it is compared with those that three tests leave: their distance
-(one minus similarity, a metric) to the centre must be within 0.15 of its own, their
-sizes must allow the similarity, and their finer signatures of ``FINE_BINS`` bins must
-not put it five standard deviations below the threshold. Two linked classes share a
-bucket and so a star; hence no link is lost, and copies of one text, the usual large
+(one minus similarity, a metric) to the centre must be within that of the threshold
+(0.15) of its own, their sizes must allow the similarity, and their finer signatures of
+``FINE_BINS`` bins must not put it five standard deviations below the threshold. Two
+linked classes share a bucket and so a star; hence no link is lost, and copies of one text, the usual large
 group, cost one comparison each. Stars too large for one task are cut by distance to
 the centre, and a stranger goes to the parts within its reach.
 
@@ -32,6 +32,7 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,7 +54,11 @@ PART_SHINGLES = 1_000_000
 #: Large stars are cut into rings of this width around their centre.
 RING = 0.05
 
-_REACH = 1 - PERCENT / 100
+
+def _reach(percent: int) -> float:
+    """How far apart linked sets are at most."""
+    return 1 - percent / 100
+
 
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
@@ -215,36 +220,42 @@ def _shared(one: np.ndarray, other: np.ndarray) -> int:
     return np.intersect1d(one, other, assume_unique=True).size
 
 
-def _linked(shared: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
-    return 100 * shared >= PERCENT * (one + other - shared)
+def _linked(
+    shared: np.ndarray, one: np.ndarray, other: np.ndarray, percent: int
+) -> np.ndarray:
+    return 100 * shared >= percent * (one + other - shared)
 
 
-def _lowest_match(sizes: np.ndarray) -> np.ndarray:
+def _lowest_match(sizes: np.ndarray, percent: int) -> np.ndarray:
     """Share of fine bins that linked sets of these sizes agree on, at the very least.
 
     Five standard deviations below the threshold, over the bins that the smaller set
     fills by itself.
     """
     filled = FINE_BINS * (1 - np.exp(-sizes / FINE_BINS))
-    level = PERCENT / 100
+    level = percent / 100
     return level - 5 * np.sqrt(level * (1 - level) / np.maximum(filled, 1))
 
 
 def _links_of_strangers(
-    strangers: _Members, from_centre: np.ndarray, members: _Members, distances: np.ndarray
+    strangers: _Members,
+    from_centre: np.ndarray,
+    members: _Members,
+    distances: np.ndarray,
+    percent: int,
 ) -> list[tuple[int, int]]:
     """Links between strangers and members of a star, by their full sets."""
     found = []
     for row, rep in enumerate(strangers.reps):
         size = strangers.sizes[row]
         low, high = np.minimum(members.sizes, size), np.maximum(members.sizes, size)
-        near = np.abs(distances - from_centre[row]) <= _REACH + 1e-9
-        near &= (100 * low >= PERCENT * high) & (members.reps != rep)
+        near = np.abs(distances - from_centre[row]) <= _reach(percent) + 1e-9
+        near &= (100 * low >= percent * high) & (members.reps != rep)
         rows = np.flatnonzero(near)
         match = (members.fine[rows] == strangers.fine[row]).mean(axis=1)
-        for other in rows[match >= _lowest_match(low[rows])]:
+        for other in rows[match >= _lowest_match(low[rows], percent)]:
             both = _shared(strangers.sets[row], members.sets[other])
-            if _linked(both, size, members.sizes[other]):
+            if _linked(both, size, members.sizes[other], percent):
                 found.append((rep, members.reps[other]))
     return found
 
@@ -262,7 +273,7 @@ def _edges(u, v, linked, distance, parts) -> pa.RecordBatch:
 _EDGE_TYPES = (pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.int32())
 
 
-def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _stars(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Compare a star's members with its centre; settle stars of one part wholly."""
     for group in _groups(batches, ["centre", "part"]):
         centre, parts = group.column("centre")[0].as_py(), group.column("parts")[0].as_py()
@@ -271,7 +282,7 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, size = star.sets[at], star.sizes[at]
         shared = np.array([_shared(own, s) for s in star.sets])
         distances = 1 - shared / (star.sizes + size - shared)
-        linked = _linked(shared, star.sizes, size)
+        linked = _linked(shared, star.sizes, size, percent)
         others = np.flatnonzero(star.reps != centre)
         count = len(others)
         yield _edges(
@@ -281,13 +292,13 @@ def _stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = np.flatnonzero(~linked)
         if parts == 1 and len(alone) and count > 1:
             strangers = _Members(group.take(pa.array(alone)))
-            pairs = _links_of_strangers(strangers, distances[alone], star, distances)
+            pairs = _links_of_strangers(strangers, distances[alone], star, distances, percent)
             if pairs:
                 u, v = zip(*pairs, strict=True)
                 yield _edges(u, v, [True] * len(u), [None] * len(u), [1] * len(u))
 
 
-def _rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _rings(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Compare strangers with the members of one part of a ring."""
     for group in _groups(batches, ["centre", "ring", "part"]):
         stranger = group.column("stranger").to_numpy(zero_copy_only=False)
@@ -295,14 +306,14 @@ def _rings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         some, rest = np.flatnonzero(stranger), np.flatnonzero(~stranger)
         pairs = _links_of_strangers(
             _Members(group.take(pa.array(some))), distances[some],
-            _Members(group.take(pa.array(rest))), distances[rest],
+            _Members(group.take(pa.array(rest))), distances[rest], percent,
         )
         if pairs:
             u, v = zip(*pairs, strict=True)
             yield _edges(u, v, [True] * len(u), [None] * len(u), [1] * len(u))
 
 
-def star_links(stars: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+def star_links(stars: DataFrame, sets: DataFrame, store: Store, percent: int = PERCENT) -> DataFrame:
     """Links ``u, v`` of all stars, given as ``centre, rep`` with the centre not among them."""
     sizes = sets.select("rep", "n")
     parts = store(
@@ -325,7 +336,7 @@ def star_links(stars: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
         .join(sets, "rep")
         .repartition("centre", "part")
         .sortWithinPartitions("centre", "part", "rep")
-        .mapInArrow(_stars, _EDGES),
+        .mapInArrow(partial(_stars, percent=percent), _EDGES),
         "compared",
     )
     links = compared.where("linked").select("u", "v")
@@ -334,15 +345,18 @@ def star_links(stars: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
     )
     if large.isEmpty():
         return links
-    return links.union(_links_across_parts(large, sets, store))
+    return links.union(_links_across_parts(large, sets, store, percent))
 
 
 def _dealt(column: str, count: Column) -> Column:
     return F.pmod(F.xxhash64(column), count).cast("int")
 
 
-def _links_across_parts(large: DataFrame, sets: DataFrame, store: Store) -> DataFrame:
+def _links_across_parts(
+    large: DataFrame, sets: DataFrame, store: Store, percent: int
+) -> DataFrame:
     """Links of strangers in stars of several parts, given each member's distance."""
+    reach = _reach(percent)
     placed = large.withColumn("ring", F.floor(F.col("distance") / RING).cast("int"))
     rings = store(
         placed.join(sets.select("rep", "n"), "rep")
@@ -356,9 +370,9 @@ def _links_across_parts(large: DataFrame, sets: DataFrame, store: Store) -> Data
     )
     inner, outer = F.col("ring") * RING, (F.col("ring") + 1) * RING
     strangers = (
-        large.where(F.col("distance") > _REACH - 1e-9)
+        large.where(F.col("distance") > reach - 1e-9)
         .join(rings, "centre")
-        .where((inner <= F.col("distance") + _REACH + 1e-6) & (outer >= F.col("distance") - _REACH - 1e-6))
+        .where((inner <= F.col("distance") + reach + 1e-6) & (outer >= F.col("distance") - reach - 1e-6))
         .select(
             "centre", "ring",
             F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
@@ -370,7 +384,7 @@ def _links_across_parts(large: DataFrame, sets: DataFrame, store: Store) -> Data
         .join(sets, "rep")
         .repartition("centre", "ring", "part")
         .sortWithinPartitions("centre", "ring", "part")
-        .mapInArrow(_rings, _EDGES)
+        .mapInArrow(partial(_rings, percent=percent), _EDGES)
         .select("u", "v")
     )
 
@@ -424,7 +438,7 @@ def star_edges(firsts: DataFrame, store: Store) -> DataFrame:
     )
 
 
-def link_classes(firsts: DataFrame, documents: DataFrame) -> DataFrame:
+def link_classes(firsts: DataFrame, documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """``node, root`` of every class that is linked with another."""
     with workspace(documents.sparkSession, "links") as store:
         stars = star_edges(firsts, store)
@@ -436,13 +450,17 @@ def link_classes(firsts: DataFrame, documents: DataFrame) -> DataFrame:
             ),
             "sets",
         )
-        return components(star_links(stars, sets, store))
+        return components(star_links(stars, sets, store, percent))
 
 
-def near_duplicates(documents: DataFrame) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept``, one row per row of ``documents``."""
+def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept``, one row per row of ``documents``.
+
+    Documents are linked from a similarity of ``percent`` hundredths on. The bands miss a
+    pair at 80 with a chance of 4e-7, and more below.
+    """
     members, firsts = classes(documents)
-    roots = link_classes(firsts, documents)
+    roots = link_classes(firsts, documents, percent)
     component = F.coalesce("root", "rep")
     return members.join(roots, F.col("rep") == F.col("node"), "left").select(
         "doc_id",

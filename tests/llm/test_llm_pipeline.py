@@ -10,6 +10,7 @@ from llm_reading import rows_of
 import __spark_entry__ as driver
 import corpus_pipeline
 from compare import connect, oracle_rows, spark_rows
+from pacefold.llm import near_dedup
 
 ORACLE_SF = "/root/testdata/sf0.01"
 
@@ -76,3 +77,23 @@ def test_empty_table(spark, docs, tmp_path):
     docs([]).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
     assert rows_of(corpus_pipeline.run(spark, str(tmp_path))) == []
+
+
+def test_near_copies_from_a_similarity_of_80_go(spark, docs):
+    words = [f"word{i}" for i in range(200)]
+    copies = {0: words}
+    for i, changed in enumerate((1, 4, 5, 6, 14)):  # each changed word is in five shingles
+        copies[i + 1] = [f"new{i}" if k % 14 == 5 and k < 14 * changed else w for k, w in enumerate(words)]
+
+    def alike(one, other):
+        a, b = ({tuple(c[k : k + 5]) for k in range(196)} for c in (copies[one], copies[other]))
+        return len(a & b) / len(a | b)
+
+    pairs = [i for i in copies if i and 0.8 <= alike(0, i) < 0.85]
+    apart = [i for i in copies if i and alike(0, i) < 0.8]
+    assert pairs and apart
+    stage = corpus_pipeline.drop_near_duplicates
+    for other in (*pairs, *apart):
+        frame = docs([(i, " ".join(copies[i])) for i in (0, other)])
+        assert stage(spark, frame, "").count() == (1 if other in pairs else 2)
+        assert sum(r[3] for r in rows_of(near_dedup.op5(frame))) == 2
