@@ -16,6 +16,8 @@ from pacefold.llm import (
     mixing,
     near_dedup,
     neighbours,
+    packing,
+    periodic_runs,
     quality,
     suffix_dedup,
     token_counts,
@@ -72,4 +74,6 @@ _QUERIES: dict[str, Query] = {
     "op10_quality": lambda spark, sf_dir: quality.op10(
         documents(spark, sf_dir), _table(spark, sf_dir, "labels")
     ),
+    "op11_periodic_runs": _on_documents(periodic_runs.op11),
+    "op13_packing": _on_documents(packing.op13),
 }

@@ -1,0 +1,142 @@
+"""Packing: whole-text tokenising, a valid layout, first fit, and little padding."""
+
+from __future__ import annotations
+
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from llm_reading import SF, rows_of
+from tokenizers import Tokenizer
+
+from pacefold.llm import packing
+from pacefold.llm.text import pieces
+
+MODEL = packing.read_model(public_tokenizers.path(packing.TOKENIZER))
+LIBRARY = Tokenizer.from_str(MODEL)
+
+
+def ids_of(text):
+    return [*LIBRARY.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check(rows, texts, limit=4096):
+    """Pieces of ``(doc_id, text)`` rows with distinct ids; returns ids without a place."""
+    ids = {i: ids_of(t) for i, t in texts}
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for doc, start, length, crc, total, sequence, offset in rows:
+        assert total == len(ids[doc]) and length > 0
+        part = np.array(ids[doc][start : start + length], dtype="<u4")
+        assert len(part) == length and crc == zlib.crc32(part.tobytes())
+        by_doc[doc].append((start, length))
+        by_sequence[sequence].append((offset, length))
+    assert set(by_doc) == set(ids)
+    for doc, spans in by_doc.items():
+        assert sorted(spans)[0][0] == 0 and sum(n for _, n in spans) == len(ids[doc])
+        assert all(a + n == b for (a, n), (b, _) in zip(sorted(spans), sorted(spans)[1:], strict=False))
+    padding = 0
+    for spans in by_sequence.values():
+        spans.sort()
+        used = sum(n for _, n in spans)
+        assert [o for o, _ in spans] == [sum(n for _, n in spans[:k]) for k in range(len(spans))]
+        assert used <= limit
+        padding += limit - used if used & (used - 1) else 0
+    return padding
+
+
+def test_whole_table(spark):
+    frame = spark.read.parquet(f"{SF}/documents.parquet")
+    texts = [(r.doc_id, r.text) for r in frame.select("doc_id", "text").collect()]
+    rows = rows_of(packing.op13(frame))
+    assert check(rows, texts) <= 0.002 * sum(row[2] for row in rows)
+
+
+_PARTS = [
+    "don't", "l'homme", "'s", "It'S", "THE", "Straße.", "naïve,", "x1y22z", "a.b,c", "...!?", "<|endoftext|>",
+    "a<|startoftext|>b", "<|EndOfText|>", "<|", "|>", "é", "é", "J̌", "́a", "1́", ".́", "½²", "٣٤",
+    "×÷", "a×b", "中文字", "日本、", "😀👍🏽", "a b", " ", "İstanbul", "ΣΑΣ", "ŉ", "ŉx", "ǅ", "\x1c", "\x00a", "a\x7fb",
+    "|", "“quoted”", "—", "Å", "ÅÅ", "ɐbc", "ʰ", "word", "3.14", "﻿b", "a‍b", "²x", "ªº", "ﬁ",
+]
+
+
+def test_chunks_have_the_ids_of_whole_texts():
+    pick = random.Random(5)
+    texts = ["".join(pick.choice(_PARTS) + pick.choice(["", " ", "\n", "  \t", "", ""]) for _ in range(pick.randrange(30))) for _ in range(3000)]
+    library = packing.ChunkIds(MODEL)
+    for piece in pieces(pa.array(texts), 1 << 14):
+        ids, begins = packing.document_ids(piece, library)
+        for k in range(piece.count):
+            assert ids[begins[k] : begins[k + 1]].tolist() == ids_of(texts[piece.first + k]), texts[piece.first + k]
+
+
+def test_ids_do_not_depend_on_what_is_remembered(monkeypatch):
+    texts = pa.array(["x" * (n % 40) + "y" * (n // 40) + " same" for n in range(1, 300)] * 2)
+    monkeypatch.setattr(packing, "REMEMBERED", 50)
+    library = packing.ChunkIds(MODEL)
+    for piece in pieces(texts, 1 << 10):
+        ids, begins = packing.document_ids(piece, library)
+        for k in range(piece.count):
+            assert ids[begins[k] : begins[k + 1]].tolist() == ids_of(texts[piece.first + k].as_py())
+    assert len(library._known) == 50
+
+
+def plain_first_fit(sizes, limit):
+    bins = []
+    for size in sizes:
+        for spans in bins:
+            if sum(spans) + size <= limit:
+                spans.append(size)
+                break
+        else:
+            bins.append([size])
+    return bins
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_tournament_finds_the_first_fit(seed):
+    pick = random.Random(seed)
+    sizes = sorted((pick.choice([pick.randrange(1, 64), 32, 33]) for _ in range(200)), reverse=True)
+    bins = packing.first_fit_decreasing(sizes, 64)
+    assert [[n for _, _, n in spans] for spans in bins] == plain_first_fit(sizes, 64)
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_filling_keeps_every_id_once(seed):
+    pick = random.Random(seed)
+    sizes = sorted((pick.randrange(1, pick.choice([8, 64])) for _ in range(pick.randrange(60))), reverse=True)
+    bins = packing.filled(packing.first_fit_decreasing(sizes, 64), 64, pick.choice([0, 2]))
+    held = sorted((item, first + k) for spans in bins for item, first, n in spans for k in range(n))
+    assert held == [(item, k) for item, size in enumerate(sizes) for k in range(size)]
+    for spans in bins:
+        used = sum(n for _, _, n in spans)
+        assert 62 <= used <= 64 or used & (used - 1) == 0
+
+
+def test_edges(docs):
+    texts = [(1, None), (2, ""), (3, " \n "), (4, "word " * 9000), (5, "x" * 20000), (6, "a " * 4095), (7, "a " * 4096)]
+    assert check(rows_of(packing.op13(docs(texts))), texts) <= 8
+    assert rows_of(packing.op13(docs([]))) == []
+
+
+def test_repeated_and_missing_ids_are_documents_of_their_own(docs):
+    rows = rows_of(packing.op13(docs([(1, "one two"), (1, "one two"), (1, "three"), (None, "four"), (None, "four")])))
+    assert sum(r[2] for r in rows if r[0] is None) == 4 and sum(r[2] for r in rows if r[0] == 1) == 8
+    assert sorted(r[6] + k for r in rows for k in range(r[2])) == sorted([*range(8), *range(4)])
+
+
+def test_groups_are_packed_on_their_own(docs):
+    texts = [(i, "w " * (i * 37 % 900)) for i in range(300)]
+    rows = rows_of(packing.pack(docs(texts).repartition(7), MODEL, limit=512, slack=4, group_docs=25))
+    assert len({r[5] >> 32 for r in rows}) > 6
+    assert check(rows, texts, 512) <= 4 * len({r[5] for r in rows})
+
+
+def test_clashing_columns_are_ignored(docs):
+    frame = docs([(1, "one two three")])
+    for name in ("group", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"):
+        frame = frame.selectExpr("*", f"'x' AS `{name}`")
+    assert [r[:3] for r in rows_of(packing.op13(frame))] == [(1, 0, 4)]
