@@ -21,6 +21,7 @@ from pacefold.llm import (
     quality,
     suffix_dedup,
     token_counts,
+    whitening,
 )
 from pacefold.llm.folders import documents
 
@@ -75,5 +76,6 @@ _QUERIES: dict[str, Query] = {
         documents(spark, sf_dir), _table(spark, sf_dir, "labels")
     ),
     "op11_periodic_runs": _on_documents(periodic_runs.op11),
+    "op12_whitening": lambda spark, sf_dir: whitening.op12(_table(spark, sf_dir, "embeddings")),
     "op13_packing": _on_documents(packing.op13),
 }
