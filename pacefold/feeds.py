@@ -87,6 +87,9 @@ BATCH_COLUMNS = (StructField("writer", StringType()), StructField("batch_id", Lo
 #: Storage column of the day a row is about; null where it cannot be read.
 DAY_COLUMN = StructField("event_date", DateType())
 
+#: Storage column of the part of the id index that an id belongs to.
+BUCKET = "bucket"
+
 #: Shape of a raw message as brokers deliver it (extra broker columns are ignored).
 ENVELOPE = StructType(
     [

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pacefold.feeds import FEEDS
 from pacefold.jobs.options import add_options
 from pacefold.session import build_session
+from pacefold.sinks.ids import IdIndex
 from pacefold.sinks.tables import (
     create_jdbc_tables,
     create_parquet_tables,
@@ -54,7 +55,12 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
     parser.add_argument("--label", help="name to put before the checkpoint's own id")
     parser.add_argument("--latest", type=int, default=20, help="rows of the latest-rows views")
     parser.add_argument(
-        "--dedup", metavar="DELAY", help='drop copies that arrive within, say, "1 hour"'
+        "--dedup", metavar="DELAY", help='drop copies that come within, say, "1 hour"'
+    )
+    parser.add_argument(
+        "--known-ids",
+        action="store_true",
+        help="drop copies of whatever is stored, also after a new checkpoint's first start",
     )
     bound = parser.add_mutually_exclusive_group()
     bound.add_argument(
@@ -99,12 +105,15 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
 
 def _router(spark: SparkSession, options: Namespace) -> Router:
     files, reports = parquet_sink(options.tables, options.label), batch_reports(options.latest)
+    index = IdIndex(options.tables, options.label) if options.known_ids else None
     if options.jdbc:
         database = dict(options.jdbc)
         create_jdbc_tables(spark, database)
-        return Router(jdbc_sink(database, options.label), files, reports)
+        return Router(jdbc_sink(database, options.label), files, reports, index)
     create_parquet_tables(spark, options.tables)
-    return Router(files, files, reports)
+    if index:
+        index.catch_up(spark)
+    return Router(files, files, reports, index)
 
 
 def main() -> None:

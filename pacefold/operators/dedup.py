@@ -29,8 +29,8 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key (stream with a watermark), also across micro-batches.
 
-    The watermark belongs on the time of arrival: rows behind it are left out. A
-    streaming dedup sends all copies of a key to one task, and a message may have very
+    Rows behind the watermark are left out, so it belongs on a time that never goes back:
+    that of the micro-batch, not one that a message or its broker tells. A streaming dedup sends all copies of a key to one task, and a message may have very
     many copies. They are therefore first thinned out in ``salt`` sub-groups side by
     side, so that at most ``salt`` copies per key go on. Where copies are known to be
     few, ``salt=0`` saves that step and its state. Choose before the first start: a

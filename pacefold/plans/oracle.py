@@ -381,7 +381,17 @@ def oracle() -> dict[str, str]:
             ("dedup_readings", "stored_without_positions", "stored_two_checkpoints"),
             _sql(f"SELECT {_READING_FIELDS} FROM readings"),
         ),
-        "compacted_readings": _sql(f"SELECT DISTINCT {_READING_FIELDS} FROM readings"),
+        **dict.fromkeys(
+            ("compacted_readings", "read_during_compaction"),
+            _sql(f"SELECT {_READING_FIELDS}, 2 * count(*) AS copies FROM readings GROUP BY ALL"),
+        ),
+        **dict.fromkeys(
+            ("dedup_late_files", "dedup_new_checkpoint"),
+            _sql(f"SELECT {_READING_FIELDS}, count(*) AS copies FROM readings GROUP BY ALL"),
+        ),
+        "read_as_of_version": _sql(
+            f"SELECT {_READING_FIELDS} FROM readings WHERE heart_rate <= {STREAMED_RATE}"
+        ),
         "stream_summary_view": _sql(
             f"SELECT {_DAILY_MESSAGE} FROM daily ORDER BY \"date\" DESC, user_id LIMIT 20"
         ),

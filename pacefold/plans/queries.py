@@ -31,10 +31,12 @@ from pacefold.operators import (
 )
 from pacefold.plans import batch, fixtures
 from pacefold.session import new_scratch, require_settings
+from pacefold.sinks import files, versions
 from pacefold.sinks.compaction import compact
+from pacefold.sinks.ids import IdIndex, compact_ids
 from pacefold.sinks.tables import create_parquet_tables, parquet_sink
 from pacefold.sinks.topics import encode_messages, publish_to_files
-from pacefold.sources.tables import parquet_reader
+from pacefold.sources.tables import parquet_reader, report_reader
 from pacefold.sources.topics import (
     TopicSource,
     combined_stream,
@@ -64,6 +66,8 @@ STEP_GOAL = 500
 WATERMARK_DELAY = "1 hour"
 #: When silent users are looked for, after the last reading of the fixtures.
 AS_OF = datetime(2024, 2, 15, tzinfo=UTC)
+#: How long versions of a table that was written to are kept.
+RETENTION_SECONDS = 3600.0
 #: Readings with a higher heart rate than this do not reach the incomplete stream.
 STREAMED_RATE = 145
 
@@ -143,12 +147,16 @@ def _routed(spark: SparkSession, sf_dir: str, label: str) -> str:
 
 
 def _route(
-    spark: SparkSession, source: TopicSource, root: str, checkpoint: str = "checkpoint"
+    spark: SparkSession,
+    source: TopicSource,
+    root: str,
+    checkpoint: str = "checkpoint",
+    index: IdIndex | None = None,
 ) -> None:
     """Store everything a source has now, with the sink's own settings."""
     start_batches(
         combined_stream(spark, source, graded=True),
-        Router(parquet_sink(f"{root}/tables")),
+        Router(parquet_sink(f"{root}/tables"), index=index),
         f"{root}/{checkpoint}",
         AVAILABLE_NOW,
     ).awaitTermination()
@@ -187,8 +195,45 @@ def _compacted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
     create_parquet_tables(spark, f"{root}/tables")
     _route(spark, file_source(f"{root}/messages", maxFilesPerTrigger="1"), root)
-    compact(spark, f"{root}/tables", READINGS)
-    return _readings_of(spark, root).distinct()
+    compact(spark, f"{root}/tables", READINGS.table)
+    return _copies(_readings_of(spark, root))
+
+
+def _copies(rows: DataFrame) -> DataFrame:
+    """How often each row is there."""
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def _read_during_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Readings of a report that began before batches were merged, replaced and expired."""
+    root = _published(spark, sf_dir, "read-compacted")
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
+    source = file_source(f"{root}/messages", maxFilesPerTrigger="1")
+    _route(spark, source, root)
+    opened = _readings_of(spark, root)
+    compact(spark, f"{root}/tables", READINGS.table)
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
+    _route(spark, source, root)
+    compact(spark, f"{root}/tables", READINGS.table)
+    versions.expire(spark, f"{root}/tables/{READINGS.table}", RETENTION_SECONDS)
+    return _copies(opened)
+
+
+def _read_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The readings as they were before more were stored and all were merged."""
+    root, table = new_scratch(spark, "as-of"), READINGS.table
+    high = F.col("heart_rate") > STREAMED_RATE
+    for part in (~high, high):
+        publish_to_files(fixtures.readings(spark, sf_dir).where(part), READINGS, f"{root}/messages")
+        for feed in (SUMMARIES, ALERTS):
+            publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/messages")
+        _route(spark, file_source(f"{root}/messages", maxFilesPerTrigger="1"), root)
+        if part is not high:
+            earlier = versions.latest(spark, f"{root}/tables/{table}").number
+            compact(spark, f"{root}/tables", table)
+    compact(spark, f"{root}/tables", table)
+    read = parquet_reader(spark, f"{root}/tables", version=earlier)
+    return read(READINGS).select(*READINGS.schema.fieldNames())
 
 
 def _topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -207,7 +252,7 @@ def _stored(feed: Feed) -> Query:
 def _stored_report(name: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = _routed(spark, sf_dir, name.replace("_", "-"))
-        return spark.read.parquet(f"{root}/{name}").drop("writer", "batch_id")
+        return report_reader(spark, root)(name).drop("writer", "batch_id")
 
     return run
 
@@ -241,6 +286,50 @@ def _dedup_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored
 
 
+def _late_files(spark: SparkSession, root: str, name: str, rows: DataFrame, hours: int) -> None:
+    """Message files under ``name`` whose time of change lies ``hours`` back."""
+    publish_to_files(rows, READINGS, f"{root}/{name}")
+    folder = f"{root}/{name}/{READINGS.topic}"
+    now = int(datetime.now(UTC).timestamp() * 1000)
+    for file in files.file_names(spark, folder):
+        files.set_changed_at(spark, f"{folder}/{file}", now - hours * 3_600_000)
+
+
+def _dedup_late_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that come in later but are dated earlier, with copies: all readings, once.
+
+    The first run stores some readings; the next one finds the others, and all of the
+    first again, in files that are two days old.
+    """
+    root = new_scratch(spark, "dedup-late")
+    rows, high = fixtures.readings(spark, sf_dir), F.col("heart_rate") > STREAMED_RATE
+    index = IdIndex(f"{root}/tables")
+    source = deduplicated(file_source(f"{root}/messages"), "1 minute")
+    for hours, part in ((0, high), (48, F.lit(True))):
+        _late_files(spark, root, "messages", rows.where(part), hours)
+        for feed in (SUMMARIES, ALERTS):
+            publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/messages")
+        _route(spark, source, root, index=index)
+    return _copies(_readings_of(spark, root))
+
+
+def _dedup_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A query that lost its checkpoint reads all messages from the start, with new ones."""
+    root = new_scratch(spark, "dedup-checkpoint")
+    index = IdIndex(f"{root}/tables")
+    low = fixtures.readings(spark, sf_dir).where(F.col("heart_rate") <= STREAMED_RATE)
+    publish_to_files(low, READINGS, f"{root}/messages")
+    for feed in (SUMMARIES, ALERTS):
+        publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/messages")
+    source = file_source(f"{root}/messages", maxFilesPerTrigger="1")
+    _route(spark, source, root, "first", index)
+    compact(spark, f"{root}/tables", READINGS.table)
+    compact_ids(spark, f"{root}/tables")
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
+    _route(spark, source, root, "second", index)
+    return _copies(_readings_of(spark, root))
+
+
 def _dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fixtures.readings(spark, sf_dir)
     messages = encode_messages(rows.union(rows), READINGS)
@@ -378,9 +467,13 @@ _QUERIES: dict[str, Query] = {
     "stored_without_positions": _stored_without_positions,
     "stored_two_checkpoints": _stored_two_checkpoints,
     "compacted_readings": _compacted_readings,
+    "read_during_compaction": _read_during_compaction,
+    "read_as_of_version": _read_as_of_version,
     "dedup_flawed": _dedup_flawed,
     "quarantine": _quarantine,
     "dedup_readings": _dedup_readings,
+    "dedup_late_files": _dedup_late_files,
+    "dedup_new_checkpoint": _dedup_new_checkpoint,
     "dedup_batch": _dedup_batch,
     # chart data
     "chart_heart_rate_histogram": _on(

@@ -1,77 +1,82 @@
 """Merging the small files that micro-batches leave in Parquet tables.
 
 A batch is handed out again only until the next one begins, so all batches of a writer
-but its newest are final and may be merged. The merged rows are written beside the
-batches, out of readers' sight; only a complete merge takes the place of its batches,
-under the highest of their ids. A run that was interrupted is finished or undone by the
-next one. While batches are being replaced, readers may miss them: run it when no
-report is reading.
+but its newest are final and may be merged. The merged rows keep their writer and batch;
+they are written beside the batches, and a new version of the table puts them in their
+place. Reports that have opened an earlier version go on reading the batches, which
+:func:`pacefold.sinks.versions.expire` removes later. A run that was interrupted has
+published nothing; what it left goes with the expired folders.
+
+Merged folders are merged again only while they are small: once there are ``FOLDERS`` of
+them, so a row is rewritten a few times at most in a table's life.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
-
-from pacefold.feeds import DAY_COLUMN, Feed
-from pacefold.sources.tables import parquet_reader
-
-_BATCH, _MERGE = "batch_id=", ".merge-"
-
-
-def compact(spark: SparkSession, root: str, feed: Feed) -> int:
-    """Merge each writer's final batches of a feed's table; returns how many were merged."""
-    merged = 0
-    for writer in _names(spark, f"{root}/{feed.table}", "writer="):
-        folder = f"{root}/{feed.table}/{writer}"
-        for left in _names(spark, folder, _MERGE):
-            _settle(spark, folder, left)
-        final = sorted(int(n.removeprefix(_BATCH)) for n in _names(spark, folder, _BATCH))[:-1]
-        if len(final) > 1:
-            merged += len(final)
-            name = f"{_MERGE}{final[-1]}"
-            _merge(spark, root, feed, writer.partition("=")[2], final[-1], f"{folder}/{name}")
-            _settle(spark, folder, name)
-    return merged
-
-
-def _merge(
-    spark: SparkSession, root: str, feed: Feed, writer: str, last: int, target: str
-) -> None:
-    rows = parquet_reader(spark, root)(feed)
-    (
-        rows.where((F.col("writer") == writer) & (F.col("batch_id") <= last))
-        .drop("writer", "batch_id")
-        # Files of a good size: small days are written by one task, large ones by many.
-        .hint("rebalance", DAY_COLUMN.name)
-        .write.partitionBy(DAY_COLUMN.name)
-        .parquet(target)
-    )
-
-
-def _settle(spark: SparkSession, folder: str, name: str) -> None:
-    """Put a complete merge in the place of its batches; drop an incomplete one."""
-    files, path = _files(spark, folder), _path(spark, f"{folder}/{name}")
-    if not files.exists(_path(spark, f"{folder}/{name}/_SUCCESS")):
-        files.delete(path, True)
-        return
-    last = int(name.removeprefix(_MERGE))
-    for batch in _names(spark, folder, _BATCH):
-        if int(batch.removeprefix(_BATCH)) <= last:
-            files.delete(_path(spark, f"{folder}/{batch}"), True)
-    if not files.rename(path, _path(spark, f"{folder}/{_BATCH}{last}")):
-        raise OSError(f"cannot rename {folder}/{name}")
-
-
-def _names(spark: SparkSession, folder: str, prefix: str) -> list[str]:
-    found = _files(spark, folder).listStatus(_path(spark, folder))
-    names = [status.getPath().getName() for status in found if status.isDirectory()]
-    return [name for name in names if name.startswith(prefix)]
-
-
-def _files(spark: SparkSession, folder: str):
-    return _path(spark, folder).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
+import uuid
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from pacefold.feeds import BUCKET, DAY_COLUMN, FEEDS
+from pacefold.sinks import files, versions
+from pacefold.sinks.versions import Version
+
+#: Merged folders a table may have before they are merged with each other.
+FOLDERS = 16
+
+Merge = Callable[[DataFrame], DataFrame]
+
+
+def table_names(spark: SparkSession, root: str) -> list[str]:
+    """Tables and reports under a folder: all that has batches of some writer."""
+    return [
+        name for name in files.subfolders(spark, root) if files.subfolders(spark, f"{root}/{name}", "writer=")
+    ]
+
+
+def compact(
+    spark: SparkSession,
+    root: str,
+    name: str,
+    merge: Merge | None = None,
+    columns: StructType | None = None,
+) -> int:
+    """Merge the final batches of a table or report; returns how many were merged.
+
+    ``merge`` may condense the rows on the way; ``columns`` are those of a table that is
+    no feed's.
+    """
+    table = f"{root}/{name}"
+    # A table that was written before it had versions gets its first one.
+    current = versions.publish(spark, table, lambda version: version)
+    newest: dict[str, int] = {}
+    for writer, number in current.batches:
+        newest[writer] = max(number, newest.get(writer, number))
+    final = {batch for batch in current.batches if batch[1] < newest[batch[0]]}
+    older = set(current.merged) if len(current.merged) >= FOLDERS else set()
+    if len(final) < 2 and not older:
+        return 0
+    chosen = Version(batches=tuple(sorted(final)), merged=tuple(sorted(older)))
+    rows = versions.open_version(spark, table, chosen, columns or stored_columns(name))
+    folder = uuid.uuid4().hex
+    _write(merge(rows) if merge else rows, versions.merged_folder(table, folder))
+    versions.publish(spark, table, lambda version: version.with_merged(folder, final, older))
+    return len(final)
+
+
+def stored_columns(name: str) -> StructType | None:
+    """Columns of a feed's stored table but for writer and batch; none for reports."""
+    feed = next((feed for feed in FEEDS if feed.table == name), None)
+    return StructType([*feed.stored_schema.fields, DAY_COLUMN]) if feed else None
+
+
+#: Columns that split a table's folders, if it has them.
+PARTITIONS = (DAY_COLUMN.name, BUCKET)
+
+
+def _write(rows: DataFrame, target: str) -> None:
+    by = [name for name in PARTITIONS if name in rows.columns]
+    # Files of a good size: small days are written by one task, large ones by many.
+    rows.hint("rebalance", *by).write.partitionBy(*by).parquet(target)

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from pacefold.feeds import DAY_COLUMN, FEEDS, Feed
 from pacefold.functions.times import event_date
 from pacefold.operators.dedup import with_key
+from pacefold.sinks import versions
+from pacefold.sinks.compaction import PARTITIONS
 from pacefold.sinks.parallel import run_all
 
 Sink = Callable[[DataFrame, str, int], None]
@@ -42,22 +44,36 @@ def writer_name(spark: SparkSession, label: str | None = None) -> str:
 
 
 def parquet_sink(root: str, label: str | None = None) -> Sink:
-    """One Parquet folder per table; a batch replaces its own subfolder."""
+    """One Parquet folder per table, a subfolder per batch, and versions that name them.
+
+    A batch is part of the table once a version names it. A stream that hands a
+    published batch out again leaves it as it is, under whoever reads it; outside a
+    stream a batch replaces its own subfolder.
+    """
 
     def write(rows: DataFrame, table: str, batch_id: int) -> None:
-        writer = writer_name(rows.sparkSession, label)
-        dated = with_day(rows, table)
-        days = [DAY_COLUMN.name] if DAY_COLUMN.name in dated.columns else []
-        (
-            dated.write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .partitionBy(*days)
-            .parquet(_batch_folder(root, table, writer, batch_id))
-        )
+        spark = rows.sparkSession
+        batch = (writer_name(spark, label), batch_id)
+        current = versions.latest(spark, f"{root}/{table}")
+        if current and current.has(batch) and spark.sparkContext.getLocalProperty(_QUERY_ID):
+            return
+        write_batch(with_day(rows, table), f"{root}/{table}", batch)
 
     return write
 
 
+def write_batch(rows: DataFrame, table: str, batch: versions.Batch) -> None:
+    """Write a batch's folder anew and publish it."""
+    by = [name for name in PARTITIONS if name in rows.columns]
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(versions.batch_folder(table, *batch))
+    )
+    versions.publish(rows.sparkSession, table, lambda version: version.with_batch(batch))
+
+
 def with_day(rows: DataFrame, table: str) -> DataFrame:
     """Rows of a feed's table with the day they are about; others as they are."""
     feed = next((feed for feed in FEEDS if feed.table == table), None)
@@ -126,7 +142,7 @@ def create_parquet_tables(spark: SparkSession, root: str) -> None:
         [
             partial(
                 _empty(spark, feed).write.mode("ignore").parquet,
-                f"{_batch_folder(root, feed.table, 'none', -1)}/{_NO_DAY}",
+                f"{versions.batch_folder(f'{root}/{feed.table}', 'none', -1)}/{_NO_DAY}",
             )
             for feed in FEEDS
         ],
@@ -189,10 +205,6 @@ def jdbc_column_types(feed: Feed) -> str:
 _NO_DAY = f"{DAY_COLUMN.name}=__HIVE_DEFAULT_PARTITION__"
 
 
-def _batch_folder(root: str, table: str, writer: str, batch_id: int) -> str:
-    return f"{root}/{table}/writer={writer}/batch_id={batch_id}"
-
-
 def _stamped(rows: DataFrame, writer: str, batch_id: int) -> DataFrame:
     return rows.withColumn("writer", F.lit(writer)).withColumn(
         "batch_id", F.lit(batch_id).cast("bigint")

@@ -6,28 +6,61 @@ A table that cannot be read raises; no caller goes on with a missing input.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from pacefold.feeds import BATCH_COLUMNS, DAY_COLUMN, FEEDS, Feed
+from pacefold.feeds import BATCH_COLUMNS, FEEDS, Feed
+from pacefold.sinks import versions
+from pacefold.sinks.compaction import stored_columns
 
 TableReader = Callable[[Feed], DataFrame]
 
 
-def parquet_reader(spark: SparkSession, root: str) -> TableReader:
+def parquet_reader(
+    spark: SparkSession, root: str, version: int | None = None, as_of: datetime | None = None
+) -> TableReader:
     """Tables written by :func:`pacefold.sinks.tables.parquet_sink`.
 
-    A filter on ``event_date`` reads the folders of those days only.
+    A filter on ``event_date`` reads the folders of those days only. A table is read at
+    its newest version, at the one with a number, or as it was at a time; what is written
+    or merged afterwards does not change the rows. A table without versions is read as
+    its folder lies.
     """
 
     def read(feed: Feed) -> DataFrame:
-        schema = StructType([*feed.stored_schema.fields, *BATCH_COLUMNS, DAY_COLUMN])
-        return spark.read.schema(schema).parquet(f"{root}/{feed.table}")
+        table, columns = f"{root}/{feed.table}", stored_columns(feed.table)
+        found = _version(spark, table, version, as_of)
+        if found:
+            return versions.open_version(spark, table, found, columns)
+        return spark.read.schema(StructType([*columns.fields, *BATCH_COLUMNS])).parquet(table)
+
+    return read
+
+
+def report_reader(
+    spark: SparkSession, root: str, version: int | None = None, as_of: datetime | None = None
+) -> Callable[[str], DataFrame]:
+    """Reports of a stream by name, read like its tables."""
+
+    def read(name: str) -> DataFrame:
+        found = _version(spark, f"{root}/{name}", version, as_of)
+        if found:
+            return versions.open_version(spark, f"{root}/{name}", found)
+        return spark.read.parquet(f"{root}/{name}")
 
     return read
 
 
+def _version(
+    spark: SparkSession, table: str, number: int | None, when: datetime | None
+) -> versions.Version | None:
+    if number is not None:
+        return versions.version(spark, table, number)
+    return versions.as_of(spark, table, when) if when else versions.latest(spark, table)
+
+
 def catalog_reader(spark: SparkSession, database: str | None = None) -> TableReader:
     def read(feed: Feed) -> DataFrame:
         return spark.table(f"{database}.{feed.table}" if database else feed.table)

@@ -98,15 +98,18 @@ def _placed(messages: DataFrame, file_format: str) -> DataFrame:
 def deduplicated(source: TopicSource, delay: str = "1 hour", salt: int = 16) -> TopicSource:
     """A streaming source that hands out each message once, across micro-batches.
 
-    Copies are recognised by the message's id for ``delay`` after the first arrived.
-    What the message says, when its reading was taken above all, plays no part: late
-    readings and unreadable times are handed out like any other.
+    Copies are recognised by the message's id for ``delay`` after the query first saw it.
+    No time of the message or its broker plays a part: a message that comes late, in a
+    file of yesterday or from a partition that lags behind, is handed out like any other.
+    Copies that come after the delay are too; :class:`pacefold.sinks.ids.IdIndex` knows
+    those as well.
     """
 
     def open_topic(spark: SparkSession, topic: str) -> DataFrame:
         messages = source(spark, topic)
-        known = messages.withColumn("id", message_id(messages)).withWatermark("arrival", delay)
-        return dedup_stream(known, ["id"], salt)
+        # The time of the micro-batch never falls behind the watermark made from it.
+        seen = messages.withColumns({"id": message_id(messages), "seen": F.current_timestamp()})
+        return dedup_stream(seen.withWatermark("seen", delay), ["id"], salt)
 
     return open_topic
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark import StorageLevel
@@ -14,8 +15,10 @@ from pacefold.functions.measures import row_count
 from pacefold.operators.alerts import recent_alerts
 from pacefold.operators.readings import batch_user_stats, health_snapshot
 from pacefold.operators.summaries import latest_summaries
+from pacefold.sinks.ids import IdIndex
 from pacefold.sinks.parallel import run_all
 from pacefold.sinks.tables import Sink
+from pacefold.sources.tables import report_reader
 from pacefold.sources.topics import quarantined
 
 Report = Callable[[DataFrame], DataFrame]
@@ -50,6 +53,9 @@ class Router:
     routing table and not stored. Where rows are graded, the messages that could not
     be decoded are quarantined from the same decoded batch. Errors are not caught: the
     query stops, and the batch is handed out again on restart.
+
+    With an id index, messages that were stored before are left out first, however long
+    ago that was; all others are stored, however late they come.
     """
 
     def __init__(
@@ -57,34 +63,51 @@ class Router:
         store: Sink,
         report: Sink | None = None,
         reports: dict[str, dict[str, Report]] | None = None,
+        index: IdIndex | None = None,
     ) -> None:
         self._store = store
+        self._index = index
         self._report = report or store
         self._reports = batch_reports() if reports is None else reports
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         # Used by one write per table and one per report: decode it once.
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            routing = routing_counts(batch)
-            feeds, any_flawed = present(routing)
-            counts = routing.select("topic", "target_table", "row_count")
-            writes = [(self._report, counts, ROUTING_TABLE)]
-            if any_flawed:
-                writes.append((self._report, quarantined(batch), QUARANTINE_TABLE))
-            for feed in feeds:
-                rows = feed_rows(batch, feed)
-                writes.append((self._store, rows, feed.table))
-                writes += [
-                    (self._report, report(rows), name)
-                    for name, report in self._reports.get(feed.name, {}).items()
-                ]
-            run_all(
-                batch.sparkSession,
-                [partial(sink, rows, table, batch_id) for sink, rows, table in writes],
-            )
-        finally:
-            batch.unpersist()
+        with kept(batch) as decoded:
+            if self._index is None:
+                self._write(decoded, batch_id)
+                return
+            with kept(self._index.unseen(decoded, batch_id)) as new:
+                self._write(new, batch_id)
+                self._index.record(new, batch_id)
+
+    def _write(self, batch: DataFrame, batch_id: int) -> None:
+        routing = routing_counts(batch)
+        feeds, any_flawed = present(routing)
+        counts = routing.select("topic", "target_table", "row_count")
+        writes = [(self._report, counts, ROUTING_TABLE)]
+        if any_flawed:
+            writes.append((self._report, quarantined(batch), QUARANTINE_TABLE))
+        for feed in feeds:
+            rows = feed_rows(batch, feed)
+            writes.append((self._store, rows, feed.table))
+            writes += [
+                (self._report, report(rows), name)
+                for name, report in self._reports.get(feed.name, {}).items()
+            ]
+        run_all(
+            batch.sparkSession,
+            [partial(sink, rows, table, batch_id) for sink, rows, table in writes],
+        )
+
+
+@contextmanager
+def kept(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows that are computed once within the block."""
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
 
 
 def routing_counts(batch: DataFrame) -> DataFrame:
@@ -121,7 +144,7 @@ def feed_rows(batch: DataFrame, feed: Feed) -> DataFrame:
 def routing_totals(spark: SparkSession, root: str) -> DataFrame:
     """Rows per topic over all batches routed so far into Parquet tables."""
     return (
-        spark.read.parquet(f"{root}/{ROUTING_TABLE}")
+        report_reader(spark, root)(ROUTING_TABLE)
         .groupBy("topic", "target_table")
         .agg(F.sum("row_count").alias("row_count"))
     )

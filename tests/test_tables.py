@@ -1,5 +1,8 @@
 """Stored tables: replayed batches, catalog tables, database options, failed loads."""
 
+import shutil
+from datetime import UTC, datetime
+from functools import partial
 from unittest.mock import MagicMock
 
 import pytest
@@ -11,6 +14,8 @@ from pacefold.session import new_scratch, shared_dir
 from pacefold.sinks import compaction
 from pacefold.sinks import tables as sinks
 from pacefold.sinks.compaction import compact
+from pacefold.sinks.parallel import run_all
+from pacefold.sinks.versions import Version, expire, latest, publish
 from pacefold.sources import tables as sources
 
 ROWS = [("t:0:1", "a", "x", "m", "2024-01-01 00:00:00"), ("t:0:2", "b", "y", "m", None)]
@@ -115,37 +120,119 @@ def many_batches(spark, root):
     sinks.create_parquet_tables(spark, root)
 
 
+def ids_of(spark, root, **at):
+    return sorted(row.id for row in sources.parquet_reader(spark, root, **at)(ALERTS).collect())
+
+
 def test_compaction_keeps_every_row_and_replays_safely(spark, tmp_path):
     root = str(tmp_path)
     many_batches(spark, root)
     table = sources.parquet_reader(spark, root)
-    before = sorted(row.id for row in table(ALERTS).collect())
-    files = len(list(tmp_path.rglob("*.parquet")))
-    assert compact(spark, root, ALERTS) == 6
-    assert sorted(row.id for row in table(ALERTS).collect()) == before
-    assert len(list(tmp_path.rglob("*.parquet"))) < files
-    batches = {(r.writer, r.batch_id) for r in table(ALERTS).collect()}
-    assert batches == {(w, b) for w in "vw" for b in (2, 3)}
+    before = ids_of(spark, root)
+    assert compact(spark, root, ALERTS.table) == 6
+    assert ids_of(spark, root) == before
+    assert expire(spark, f"{root}/{ALERTS.table}", 0) == 6
+    assert ids_of(spark, root) == before
+    assert {(r.writer, r.batch_id) for r in table(ALERTS).collect()} == {(w, b) for w in "vw" for b in range(4)}
+    left = {str(p.relative_to(tmp_path / ALERTS.table).parent.parent) for p in (tmp_path / ALERTS.table).rglob("*.parquet")}
+    assert left - {"writer=none/batch_id=-1"} == {"writer=v/batch_id=3", "writer=w/batch_id=3"} | {
+        f"_merged/{p.name}" for p in (tmp_path / ALERTS.table / "_merged").iterdir() if p.is_dir()
+    }
     # the newest batch is handed out again, and replaces itself alone
     sinks.parquet_sink(root, "w")(alerts(spark, [("w:3:9", "a", "x", "m", None)]), ALERTS.table, 3)
     expected = [i for i in before if not i.startswith("w:3:")] + ["w:3:9"]
-    assert sorted(row.id for row in table(ALERTS).collect()) == sorted(expected)
-    assert compact(spark, root, ALERTS) == 0
+    assert ids_of(spark, root) == sorted(expected)
+    assert compact(spark, root, ALERTS.table) == 0
+
+
+def test_days_of_merged_batches_are_pruned(spark, tmp_path):
+    many_batches(spark, str(tmp_path))
+    compact(spark, str(tmp_path), ALERTS.table)
+    rows = sources.parquet_reader(spark, str(tmp_path))(ALERTS).where("event_date = '2024-01-01'")
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(event_date") == 2
+    assert {row.timestamp for row in rows.collect()} == {"2024-01-01 00:00:00"}
+
 
+def test_merged_folders_are_merged_again_when_there_are_many(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(compaction, "FOLDERS", 2)
+    root, sink = str(tmp_path), sinks.parquet_sink(str(tmp_path), "w")
+    for batch in range(9):
+        sink(alerts(spark, [(f"w:{batch}", "a", "x", "m", "2024-01-01 00:00:00")]), ALERTS.table, batch)
+        if batch % 2 == 0:
+            compact(spark, root, ALERTS.table)
+    assert len(latest(spark, f"{root}/{ALERTS.table}").merged) <= 2
+    assert ids_of(spark, root) == [f"w:{batch}" for batch in range(9)]
 
-def test_interrupted_compaction_is_finished_or_undone(spark, tmp_path):
+
+def test_an_interrupted_merge_is_never_seen(spark, tmp_path, monkeypatch):
+    root, table = str(tmp_path), f"{tmp_path}/{ALERTS.table}"
+    many_batches(spark, root)
+    before = ids_of(spark, root)
+    with monkeypatch.context() as broken:
+        broken.setattr(Version, "with_merged", MagicMock(side_effect=OSError("lost")))
+        with pytest.raises(OSError, match="lost"):
+            compact(spark, root, ALERTS.table)
+    assert ids_of(spark, root) == before
+    assert compact(spark, root, ALERTS.table) == 6
+    assert expire(spark, table, 0) == 7  # six batches, and what the lost run had written
+    assert ids_of(spark, root) == before
+
+
+def test_open_reports_and_old_versions_see_their_rows(spark, tmp_path):
     root = str(tmp_path)
     many_batches(spark, root)
-    before = sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect())
-    folder = tmp_path / ALERTS.table
-    # complete, but not yet in place; and begun, without its mark of success
-    compaction._merge(spark, root, ALERTS, "v", 2, f"{folder}/writer=v/.merge-2")
-    compaction._merge(spark, root, ALERTS, "w", 2, f"{folder}/writer=w/.merge-2")
-    (folder / "writer=w/.merge-2/_SUCCESS").unlink()
-    assert sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect()) == before
-    assert compact(spark, root, ALERTS) == 3
-    assert sorted(row.id for row in sources.parquet_reader(spark, root)(ALERTS).collect()) == before
-    assert not list(folder.rglob(".merge-*"))
+    before, first = ids_of(spark, root), latest(spark, f"{root}/{ALERTS.table}")
+    opened = sources.parquet_reader(spark, root)(ALERTS)
+    compact(spark, root, ALERTS.table)
+    sinks.parquet_sink(root, "w")(alerts(spark, [("late", "a", "x", "m", None)]), ALERTS.table, 4)
+    expire(spark, f"{root}/{ALERTS.table}", 3600)
+    assert sorted(row.id for row in opened.collect()) == before
+    assert ids_of(spark, root, version=first.number) == before
+    assert ids_of(spark, root, as_of=datetime.fromtimestamp(first.published / 1000, UTC)) == before
+    assert ids_of(spark, root) == sorted([*before, "late"])
+    with pytest.raises(ValueError, match="no version as old"):
+        ids_of(spark, root, as_of=datetime(2020, 1, 1, tzinfo=UTC))
+
+
+def test_an_unpublished_batch_is_not_seen(spark, tmp_path):
+    root = str(tmp_path)
+    many_batches(spark, root)
+    before = ids_of(spark, root)
+    rows = sinks.with_day(alerts(spark), ALERTS.table)
+    rows.write.partitionBy("event_date").parquet(f"{root}/{ALERTS.table}/writer=w/batch_id=9")
+    assert ids_of(spark, root) == before
+    expire(spark, f"{root}/{ALERTS.table}", 0)
+    assert (tmp_path / ALERTS.table / "writer=w/batch_id=9").exists()
+
+
+def test_tables_without_versions_get_them(spark, tmp_path):
+    root, folder = str(tmp_path), tmp_path / ALERTS.table
+    many_batches(spark, root)
+    before = ids_of(spark, root)
+    shutil.rmtree(folder / "_versions")
+    assert ids_of(spark, root) == before
+    assert compact(spark, root, ALERTS.table) == 6
+    assert ids_of(spark, root) == before
+
+
+def test_two_who_publish_at_once_both_get_in(spark, tmp_path):
+    table = f"{tmp_path}/t"
+    steps = [partial(publish, spark, table, partial(Version.with_batch, batch=("w", n))) for n in range(12)]
+    run_all(spark, steps)
+    found = latest(spark, table)
+    assert found.number == 12 and sorted(found.batches) == [("w", n) for n in range(12)]
+
+
+def test_reports_are_compacted_too(spark, tmp_path):
+    root = str(tmp_path)
+    for batch in range(3):
+        sinks.parquet_sink(root, "7")(spark.createDataFrame([("t", batch)], "topic string, row_count long"), "topic_routing", batch)
+    assert compaction.table_names(spark, root) == ["topic_routing"]
+    assert compact(spark, root, "topic_routing") == 2
+    expire(spark, f"{root}/topic_routing", 0)
+    rows = sources.report_reader(spark, root)("topic_routing").collect()
+    assert sorted(map(tuple, rows)) == [("t", n, "7", n) for n in range(3)]
 
 
 def test_database_column_widths():
