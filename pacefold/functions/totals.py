@@ -1,4 +1,4 @@
-"""Counts, sums and maxima that reports are made of.
+"""Counts, sums and extremes that reports are made of.
 
 The same step condenses raw rows and condenses totals of finer groups further, so one
 report serves both: a table that is read for one report, and the batch job, which
@@ -12,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Row count of a group; frames that have it hold totals.
-ROWS = "rows"
+#: Row count of a group; frames that have it hold totals. No message has such a field.
+ROWS = "__rows"
 
 
 def is_condensed(frame: DataFrame) -> bool:
@@ -25,8 +25,9 @@ def totals(
     keys: Sequence[str | Column],
     sums: Sequence[str] = (),
     peaks: Sequence[str] = (),
+    lows: Sequence[str] = (),
 ) -> DataFrame:
-    """Per group: rows, sum and count of some columns, and maxima of some."""
+    """Per group: rows, sum and count of some columns, maxima and minima of some."""
     condensed = is_condensed(frame)
     rows = F.coalesce(F.sum(ROWS), F.lit(0)) if condensed else F.count("*")
     measures = [rows.alias(ROWS)]
@@ -37,6 +38,7 @@ def totals(
         )
         measures += [whole.alias(f"{name}_sum"), n.alias(f"{name}_n")]
     measures += [F.max(f"max_{p}" if condensed else p).alias(f"max_{p}") for p in peaks]
+    measures += [F.min(f"min_{p}" if condensed else p).alias(f"min_{p}") for p in lows]
     return frame.groupBy(*keys).agg(*measures)
 
 

@@ -17,6 +17,7 @@ from pacefold.session import build_session
 from pacefold.sinks.compaction import compact, table_names
 from pacefold.sinks.ids import IDS_TABLE, compact_ids
 from pacefold.sinks.versions import expire
+from pacefold.streaming.live import MERGES
 
 
 def parse(arguments: Sequence[str] | None = None) -> Namespace:
@@ -35,7 +36,7 @@ def run(spark: SparkSession, options: Namespace) -> int:
         if name == IDS_TABLE:
             merged += compact_ids(spark, options.tables)
         else:
-            merged += compact(spark, options.tables, name)
+            merged += compact(spark, options.tables, name, MERGES.get(name))
         expire(spark, f"{options.tables}/{name}", options.retention_hours * 3600)
     return merged
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from argparse import ArgumentParser, ArgumentTypeError
+from datetime import timedelta
 
 
 def pair(text: str) -> tuple[str, str]:
@@ -12,6 +13,10 @@ def pair(text: str) -> tuple[str, str]:
     return key, value
 
 
+def hours(text: str) -> timedelta:
+    return timedelta(hours=float(text))
+
+
 def add_options(parser: ArgumentParser, name: str, what: str) -> None:
     """A repeatable ``key=value`` option, collected into a list of pairs."""
     parser.add_argument(

@@ -13,7 +13,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from pacefold.feeds import FEEDS
-from pacefold.jobs.options import add_options
+from pacefold.jobs.options import add_options, hours
 from pacefold.session import build_session
 from pacefold.sinks.ids import IdIndex
 from pacefold.sinks.tables import (
@@ -29,6 +29,7 @@ from pacefold.sources.topics import (
     file_source,
     kafka_source,
 )
+from pacefold.streaming.live import LiveTotals
 from pacefold.streaming.router import Router, batch_reports
 from pacefold.streaming.run import AVAILABLE_NOW, start_batches
 
@@ -62,6 +63,9 @@ def parse(arguments: Sequence[str] | None = None) -> Namespace:
         action="store_true",
         help="drop copies of whatever is stored, also after a new checkpoint's first start",
     )
+    parser.add_argument(
+        "--live", metavar="DELAY", type=hours, help="keep totals over all batches; days close after so many hours"
+    )
     bound = parser.add_mutually_exclusive_group()
     bound.add_argument(
         "--max-offsets", type=int, help="messages per batch and topic (10,000,000)"
@@ -106,14 +110,15 @@ def start(spark: SparkSession, options: Namespace) -> StreamingQuery:
 def _router(spark: SparkSession, options: Namespace) -> Router:
     files, reports = parquet_sink(options.tables, options.label), batch_reports(options.latest)
     index = IdIndex(options.tables, options.label) if options.known_ids else None
+    live = LiveTotals(options.tables, options.label, options.live) if options.live else None
     if options.jdbc:
         database = dict(options.jdbc)
         create_jdbc_tables(spark, database)
-        return Router(jdbc_sink(database, options.label), files, reports, index)
+        return Router(jdbc_sink(database, options.label), files, reports, index, live)
     create_parquet_tables(spark, options.tables)
     if index:
         index.catch_up(spark)
-    return Router(files, files, reports, index)
+    return Router(files, files, reports, index, live)
 
 
 def main() -> None:

@@ -208,6 +208,27 @@ closed AS (
 )
 """
 
+# The first run's readings say which days were closed when the second run came.
+_LATE = f"""
+marked AS (
+  SELECT r.*, substr("timestamp", 1, 10) AS "date",
+         r.heart_rate > {STREAMED_RATE} AND date_trunc('day', r.t) + INTERVAL 1 DAY <= first.watermark AS late
+  FROM readings AS r,
+       (SELECT max(t) - INTERVAL 1 HOUR AS watermark FROM readings
+        WHERE heart_rate <= {STREAMED_RATE}) AS first, closing
+  WHERE date_trunc('day', r.t) + INTERVAL 1 DAY <= closing.watermark
+),
+told AS (
+  SELECT user_id, CAST(sum(steps) AS bigint) AS total_steps,
+         round(sum(calories), 9) AS total_calories,
+         CAST(round(avg(heart_rate)) AS integer) AS avg_heart_rate, "date"
+  FROM marked WHERE NOT late GROUP BY user_id, "date"
+),
+tardy AS (
+  SELECT user_id, "date", count(*) AS late_readings FROM marked WHERE late GROUP BY ALL
+)
+"""
+
 # A second roll-up with the day cut from the event time instead of the text.
 _WINDOWED_DAILY = """
 streamed AS (SELECT * FROM readings),
@@ -325,6 +346,15 @@ def oracle() -> dict[str, str]:
         "stream_daily_summary": _sql(
             f"SELECT {_ROLLUP_FIELDS} FROM closed", _CLOSED_DAILY
         ),
+        "late_corrected_daily": _sql(f"SELECT {_ROLLUP_FIELDS} FROM closed", _CLOSED_DAILY),
+        "late_told_daily": _sql("SELECT * FROM told", _LATE),
+        "late_corrections": _sql(
+            "SELECT told.*, -1 AS sign, late_readings FROM told JOIN tardy USING (user_id, \"date\") "
+            f"UNION ALL SELECT {_ROLLUP_FIELDS}, 1, late_readings "
+            "FROM closed JOIN tardy USING (user_id, \"date\")",
+            _CLOSED_DAILY,
+            _LATE,
+        ),
         "alert_view": _sql(f"SELECT {_ALERT_FIELDS} FROM alerts"),
         **dict.fromkeys(
             ("recent_alerts", "stream_recent_alerts"),
@@ -438,6 +468,15 @@ def oracle() -> dict[str, str]:
             'SELECT user_id AS "key", count(*) AS "count" FROM alerts '
             "WHERE user_id IS NOT NULL GROUP BY user_id"
         ),
+        "running_user_stats": _sql(_USER_STATS),
+        "running_daily_trends": _sql(_DAILY_TRENDS),
+        "running_health_snapshot": _sql(_HEALTH),
+        "running_user_performance": _sql(_USER_PERFORMANCE),
+        "running_user_alerts": _sql(_USER_ALERTS),
+        "running_alert_users": _sql(
+            "SELECT alert_type, count(*) AS alerts, count(DISTINCT user_id) AS users, "
+            "true AS sketch_is_near FROM alerts GROUP BY alert_type"
+        ),
         "hourly_user_stats": _sql(_HOURLY_FIELDS, _HOURLY),
         "stream_hourly_user_stats": _sql(
             _HOURLY_FIELDS + ", closing WHERE h + INTERVAL 1 HOUR <= watermark", _HOURLY

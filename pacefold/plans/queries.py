@@ -9,7 +9,7 @@ the stream over all of them, and return what it stored.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,7 @@ from pyspark.sql.types import DoubleType, StructField, TimestampType
 from pacefold.feeds import ALERTS, FEEDS, READINGS, SUMMARIES, Feed
 from pacefold.functions.messages import LOW_ACTIVITY
 from pacefold.functions.times import timestamp_text, with_event_time
+from pacefold.jobs.live import reports as live_reports
 from pacefold.operators import (
     alerting,
     alerts,
@@ -48,6 +49,7 @@ from pacefold.sources.topics import (
     read_topic,
     union_feeds,
 )
+from pacefold.streaming.live import MERGES, LiveTotals
 from pacefold.streaming.router import Router, routing_totals
 from pacefold.streaming.run import (
     AVAILABLE_NOW,
@@ -152,11 +154,16 @@ def _route(
     root: str,
     checkpoint: str = "checkpoint",
     index: IdIndex | None = None,
+    live: bool = False,
 ) -> None:
     """Store everything a source has now, with the sink's own settings."""
     start_batches(
         combined_stream(spark, source, graded=True),
-        Router(parquet_sink(f"{root}/tables"), index=index),
+        Router(
+            parquet_sink(f"{root}/tables"),
+            index=index,
+            live=LiveTotals(f"{root}/tables") if live else None,
+        ),
         f"{root}/{checkpoint}",
         AVAILABLE_NOW,
     ).awaitTermination()
@@ -337,6 +344,33 @@ def _dedup_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decode_messages(once, READINGS).drop("topic")
 
 
+def _live(spark: SparkSession, sf_dir: str, label: str) -> dict[str, DataFrame]:
+    """Reports from the totals of two runs, compacted in between.
+
+    The second run brings the readings with a high rate, most of them of closed days.
+    """
+    root = new_scratch(spark, label)
+    rows, high = fixtures.readings(spark, sf_dir), F.col("heart_rate") > STREAMED_RATE
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (SUMMARIES, ALERTS))
+    for part in (~high, high):
+        publish_to_files(rows.where(part), READINGS, f"{root}/messages")
+        _route(spark, file_source(f"{root}/messages"), root, live=True)
+        for name in MERGES:
+            compact(spark, f"{root}/tables", name, MERGES[name])
+    return live_reports(spark, f"{root}/tables", timedelta(hours=1))
+
+
+def _live_report(name: str) -> Query:
+    return lambda spark, sf_dir: _live(spark, sf_dir, name.replace("_", "-"))[name]
+
+
+def _running_alert_users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Different users per alert type, and whether their sketch is off by 5 % at most."""
+    rows = _live(spark, sf_dir, "running-alert-users")["alert_users"]
+    off = F.abs(F.col("estimated_users") - F.col("users"))
+    return rows.select("alert_type", "alerts", "users", (off <= F.col("users") * 0.05).alias("sketch_is_near"))
+
+
 def _timed_readings(spark: SparkSession, root: str) -> DataFrame:
     stream = read_topic(spark, READINGS, file_source(f"{root}/messages"))
     return with_event_time(stream, WATERMARK_DELAY)
@@ -472,6 +506,16 @@ _QUERIES: dict[str, Query] = {
     "dedup_flawed": _dedup_flawed,
     "quarantine": _quarantine,
     "dedup_readings": _dedup_readings,
+    # statistics over all batches, from what each added
+    "running_user_stats": _live_report("user_stats"),
+    "running_daily_trends": _live_report("daily_trends"),
+    "running_health_snapshot": _live_report("health_snapshot"),
+    "running_user_performance": _live_report("user_performance"),
+    "running_user_alerts": _live_report("user_alert_distribution"),
+    "running_alert_users": _running_alert_users,
+    "late_told_daily": _live_report("days"),
+    "late_corrections": _live_report("day_corrections"),
+    "late_corrected_daily": _live_report("corrected_days"),
     "dedup_late_files": _dedup_late_files,
     "dedup_new_checkpoint": _dedup_new_checkpoint,
     "dedup_batch": _dedup_batch,

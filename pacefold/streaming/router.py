@@ -20,6 +20,7 @@ from pacefold.sinks.parallel import run_all
 from pacefold.sinks.tables import Sink
 from pacefold.sources.tables import report_reader
 from pacefold.sources.topics import quarantined
+from pacefold.streaming.live import LiveTotals
 
 Report = Callable[[DataFrame], DataFrame]
 
@@ -55,7 +56,8 @@ class Router:
     query stops, and the batch is handed out again on restart.
 
     With an id index, messages that were stored before are left out first, however long
-    ago that was; all others are stored, however late they come.
+    ago that was; all others are stored, however late they come. With live totals, each
+    batch also stores what it adds to statistics over all batches.
     """
 
     def __init__(
@@ -64,8 +66,10 @@ class Router:
         report: Sink | None = None,
         reports: dict[str, dict[str, Report]] | None = None,
         index: IdIndex | None = None,
+        live: LiveTotals | None = None,
     ) -> None:
         self._store = store
+        self._live = live
         self._index = index
         self._report = report or store
         self._reports = batch_reports() if reports is None else reports
@@ -94,6 +98,9 @@ class Router:
                 (self._report, report(rows), name)
                 for name, report in self._reports.get(feed.name, {}).items()
             ]
+            if self._live:
+                added = self._live(feed.name, rows, batch_id)
+                writes += [(self._report, frame, name) for name, frame in added.items()]
         run_all(
             batch.sparkSession,
             [partial(sink, rows, table, batch_id) for sink, rows, table in writes],
