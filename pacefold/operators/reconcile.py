@@ -48,7 +48,7 @@ def compare(
     )
     same_values = _all(
         [
-            _same(
+            same_value(
                 F.col(f"batch_{value}"),
                 F.col(f"stream_{value}"),
                 isinstance(batch.schema[value].dataType, DoubleType),
@@ -108,7 +108,8 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda left, right: left & right, conditions)
 
 
-def _same(left: Column, right: Column, is_double: bool, tolerance: float) -> Column:
+def same_value(left: Column, right: Column, is_double: bool, tolerance: float) -> Column:
+    """Whether two values agree: doubles within a relative tolerance, null with null."""
     same = left.eqNullSafe(right)
     if not is_double:
         return same

@@ -10,7 +10,7 @@ from pacefold.functions.messages import (
     LOW_ACTIVITY,
 )
 from pacefold.plans.fixtures import CALORIE_DECIMALS, TOPIC_PARTITIONS
-from pacefold.plans.queries import AS_OF, STEP_GOAL, STREAMED_RATE
+from pacefold.plans.queries import AS_OF, STEP_GOAL, STREAMED_RATE, TOLD_TOLERANCE
 
 _R, _S, _A = READINGS.topic, SUMMARIES.topic, ALERTS.topic
 _HIGH, _LOW, _GOAL = (
@@ -509,11 +509,34 @@ def oracle() -> dict[str, str]:
             "strftime(t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" FROM goals",
             _GOALS,
         ),
+        "stream_goal_achieved": _sql(
+            "SELECT user_id, strftime(d, '%Y-%m-%d') AS \"date\", "
+            "strftime(t, '%Y-%m-%d %H:%M:%S') AS \"timestamp\" "
+            "FROM goals, closing WHERE t + INTERVAL 1 SECOND <= watermark",
+            _GOALS,
+        ),
         "alert_goal_messages": _sql(_GOAL_ALERTS, _GOALS),
         "reconcile_daily": _sql(_DIFFERENCES, _CLOSED_DAILY, _WINDOWED_DAILY),
         "reconcile_differing": _sql(
             _DIFFERENCES, _CLOSED_DAILY, _WINDOWED_DAILY
         ).replace(_ALL_STREAMED, f"{_ALL_STREAMED} WHERE heart_rate <= {STREAMED_RATE}"),
+        "stream_reconcile": _sql(
+            'SELECT user_id, "date", r.total_steps AS readings_total_steps, '
+            "CAST(d.total_steps AS integer) AS summaries_total_steps, "
+            "round(r.total_calories, 9) AS readings_total_calories, "
+            "round(d.total_calories, 9) AS summaries_total_calories, "
+            "r.avg_heart_rate AS readings_avg_heart_rate, d.avg_heart_rate AS summaries_avg_heart_rate "
+            'FROM daily AS d FULL JOIN reached AS r USING (user_id, "date"), both_closed '
+            'WHERE CAST("date" AS timestamp) + INTERVAL 1 DAY <= watermark AND (r.total_steps = d.total_steps '
+            "AND r.avg_heart_rate = d.avg_heart_rate AND abs(r.total_calories - d.total_calories) "
+            f"<= greatest(1, abs(r.total_calories), abs(d.total_calories)) * {TOLD_TOLERANCE}) IS NOT TRUE",
+            "reached AS (SELECT user_id, substr(\"timestamp\", 1, 10) AS \"date\", "
+            "CAST(sum(steps) AS bigint) AS total_steps, sum(calories) AS total_calories, "
+            "CAST(round(avg(heart_rate)) AS integer) AS avg_heart_rate, max(t) AS newest "
+            f"FROM readings WHERE heart_rate <= {STREAMED_RATE} GROUP BY ALL)",
+            "both_closed AS (SELECT least(max(reached.newest), max(CAST(daily.\"date\" AS timestamp))) "
+            "- INTERVAL 1 HOUR AS watermark FROM reached FULL JOIN daily USING (user_id, \"date\"))",
+        ),
         "reconcile_report": _sql(
             'SELECT "date", count(*) FILTER (WHERE in_batch) AS batch_rows, '
             "count(*) FILTER (WHERE in_stream) AS stream_rows, "

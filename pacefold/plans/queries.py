@@ -49,7 +49,9 @@ from pacefold.sources.topics import (
     read_topic,
     union_feeds,
 )
+from pacefold.streaming.goals import stream_goals
 from pacefold.streaming.live import MERGES, LiveTotals
+from pacefold.streaming.reconcile import stream_reconcile, with_summary_time
 from pacefold.streaming.router import Router, routing_totals
 from pacefold.streaming.run import (
     AVAILABLE_NOW,
@@ -65,6 +67,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 #: rows end exactly half way between two results, and noise decides the rounding.
 DIGITS = 9
 STEP_GOAL = 500
+#: Summaries are told with two decimals.
+TOLD_TOLERANCE = 1e-6
 WATERMARK_DELAY = "1 hour"
 #: When silent users are looked for, after the last reading of the fixtures.
 AS_OF = datetime(2024, 2, 15, tzinfo=UTC)
@@ -394,6 +398,10 @@ def _low_activity_alerts(readings_stream: DataFrame) -> DataFrame:
     )
 
 
+def _stream_goals(readings_stream: DataFrame) -> DataFrame:
+    return stream_goals(readings_stream, STEP_GOAL).withColumnRenamed("time", "timestamp")
+
+
 def _reconciled(spark: SparkSession, sf_dir: str) -> dict:
     """Arguments of the comparison: both roll-ups of the days the stream closed."""
     return _against_batch(spark, sf_dir, _published(spark, sf_dir, "reconcile", (READINGS,)))
@@ -407,6 +415,21 @@ def _differing(spark: SparkSession, sf_dir: str) -> dict:
     return _against_batch(spark, sf_dir, root)
 
 
+def _stream_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Summaries told of all readings against a stream that some did not reach."""
+    root = new_scratch(spark, "stream-reconcile")
+    rows = fixtures.readings(spark, sf_dir).where(F.col("heart_rate") <= STREAMED_RATE)
+    publish_to_files(rows, READINGS, f"{root}/messages")
+    fixtures.publish(spark, sf_dir, f"{root}/messages", (SUMMARIES,))
+    told = read_topic(spark, SUMMARIES, file_source(f"{root}/messages"))
+    return run_to_table(
+        stream_reconcile(
+            _timed_readings(spark, root), with_summary_time(told, WATERMARK_DELAY), TOLD_TOLERANCE
+        ),
+        root,
+    )
+
+
 def _against_batch(spark: SparkSession, sf_dir: str, root: str) -> dict:
     windows = rollups.daily_summary_windows(_timed_readings(spark, root))
     streamed, query = run_and_watermark(windows, root)
@@ -552,6 +575,7 @@ _QUERIES: dict[str, Query] = {
     "stream_hourly_user_stats": _streamed("hourly", rollups.periodic_user_stats),
     "stream_activity_sessions": _streamed("sessions", alerting.stream_sessions),
     "stream_low_activity": _streamed("low-activity", _low_activity_alerts),
+    "stream_goal_achieved": _streamed("goals", _stream_goals),
     "stream_high_heart_rate": _streamed("high-rate", alerting.high_heart_rate_alerts),
     "reconcile_daily": lambda spark, sf_dir: reconcile.reconcile(
         **_reconciled(spark, sf_dir)
@@ -562,6 +586,7 @@ _QUERIES: dict[str, Query] = {
     "reconcile_differing": lambda spark, sf_dir: reconcile.reconcile(
         **_differing(spark, sf_dir)
     ),
+    "stream_reconcile": _stream_reconcile,
     # the batch job's reports, from tables condensed once
     "batch_job_user_stats": _condensed(READINGS, readings.condense, readings.user_stats),
     "batch_job_daily_trends": _condensed(READINGS, readings.condense, readings.daily_trends),
