@@ -27,7 +27,9 @@ EMBEDDING = 16
 CLASSES = 48
 #: Tokens that a gradient reaches back at most, and streams trained side by side.
 WINDOW = 32
-STREAMS = 64
+STREAMS = 512
+#: Windows of a pass at least: shorter texts are trained in fewer streams.
+LEAST_STEPS = 60
 #: Tokens of all documents between two looks at the softmax when scoring.
 SCORE_WINDOW = 32
 #: Positions whose softmax is worked out at once.
@@ -169,12 +171,17 @@ def score(network: Network, words: np.ndarray, offsets: np.ndarray) -> np.ndarra
 
 
 def gradients(
-    network: Network, words: np.ndarray, ends: np.ndarray, state: np.ndarray
+    network: Network,
+    words: np.ndarray,
+    ends: np.ndarray,
+    state: np.ndarray,
+    real: np.ndarray | None = None,
 ) -> tuple[float, dict[str, np.ndarray], np.ndarray]:
     """Mean loss of a window, its gradients, and the state behind it.
 
     ``words`` has a row per step and a column per stream; ``ends`` marks the last token
-    of a document, behind which the state is zero.
+    of a document, behind which the state is zero. Places that are not ``real`` fill up
+    streams behind their last token and count for nothing.
     """
     p, (steps, streams) = network.parameters, words.shape
     inputs = p["embedding"] @ p["input"] + p["bias"]
@@ -186,13 +193,16 @@ def gradients(
         state = moved * ~end[:, None]
     flat, said = np.concatenate(states), words.reshape(-1)
     count = len(said)
+    weight = np.full(count, 1 / count, dtype=np.float32)
+    if real is not None:
+        weight = (real.reshape(-1) / max(1, real.sum())).astype(np.float32)
     g = {n: np.zeros_like(p[n]) for n in NAMES}
     classes = network.class_of[said]
     logs = _log_softmax(flat @ p["classes"] + p["class_bias"])
-    loss = -logs[np.arange(count), classes].sum()
+    loss = -float(logs[np.arange(count), classes] @ weight)
     pull = np.exp(logs)
     pull[np.arange(count), classes] -= 1
-    pull /= count
+    pull *= weight[:, None]
     g["classes"] = flat.T @ pull
     g["class_bias"] = pull.sum(axis=0)
     back = pull @ p["classes"].T
@@ -200,10 +210,10 @@ def gradients(
         own = flat[rows]
         inside = _log_softmax(own @ p["words"][members].T + p["word_bias"][members])
         target = said[rows] - members.start
-        loss -= inside[np.arange(len(rows)), target].sum()
+        loss -= float(inside[np.arange(len(rows)), target] @ weight[rows])
         pull = np.exp(inside)
         pull[np.arange(len(rows)), target] -= 1
-        pull /= count
+        pull *= weight[rows, None]
         g["words"][members] = pull.T @ own
         g["word_bias"][members] = pull.sum(axis=0)
         back[rows] += pull @ p["words"][members]
@@ -229,24 +239,37 @@ def gradients(
     g["bias"] = moved.sum(axis=0)
     g["input"] = p["embedding"][met].T @ moved
     g["embedding"][met] = moved @ p["input"].T
-    return loss / count, g, state
+    return loss, g, state
 
 
-def train(network: Network, words: np.ndarray, offsets: np.ndarray, rate: float) -> Network:
-    """One pass over documents laid end to end, cut into parallel streams (Adam)."""
-    network = restored(network, flatten(network))
+def in_streams(words: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents laid end to end, as parallel streams: words, ends and which are real.
+
+    A row per step, a column per stream. The streams are equally long; what the last one
+    lacks is filled up, so that every token is in one.
+    """
     ends = np.zeros(len(words), dtype=bool)
     ends[offsets[1:] - 1] = True
-    streams = max(1, min(STREAMS, len(words) // WINDOW))
-    length = len(words) // streams
-    words = words[: streams * length].reshape(streams, length).T
-    ends = ends[: streams * length].reshape(streams, length).T
+    streams = max(1, min(STREAMS, len(words) // (WINDOW * LEAST_STEPS)))
+    length = -(-len(words) // streams)
+    fill = streams * length - len(words)
+    return tuple(
+        np.pad(part, (0, fill)).reshape(streams, length).T
+        for part in (words, ends, np.ones(len(words), dtype=bool))
+    )
+
+
+def train(network: Network, words: np.ndarray, offsets: np.ndarray, rate: float) -> Network:
+    """One pass over documents laid end to end, in parallel streams (Adam)."""
+    network = restored(network, flatten(network))
+    words, ends, real = in_streams(words, offsets)
+    length, streams = words.shape
     first = {n: np.zeros_like(v) for n, v in network.parameters.items()}
     second = {n: np.zeros_like(v) for n, v in network.parameters.items()}
     state, step = np.zeros((streams, STATE), dtype=np.float32), 0
     for low in range(0, length, WINDOW):
         some = slice(low, low + WINDOW)
-        _, found, state = gradients(network, words[some], ends[some], state)
+        _, found, state = gradients(network, words[some], ends[some], state, real[some])
         step += 1
         norm = np.sqrt(sum(float((v * v).sum()) for v in found.values()))
         shrink = min(1.0, 1.0 / max(norm, 1e-12))

@@ -8,9 +8,10 @@ one more for tokens never seen. So every token of every text has a probability,
 score is the log10 probability of the whole text: the state is carried through all
 windows from a document's first token to its end.
 
-Counts and weights are learnt from all training documents, at every size. Shards of
-them are trained side by side, each by truncated backpropagation, and their weights
-averaged after each of ``ROUNDS`` rounds, each a pass over all of them.
+Counts and weights are learnt from all training documents, at every size. They are dealt
+into shards, and the shards into ``ROUNDS`` rounds. The shards of a round are trained side
+by side, each by truncated backpropagation from the weights of the round before, and their
+weights averaged. So every token of every training document teaches once.
 
 Defined cases: null and empty texts are an end alone; with nothing to learn from, all
 scores are 0 like the base; rows that repeat a ``doc_id`` count and are scored each;
@@ -34,10 +35,10 @@ from pacefold.llm.folders import crc_of_id, partitions, stored
 from pacefold.llm.text import Piece, mix, pieces, signed, word_hashes
 
 VOCABULARY = 2046
-#: Tokens of a shard, about, and rounds of averaging.
-SHARD_TOKENS = 250_000
-ROUNDS = 3
-RATES = (0.012, 0.008, 0.004)
+#: Tokens of a shard, about, and rounds of averaging, with their rates of learning.
+SHARD_TOKENS = 1_000_000
+ROUNDS = 6
+RATES = tuple(0.02 * 0.25 ** (r / (ROUNDS - 1)) for r in range(ROUNDS))
 #: Tasks that average the shards' weights; what they give meets on the driver.
 AVERAGERS = 8
 #: Tokens scored side by side, about.
@@ -130,26 +131,34 @@ def learn_vocabulary(training: DataFrame) -> Vocabulary:
 
 
 def learn_network(training: DataFrame, vocabulary: Vocabulary) -> gru.Network:
-    """Train shards of all documents side by side and average, in rounds."""
+    """Train the shards of each round side by side and average their weights."""
     network = gru.new_network(vocabulary.frequency)
     if not vocabulary.total:
         return network
     spark = training.sparkSession
     texts = stored(shards(training, vocabulary), "language-model-shards")
-    for rate in RATES[:ROUNDS]:
+    for number, rate in enumerate(RATES):
         shared = spark.sparkContext.broadcast(network)
-        trained = texts.mapInArrow(_train_shards(shared, rate), _WEIGHTS)
-        means = trained.repartition(AVERAGERS, "part").mapInArrow(_add_up, _WEIGHTS).toArrow()
-        values = [np.frombuffer(v, dtype=np.float64) for v in means["values"].to_pylist()]
-        network = gru.restored(network, sum(values) / sum(means["n"].to_pylist()))
+        own = texts.where(F.col("round") == number).select("words", "sizes")
+        trained = own.mapInArrow(_train_shards(shared, rate), _WEIGHTS)
+        # Added up in a fixed order, so that a rerun gives the same doubles.
+        means = (
+            trained.repartition(AVERAGERS, "part")
+            .sortWithinPartitions("task")
+            .mapInArrow(_add_up, _WEIGHTS)
+            .toArrow()
+        )
+        if means.num_rows:  # a small table may have no shard in some round
+            values = [np.frombuffer(v, dtype=np.float64) for v in means["values"].to_pylist()]
+            network = gru.restored(network, sum(values) / sum(means["n"].to_pylist()))
     return network
 
 
 def shards(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """All documents as numbers of the network, a shard a row: ``words`` and ``sizes``."""
+    """All documents as numbers of the network: ``round, words, sizes``, a shard a row."""
     spark = training.sparkSession
     known = spark.sparkContext.broadcast(vocabulary)
-    count = max(1, round(vocabulary.total / SHARD_TOKENS))
+    count = max(ROUNDS, round(vocabulary.total / SHARD_TOKENS))
     # Dealt by id and text, not by the order of arrival: a task that is run again sees
     # the same, and rows without an id are spread too.
     numbered = training.select(F.xxhash64("doc_id", "text").alias("deal"), "text").mapInArrow(
@@ -159,7 +168,7 @@ def shards(training: DataFrame, vocabulary: Vocabulary) -> DataFrame:
         numbered.withColumn("shard", F.pmod("deal", F.lit(count)))
         .repartition(partitions(spark), "shard")
         .sortWithinPartitions("shard", "deal")
-        .mapInArrow(_gather, "words binary, sizes binary")
+        .mapInArrow(_gather, "round int, words binary, sizes binary")
     )
 
 
@@ -183,7 +192,8 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def row() -> pa.RecordBatch:
         blobs = [postings.pack(np.concatenate(held)), postings.pack(np.array([len(h) for h in held]))]
         return pa.RecordBatch.from_arrays(
-            [pa.array([b], pa.binary()) for b in blobs], ["words", "sizes"]
+            [pa.array([last % ROUNDS], pa.int32()), *(pa.array([b], pa.binary()) for b in blobs)],
+            ["round", "words", "sizes"],
         )
 
     held, size, last = [], 0, None
@@ -198,7 +208,7 @@ def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-_WEIGHTS = "part long, values binary, n long"
+_WEIGHTS = "part long, task long, values binary, n long"
 
 
 def _train_shards(shared, rate: float) -> Callable:
@@ -213,16 +223,19 @@ def _train_shards(shared, rate: float) -> Callable:
                 values = gru.flatten(gru.train(shared.value, numbers, offsets, rate))
                 total, n = total + values.astype(np.float64), n + 1
         if n:
-            yield _weights(TaskContext.get().partitionId() % AVERAGERS, total, n)
+            yield _weights(TaskContext.get().partitionId(), total, n)
 
     return train
 
 
-def _weights(part: int, values: np.ndarray, n: int) -> pa.RecordBatch:
+def _weights(task: int, values: np.ndarray, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([part]), pa.array([values.tobytes()], pa.binary()), pa.array([n])],
-        ["part", "values", "n"],
-    )
+        [
+            pa.array([task % AVERAGERS]), pa.array([task]),
+            pa.array([values.tobytes()], pa.binary()), pa.array([n]),
+        ],
+        ["part", "task", "values", "n"],
+    )
 
 
 def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,6 +7,7 @@ from collections import Counter
 from dataclasses import replace
 
 import numpy as np
+import pytest
 import pyarrow.parquet as pq
 from llm_reading import crc, lower_ascii, rows_of, words_of
 
@@ -149,6 +150,52 @@ def test_shards_hold_every_token_once(docs, monkeypatch):
     training = docs([(None, f"a b c{i}") for i in range(100)]).select("doc_id", "text")
     known = language_model.learn_vocabulary(training)
     rows = rows_of(language_model.shards(training, known))
-    words = np.concatenate([postings.unpack(w) for w, _ in rows])
+    words = np.concatenate([postings.unpack(w) for _, w, _ in rows])
     assert (np.bincount(words, minlength=len(known.frequency)) == known.frequency).all()
-    assert sum(postings.unpack(s).astype(int).sum() for _, s in rows) == known.total
+    assert sum(postings.unpack(s).astype(int).sum() for _, _, s in rows) == known.total
+    assert {r for r, _, _ in rows} == set(range(language_model.ROUNDS))
+
+
+def some_text(size, seed=1):
+    pick = np.random.default_rng(seed)
+    words = pick.integers(0, 40, size)
+    offsets = np.unique(np.concatenate([[0], pick.integers(1, size, size // 30), [size]]))
+    return words, offsets
+
+
+@pytest.mark.parametrize("size", [1, 31, 1919, 1921, 3901, 6007])
+def test_streams_hold_every_token_once(size):
+    words, offsets = some_text(size)
+    laid, ends, real = gru.in_streams(words, offsets)
+    assert (laid.T[real.T] == words).all()
+    assert (np.flatnonzero(ends.T[real.T]) == offsets[1:] - 1).all() and not ends[~real].any()
+
+
+@pytest.mark.parametrize("back", [1, 2, 40])
+def test_the_last_tokens_of_a_shard_teach(back):
+    words, offsets = some_text(6007)
+    net = gru.new_network(np.arange(41, 0, -1))
+    other = words.copy()
+    other[-back] = 40
+    first, second = (gru.flatten(gru.train(net, w, offsets, 0.01)) for w in (words, other))
+    assert np.abs(first - second).max() > 1e-6
+
+
+def test_filled_places_count_for_nothing():
+    words, _ = some_text(20)
+    net = gru.new_network(np.arange(41, 0, -1))
+    plain = words[:, None], np.zeros((20, 1), dtype=bool)
+    state = np.zeros((1, gru.STATE), dtype=np.float32)
+    loss, found, _ = gru.gradients(net, *plain, state)
+    padded = [np.pad(part, ((0, 12), (0, 0))) for part in (*plain, np.ones((20, 1), dtype=bool))]
+    same_loss, same, _ = gru.gradients(net, *padded[:2], state, padded[2])
+    assert abs(loss - same_loss) < 1e-5
+    for name, values in found.items():
+        assert np.abs(values - same[name]).max() < 1e-6, name
+
+
+def test_weights_are_the_same_in_every_run(docs):
+    frame = docs([(i, f"a own{i % 7} b c d{i % 3}") for i in range(200)]).repartition(5).select("doc_id", "text")
+    known = language_model.learn_vocabulary(frame)
+    runs = [gru.flatten(language_model.learn_network(frame, known)) for _ in range(2)]
+    assert (runs[0] == runs[1]).all()
