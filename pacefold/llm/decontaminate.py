@@ -133,8 +133,8 @@ def contained(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that contain no item."""
-    dirty = contained(documents, benchmark).select("doc_id").distinct()
-    return documents.join(dirty, "doc_id", "left_anti").select(*documents.columns)
+    dirty = contained(documents, benchmark).select(F.col("doc_id").alias("_dirty")).distinct()
+    return documents.join(dirty, documents["doc_id"] == F.col("_dirty"), "left_anti")
 
 
 def op1(documents: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -31,6 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pacefold.llm.folders import crc_of_id, stored
 from pacefold.llm.text import Piece, mix, owners, pieces
@@ -252,8 +253,9 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(model)
     others = [c for c in documents.columns if c not in ("lang_pred", "score")]
-    schema = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema if f.name in others
+    schema = StructType(
+        [f for f in documents.schema if f.name in others]
+        + StructType.fromDDL("lang_pred string, score double").fields
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -274,9 +276,7 @@ def predict(documents: DataFrame, model: Model | None) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, [*others, "lang_pred", "score"])
 
     lettered = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias(LETTERED)
-    return documents.select(*others, lettered).mapInArrow(
-        run, f"{schema}, lang_pred string, score double"
-    )
+    return documents.select(*(F.col(f"`{c}`") for c in others), lettered).mapInArrow(run, schema)
 
 
 def identify(documents: DataFrame) -> DataFrame:

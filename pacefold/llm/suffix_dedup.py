@@ -22,8 +22,10 @@ for some 33 suffixes. The passes, each of which keeps what is not alone in its g
 Groups are told apart by 64-bit hashes of their strings, two at a time.
 
 Defined cases: null text is empty; texts shorter than ``DEPTH`` are left alone;
-documents without an id take no part; rows that repeat an id must hold the same text,
-and each gets its row (the same text under one id does not repeat itself); further
+documents without an id take no part; of rows that repeat an id, equal texts are one
+document (the same text under one id does not repeat itself) and different ones are
+documents of their own, in the order of a hash of their texts, and each row is cut; a very
+long text is the work of one task, with some 80 bytes for each of its bytes; further
 columns are ignored; an empty table gives an empty result.
 """
 
@@ -37,6 +39,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from pacefold.llm.folders import partitions, stored
 from pacefold.llm.text import Piece, mix, owners, pieces, prefix_sums, runs, signed, span_hashes
@@ -51,10 +54,11 @@ GATHER = 1_000_000
 #: Groups of digits per shuffle partition.
 SPREAD = 2
 
-_RUN = [("digit", "<u8"), ("span", "<u8"), ("doc", "<i8"), ("start", "<i8"), ("count", "<i4"), ("back", "<i4")]
+#: ``copy`` tells texts under one id apart; 0 where an id has one text, and compresses well.
+_RUN = [("digit", "<u8"), ("span", "<u8"), ("doc", "<i8"), ("copy", "<i8"), ("start", "<i8"), ("count", "<i4"), ("back", "<i4")]
 _RUN_COLUMNS = [name for name, _ in _RUN]
-_RUN_SCHEMA = "part int, kind int, digit binary, span binary, doc binary, start binary, count binary, back binary"
-_RANGES = "doc long, start long, count int"
+_RUN_SCHEMA = "part int, kind int, digit binary, span binary, doc binary, copy binary, start binary, count binary, back binary"
+_RANGES = "doc long, copy long, start long, count int"
 
 
 def _smallest_in_windows(values: np.ndarray, width: int) -> np.ndarray:
@@ -102,7 +106,7 @@ def suffix_runs(piece: Piece) -> dict[str, np.ndarray] | None:
 
 def _grouped(run: dict[str, np.ndarray]) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
     """Runs sorted by digit, text and place; where a new digit, where a new text begins."""
-    order = np.lexsort((run["start"], run["doc"], run["span"], run["digit"]))
+    order = np.lexsort((run["start"], run["copy"], run["doc"], run["span"], run["digit"]))
     run = {name: values[order] for name, values in run.items()}
     new_digit = np.ones(len(order), dtype=bool)
     new_digit[1:] = run["digit"][1:] != run["digit"][:-1]
@@ -115,7 +119,7 @@ def _repeats(run: dict[str, np.ndarray], new_text: np.ndarray) -> np.ndarray:
     """Which sorted runs repeat one that starts earlier (rows of one place do not)."""
     first = np.flatnonzero(new_text)
     of = first[np.cumsum(new_text) - 1]
-    return (run["doc"] != run["doc"][of]) | (run["start"] != run["start"][of])
+    return np.any([run[name] != run[name][of] for name in ("doc", "copy", "start")], axis=0)
 
 
 def _take(run: dict[str, np.ndarray], rows: np.ndarray) -> dict[str, np.ndarray]:
@@ -124,7 +128,7 @@ def _take(run: dict[str, np.ndarray], rows: np.ndarray) -> dict[str, np.ndarray]
 
 def _packed(run: dict[str, np.ndarray], part: np.ndarray, kind: int) -> pa.RecordBatch:
     """One row per part, its runs as plain arrays in order of place."""
-    order = np.lexsort((run["start"], run["doc"], part))
+    order = np.lexsort((run["start"], run["copy"], run["doc"], part))
     part = part[order]
     cuts = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else part
     ends = np.r_[cuts[1:], len(part)].astype(np.int64)
@@ -165,13 +169,13 @@ def _first_pass(parts: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, rows = [], 0
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy(zero_copy_only=False)
+            ids, copies = (batch.column(c).to_numpy() for c in ("doc_id", "copy"))
             for piece in pieces(batch.column("text")):
                 found = suffix_runs(piece)
                 if found is None:
                     continue
                 docs = owners(piece, found["start"])
-                found["doc"] = ids[piece.first + docs]
+                found["doc"], found["copy"] = ids[piece.first + docs], copies[piece.first + docs]
                 found["start"] = found["start"] - piece.offsets[docs]
                 gathered.append(found)
                 rows += len(docs)
@@ -200,14 +204,14 @@ def _second_pass(table: pa.Table) -> pa.Table:
         (run, np.flatnonzero(again), _SETTLED),
         (run, np.flatnonzero(unsettled), _SORT),
     ]
-    columns = {name: np.concatenate([r[name][rows] for r, rows, _ in out]) for name in ("doc", "start", "count", "back", "digit")}
+    columns = {name: np.concatenate([r[name][rows] for r, rows, _ in out]) for name in ("doc", "copy", "start", "count", "back", "digit")}
     kinds = np.concatenate([np.full(len(rows), kind, dtype=np.int32) for _, rows, kind in out])
     return pa.table(
         [
-            pa.array(kinds), pa.array(columns["doc"]), pa.array(columns["start"]),
+            pa.array(kinds), pa.array(columns["doc"]), pa.array(columns["copy"]), pa.array(columns["start"]),
             pa.array(columns["count"]), pa.array(columns["back"]), pa.array(signed(columns["digit"])),
         ],
-        ["kind", "doc", "start", "count", "back", "digit"],
+        ["kind", "doc", "copy", "start", "count", "back", "digit"],
     )
 
 
@@ -225,7 +229,7 @@ def _cut_runs(parts: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
+            ids, copies = batch.column("doc_id").to_numpy(), batch.column("copy").to_numpy()
             for piece in pieces(batch.column("text")):
                 doc, todo = _lists(batch, "todo", piece)
                 base = piece.offsets[doc] + todo["start"]
@@ -252,11 +256,11 @@ def _cut_runs(parts: int) -> Callable:
                         [
                             pa.array((key % np.uint64(parts)).astype(np.int32)),
                             pa.array(signed(key)), pa.array(signed(span)),
-                            pa.array(ids[piece.first + doc[some]]),
+                            pa.array(ids[piece.first + doc[some]]), pa.array(copies[piece.first + doc[some]]),
                             pa.array(todo["start"][some] + low[some]),
                             pa.array(count.astype(np.int32)), texts,
                         ],
-                        ["part", "digit", "span", "doc", "start", "count", "string"],
+                        ["part", "digit", "span", "doc", "copy", "start", "count", "string"],
                     )
 
     return run
@@ -265,7 +269,7 @@ def _cut_runs(parts: int) -> Callable:
 def _last_pass(table: pa.Table) -> pa.Table:
     """Settle equal cut runs, then order the suffixes of the rest to the full depth."""
     run = {
-        name: table[name].to_numpy() for name in ("doc", "start", "count")
+        name: table[name].to_numpy() for name in ("doc", "copy", "start", "count")
     } | {name: table[name].to_numpy().view(np.uint64) for name in ("digit", "span")}
     run["row"] = np.arange(table.num_rows)
     run, new_digit, new_text = _grouped(run)
@@ -273,7 +277,7 @@ def _last_pass(table: pa.Table) -> pa.Table:
     group = np.cumsum(new_digit) - 1
     several = np.bincount(group, weights=new_text) > 1
     rest = _take(run, np.flatnonzero(new_text & several[group]))
-    found = [(run["doc"][again], run["start"][again], run["count"][again])]
+    found = [tuple(run[name][again] for name in ("doc", "copy", "start", "count"))]
     if len(rest["doc"]):
         strings = table["string"].take(pa.array(rest["row"])).combine_chunks()
         raw = strings.buffers()
@@ -284,7 +288,7 @@ def _last_pass(table: pa.Table) -> pa.Table:
         at = offsets[of] + step
         suffix = {
             "digit": rest["digit"][of], "span": span_hashes(sums, at, at + DEPTH),
-            "doc": rest["doc"][of], "start": rest["start"][of] + step, "of": of,
+            "doc": rest["doc"][of], "copy": rest["copy"][of], "start": rest["start"][of] + step, "of": of,
         }
         suffix, _, new_text = _grouped(suffix)
         late = _take(suffix, np.flatnonzero(_repeats(suffix, new_text)))
@@ -294,42 +298,68 @@ def _last_pass(table: pa.Table) -> pa.Table:
             begins = np.r_[True, (np.diff(late["start"]) != 1) | (np.diff(late["of"]) != 0)]
             cuts = np.flatnonzero(begins)
             lengths = np.diff(np.r_[cuts, len(order)])
-            found.append((late["doc"][cuts], late["start"][cuts], lengths))
-    doc, start, count = (np.concatenate(values) for values in zip(*found, strict=True))
+            found.append((late["doc"][cuts], late["copy"][cuts], late["start"][cuts], lengths))
+    doc, copy, start, count = (np.concatenate(values) for values in zip(*found, strict=True))
     return pa.table(
-        [pa.array(doc, pa.int64()), pa.array(start, pa.int64()), pa.array(count, pa.int32())],
-        ["doc", "start", "count"],
+        [*(pa.array(c, pa.int64()) for c in (doc, copy, start)), pa.array(count, pa.int32())],
+        ["doc", "copy", "start", "count"],
     )
 
 
+#: Slots of hashed ids that are looked up when texts under one id are told apart.
+ID_SLOTS = 1 << 21
+
+
+def with_copies(documents: DataFrame) -> DataFrame:
+    """Rows of ``doc_id, text, ...`` with ``copy``, which tells texts under one id apart.
+
+    Only ids with different texts need one. Their hashed slots, ``ID_SLOTS`` numbers at
+    most, are sent to all executors; other ids in a slot get one to no harm.
+    """
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(ID_SLOTS))
+    text = F.xxhash64(F.coalesce("text", F.lit("")))
+    several = (
+        documents.select("doc_id", text.alias("hash"))
+        .where(F.col("doc_id").isNotNull())
+        .groupBy("doc_id")
+        .agg((F.min("hash") != F.max("hash")).alias("differ"))
+        .where("differ")
+        .select(slot.alias("slot"), F.lit(True).alias("differ"))
+        .distinct()
+    )
+    marked = documents.withColumn("slot", slot).join(F.broadcast(several), "slot", "left")
+    copy = F.when(F.col("differ"), text).otherwise(F.lit(0).cast("long"))
+    return marked.withColumn("copy", copy).drop("slot", "differ")
+
+
 def repeated_suffixes(documents: DataFrame) -> DataFrame:
-    """``doc, start, count``: runs of suffixes whose first ``DEPTH`` bytes start earlier.
+    """``doc, copy, start, count``: runs of suffixes whose first ``DEPTH`` bytes start earlier.
 
-    ``documents`` has ``doc_id`` (long, not null) and ``text``.
+    ``documents`` has ``doc_id`` (long, not null), ``copy`` and ``text``.
     """
     parts = SPREAD * partitions(documents.sparkSession)
     sent = documents.mapInArrow(_first_pass(parts), _RUN_SCHEMA)
     ordered = stored(
         sent.groupBy("part").applyInArrow(
-            _second_pass, "kind int, doc long, start long, count int, back int, digit long"
+            _second_pass, "kind int, doc long, copy long, start long, count int, back int, digit long"
         ),
         "suffix-runs",
     )
     todo = (
         ordered.where(F.col("kind") == _SORT)
-        .groupBy(F.col("doc").alias("doc_id"))
+        .groupBy(F.col("doc").alias("doc_id"), "copy")
         .agg(F.collect_list(F.struct("start", "count", "back", "digit")).alias("todo"))
     )
     rest = (
-        documents.join(todo, "doc_id")
+        documents.join(todo, ["doc_id", "copy"])
         .mapInArrow(
             _cut_runs(parts),
-            "part int, digit long, span long, doc long, start long, count int, string binary",
+            "part int, digit long, span long, doc long, copy long, start long, count int, string binary",
         )
         .groupBy("part")
         .applyInArrow(_last_pass, _RANGES)
     )
-    settled = ordered.where(F.col("kind") == _SETTLED).select("doc", "start", "count")
+    settled = ordered.where(F.col("kind") == _SETTLED).select("doc", "copy", "start", "count")
     return settled.unionByName(rest)
 
 
@@ -338,58 +368,68 @@ _RESULT = "n_bytes long, n_removed long, n_spans long, kept_text string, kept_sh
 _RESULT_COLUMNS = [field.split()[0] for field in _RESULT.split(", ")]
 
 
-def _remove(others: list[str]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in pieces(batch.column("text")):
-                doc, found = _lists(batch, "found", piece)
-                edges = np.zeros(len(piece.data) + 1, dtype=np.int32)
-                begin = piece.offsets[doc] + found["start"]
-                np.add.at(edges, begin, 1)
-                np.add.at(edges, begin + found["count"] + DEPTH - 1, -1)
-                gone = np.cumsum(edges[:-1]) > 0
-                kept = np.r_[0, np.cumsum(~gone)][piece.offsets]
-                left = piece.data[~gone].tobytes()
-                texts = [left[a:b] for a, b in zip(kept[:-1], kept[1:], strict=True)]
-                begun = owners(piece, runs(gone, piece.offsets)[0])
-                sizes = np.diff(piece.offsets)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(c).slice(piece.first, piece.count) for c in others]
-                    + [
-                        pa.array(sizes), pa.array(sizes - np.diff(kept)),
-                        pa.array(np.bincount(begun, minlength=piece.count), pa.int64()),
-                        pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()),
-                        pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
-                    ],
-                    [*others, *_RESULT_COLUMNS],
-                )
-
-    return run
-
-
-def remove_repeats(documents: DataFrame) -> DataFrame:
-    """Documents without ``text``, with sizes, what is kept and its digest.
+def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = batch.column("row")
+        for piece in pieces(batch.column("text")):
+            doc, found = _lists(batch, "found", piece)
+            edges = np.zeros(len(piece.data) + 1, dtype=np.int32)
+            begin = piece.offsets[doc] + found["start"]
+            np.add.at(edges, begin, 1)
+            np.add.at(edges, begin + found["count"] + DEPTH - 1, -1)
+            gone = np.cumsum(edges[:-1]) > 0
+            kept = np.r_[0, np.cumsum(~gone)][piece.offsets]
+            left = piece.data[~gone].tobytes()
+            texts = [left[a:b] for a, b in zip(kept[:-1], kept[1:], strict=True)]
+            begun = owners(piece, runs(gone, piece.offsets)[0])
+            sizes = np.diff(piece.offsets)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.slice(piece.first, piece.count),
+                    pa.array(sizes), pa.array(sizes - np.diff(kept)),
+                    pa.array(np.bincount(begun, minlength=piece.count), pa.int64()),
+                    pa.array([t.decode("utf-8", "ignore") for t in texts], pa.string()),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string()),
+                ],
+                ["row", *_RESULT_COLUMNS],
+            )
+
+
+def cut_documents(documents: DataFrame) -> DataFrame:
+    """``row``, all columns of a document but ``text``, with sizes, what is kept and its digest.
 
     ``kept_text`` leaves out characters that were cut in the middle; ``kept_sha256``
-    is of all bytes kept. Columns of the added names are replaced.
+    is of all bytes kept. As fields of ``row`` the document's columns clash with nothing.
     """
-    others = [c for c in documents.columns if c not in (*_RESULT_COLUMNS, "text", "found")]
-    read = documents.select(*others, "text").withColumn("doc_id", F.col("doc_id").cast("long"))
+    others = [c for c in documents.columns if c != "text"]
+    read = with_copies(
+        documents.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "text",
+            F.struct(*(F.col(f"`{c}`") for c in others)).alias("row"),
+        )
+    )
     found = (
-        repeated_suffixes(read.where(F.col("doc_id").isNotNull()).select("doc_id", "text"))
-        .groupBy(F.col("doc").alias("doc_id"))
+        repeated_suffixes(read.where(F.col("doc_id").isNotNull()).select("doc_id", "copy", "text"))
+        .groupBy(F.col("doc").alias("doc_id"), "copy")
         .agg(F.collect_list(F.struct("start", "count")).alias("found"))
     )
     nothing = F.array().cast("array<struct<start:bigint,count:int>>")
-    kept = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}" for f in read.schema if f.name in others
-    )
     return (
-        read.join(found, "doc_id", "left")
-        .withColumn("found", F.coalesce("found", nothing))
-        .mapInArrow(_remove(others), f"{kept}, {_RESULT}")
+        read.join(found, ["doc_id", "copy"], "left")
+        .select("row", "text", F.coalesce("found", nothing).alias("found"))
+        .mapInArrow(_remove, StructType([read.schema["row"], *StructType.fromDDL(_RESULT).fields]))
     )
 
 
+def remove_repeats(documents: DataFrame) -> DataFrame:
+    """Documents without ``text``, with the columns of :func:`cut_documents`.
+
+    Columns of the added names are replaced.
+    """
+    others = [c for c in documents.columns if c not in (*_RESULT_COLUMNS, "text")]
+    return cut_documents(documents).select(*(F.col(f"row.`{c}`") for c in others), *_RESULT_COLUMNS)
+
+
 def op9(documents: DataFrame) -> DataFrame:
-    return remove_repeats(documents.select("doc_id", "text")).drop("kept_text")
+    ids = F.col("doc_id").cast("long").alias("doc_id")
+    return remove_repeats(documents.select(ids, "text")).drop("kept_text")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from pathlib import Path
 
 import pytest
 from llm_reading import rows_of
@@ -17,7 +18,7 @@ ORACLE_SF = "/root/testdata/sf0.01"
 
 def test_one_query_per_operator():
     names = [n for n in driver.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in driver.queries()
 
 
@@ -97,3 +98,43 @@ def test_near_copies_from_a_similarity_of_80_go(spark, docs):
         frame = docs([(i, " ".join(copies[i])) for i in (0, other)])
         assert stage(spark, frame, "").count() == (1 if other in pairs else 2)
         assert sum(r[3] for r in rows_of(near_dedup.op5(frame))) == 2
+
+
+CLASHING = [
+    "_lettered", "lang_pred", "score", "held_out", "kept_text", "n_bytes", "n_removed", "found", "row", "copy",
+    "key", "slot", "differ", "kept", "component_id", "todo", "part", "size", "a b", "x.y",
+]
+
+
+@pytest.mark.parametrize("stage", range(4))
+def test_stages_keep_clashing_columns_and_rows(spark, docs, tmp_path, stage):
+    """Names of the operators' own columns, ids that repeat or are missing, a long text."""
+    pick = random.Random(3)
+    text = lambda n: " ".join(pick.choice("abcdefghij") * 3 + str(pick.randrange(900)) for _ in range(n))
+    rows = [(i, text(40)) for i in range(8)] + [(9, text(30_000)), (10, text(25)), (10, text(26)), (None, text(20)), (None, text(21))]
+    frame = docs(rows).repartition(3)
+    for name in CLASHING:
+        frame = frame.selectExpr("*", f"concat('{name}', coalesce(cast(doc_id AS string), 'none')) AS `{name}`")
+    spark.createDataFrame([(1, text(30))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    out = corpus_pipeline.STAGES[stage][1](spark, frame, str(tmp_path))
+    assert out.schema.fieldNames() == frame.schema.fieldNames()
+    assert sorted(rows_of(out), key=str) == sorted(rows_of(frame), key=str)
+    empty = corpus_pipeline.STAGES[stage][1](spark, frame.limit(0), str(tmp_path))
+    assert rows_of(empty) == []
+
+
+def test_near_duplicates_of_texts_under_one_id(spark, docs):
+    pick = random.Random(4)
+    text = lambda n: " ".join(str(pick.randrange(10**6)) for _ in range(n))
+    first, second = text(60), text(70)
+    rows = [(1, first), (1, second), (1, second), (2, second + " more"), (3, text(50)), (4, first)]
+    out = rows_of(corpus_pipeline.drop_near_duplicates(spark, docs(rows), "").select("doc_id", "text"))
+    assert len(out) == 3 and {t.removesuffix(" more") for _, t in out} == {first, second, rows[4][1]}
+
+
+def test_a_run_leaves_no_texts_behind(spark, corpus):
+    sf_dir, _, _ = corpus
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:")) / "pacefold"
+    result = corpus_pipeline.run(spark, sf_dir)
+    assert not list(shared.glob("pipeline-*/*"))
+    assert result.count() > 50

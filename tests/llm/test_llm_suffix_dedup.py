@@ -6,6 +6,7 @@ import hashlib
 import random
 
 import pyarrow.parquet as pq
+import pytest
 from llm_reading import SF, rows_of
 
 from pacefold.llm import suffix_dedup
@@ -71,6 +72,37 @@ def test_rows_that_repeat_an_id_do_not_repeat_themselves(docs):
     assert sorted(row[2] for row in result) == [0, 0, len(text)]
 
 
+def by_text(rows):
+    """Brute force over rows that may repeat an id; different texts are documents apart."""
+    order = sorted({(i, t) for i, t in rows}, key=lambda row: (row[0], text_hash(row[1])))
+    expected = brute([(place, text) for place, (_, text) in enumerate(order)])
+    return sorted((order[place][0], *kept) for place, kept in expected.items())
+
+
+def text_hash(text):
+    """Spark's hash of a text, by which texts under one id are put in order."""
+    return _hashes[text]
+
+
+_hashes = {}
+
+
+@pytest.mark.parametrize("turned", [False, True])
+def test_one_id_with_several_texts(spark, docs, turned):
+    pick = random.Random(11)
+    word = lambda n: "".join(pick.choice("abcdefghijkl ") for _ in range(n))
+    shared, other = word(351), word(150)
+    rows = [(1, word(700) + shared), (2, shared + word(900)), (2, word(40) + shared + word(300)), (2, other), (3, other + word(10) + shared[:200])]
+    rows += [(4, word(160)), (4, None), (5, shared), (5, shared)]
+    if turned:
+        rows.reverse()
+    for text, value in spark.createDataFrame([(t,) for _, t in rows], "t string").selectExpr("t", "xxhash64(coalesce(t, ''))").collect():
+        _hashes[text] = value
+    result = rows_of(suffix_dedup.op9(docs(rows)))
+    assert sorted(set(result)) == sorted(set(by_text(rows)))
+    assert len(result) == len(rows)
+
+
 def test_documents_without_id_take_no_part(docs):
     text = " ".join(str(n) for n in range(100))
     result = rows_of(suffix_dedup.op9(docs([(None, text), (5, text), (None, text)])))
@@ -87,6 +119,6 @@ def test_long_text_alone_in_its_piece(docs):
 
 def test_clashing_columns_are_ignored(docs):
     frame = docs([(1, "z" * 300)])
-    for name in ("part", "kind", "doc", "start", "count", "todo", "found"):
+    for name in ("part", "kind", "doc", "start", "count", "todo", "found", "row", "copy", "slot", "differ"):
         frame = frame.selectExpr("*", f"'x' AS `{name}`")
     assert found(frame) == brute([(1, "z" * 300)])
