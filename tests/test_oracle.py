@@ -1,6 +1,9 @@
 """Every registered query against its SQL on whole tables."""
 
 import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -41,3 +44,15 @@ def test_matches_sql(spark, duck, name):
     assert columns == expected_columns
     assert len(rows) == len(expected)
     assert rows == expected
+
+
+@pytest.mark.parametrize("missing", ["sentencepiece", "corpus_pipeline", "pacefold.llm"])
+def test_entry_without_the_text_operators(missing):
+    """A library of theirs, or they themselves, may be absent."""
+    code = (
+        f"import sys, warnings; sys.modules[{missing!r}] = None; warnings.simplefilter('ignore'); "
+        "import __spark_entry__ as d; print(len(d.queries()), len(d.oracle_sql()))"
+    )
+    root = Path(driver.__file__).parent
+    found = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, check=True)
+    assert found.stdout.split() == [str(len(QUERIES))] * 2
