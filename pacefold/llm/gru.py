@@ -91,24 +91,30 @@ def restored(like: Network, values: np.ndarray) -> Network:
     return Network(shaped, like.firsts)
 
 
-def _sigmoid(values: np.ndarray) -> np.ndarray:
-    values *= 0.5
-    np.tanh(values, out=values)
-    values += 1.0
-    values *= 0.5
-    return values
+def _pull(logits: np.ndarray, targets: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
+    """Gradient of the weighted loss by the logits, in their place, and that loss."""
+    logits -= logits.max(axis=1, keepdims=True)
+    at = np.arange(len(targets))
+    wanted = logits[at, targets]
+    np.exp(logits, out=logits)
+    sums = logits @ np.ones(logits.shape[1], dtype=logits.dtype)
+    logits *= (weight / sums)[:, None]
+    logits[at, targets] -= weight
+    return logits, float((np.log(sums) - wanted) @ weight)
 
 
-def _log_softmax(logits: np.ndarray) -> np.ndarray:
+def _log_of(logits: np.ndarray, targets: np.ndarray) -> np.ndarray:
+    """Logarithms of the targets' probabilities; the logits are used up."""
     logits -= logits.max(axis=1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
-    return logits
+    wanted = logits[np.arange(len(targets)), targets]
+    np.exp(logits, out=logits)
+    return wanted - np.log(logits @ np.ones(logits.shape[1], dtype=logits.dtype))
 
 
 def _by_class(network: Network, classes: np.ndarray) -> Iterator[tuple[np.ndarray, slice]]:
     """Rows of each class that has more than one word, and its words."""
-    order = np.argsort(classes, kind="stable")
-    cuts = np.searchsorted(classes[order], np.arange(len(network.firsts)))
+    order = np.argsort(classes.astype(np.uint16), kind="stable")  # by radix
+    cuts = np.concatenate([[0], np.cumsum(np.bincount(classes, minlength=len(network.firsts) - 1))])
     for c in np.flatnonzero((np.diff(cuts) > 0) & (np.diff(network.firsts) > 1)):
         yield order[cuts[c] : cuts[c + 1]], slice(network.firsts[c], network.firsts[c + 1])
 
@@ -119,24 +125,50 @@ def log_probabilities(network: Network, states: np.ndarray, words: np.ndarray) -
     out = np.empty(len(words))
     for low in range(0, len(words), AT_ONCE):
         some = slice(low, low + AT_ONCE)
-        logs = _log_softmax(states[some] @ p["classes"] + p["class_bias"])
-        part = logs[np.arange(len(logs)), classes[some]].astype(np.float64)
+        logits = states[some] @ p["classes"]
+        logits += p["class_bias"]
+        part = _log_of(logits, classes[some]).astype(np.float64)
         for rows, members in _by_class(network, classes[some]):
-            logits = states[some][rows] @ p["words"][members].T + p["word_bias"][members]
-            inside = _log_softmax(logits)
-            part[rows] += inside[np.arange(len(rows)), words[some][rows] - members.start]
+            logits = states[some].take(rows, axis=0) @ p["words"][members].T
+            logits += p["word_bias"][members]
+            part[rows] += _log_of(logits, words[some][rows] - members.start)
         out[some] = part
     return out
 
 
-def _step(state: np.ndarray, inputs: np.ndarray, recurrent: np.ndarray) -> tuple:
-    """The next state, and what going back needs."""
-    pulled = state @ recurrent
-    gates = _sigmoid(inputs[:, : 2 * STATE] + pulled[:, : 2 * STATE])
-    update, reset = gates[:, :STATE], gates[:, STATE:]
-    memory = pulled[:, 2 * STATE :]
-    fresh = np.tanh(inputs[:, 2 * STATE :] + reset * memory)
-    return fresh + update * (state - fresh), (update, reset, memory, fresh)
+@dataclass
+class _Steps:
+    """What moves the state, laid out so that every pass over a step is contiguous."""
+
+    by_gates: np.ndarray  # of each word, what it adds to the gates
+    by_fresh: np.ndarray
+    state_gates: np.ndarray
+    state_fresh: np.ndarray
+
+    @classmethod
+    def of(cls, p: dict[str, np.ndarray]) -> _Steps:
+        inputs, gates = p["embedding"] @ p["input"] + p["bias"], slice(None, 2 * STATE)
+        fresh = slice(2 * STATE, None)
+        # A sigmoid is a tanh of half its argument.
+        parts = (inputs[:, gates] / 2, inputs[:, fresh], p["state"][:, gates] / 2, p["state"][:, fresh])
+        return cls(*map(np.ascontiguousarray, parts))
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, tuple]:
+        """The next state, and what going back needs."""
+        gates = state @ self.state_gates
+        gates += self.by_gates.take(word, axis=0)
+        np.tanh(gates, out=gates)
+        gates += 1.0
+        gates *= 0.5
+        update, reset = gates[:, :STATE], gates[:, STATE:]
+        memory = state @ self.state_fresh
+        fresh = reset * memory
+        fresh += self.by_fresh.take(word, axis=0)
+        np.tanh(fresh, out=fresh)
+        moved = state - fresh
+        moved *= update
+        moved += fresh
+        return moved, (update, reset, memory, fresh)
 
 
 def score(network: Network, words: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -145,11 +177,12 @@ def score(network: Network, words: np.ndarray, offsets: np.ndarray) -> np.ndarra
     All documents advance together, the longest first in order, so those that have ended
     drop off the end; states go on from window to window.
     """
-    p = network.parameters
+    steps = _Steps.of(network.parameters)
+    # Documents advance together, so words are read from all over: the fewer bytes the better.
+    words = words.astype(np.min_scalar_type(len(network.parameters["embedding"])))
     lengths = np.diff(offsets)
     order = np.argsort(-lengths, kind="stable")
     begins, sizes = offsets[:-1][order], lengths[order]
-    inputs = p["embedding"] @ p["input"] + p["bias"]
     state = np.zeros((len(order), STATE), dtype=np.float32)
     totals = np.zeros(len(order))
     longest = int(sizes[0]) if len(sizes) else 0
@@ -162,7 +195,7 @@ def score(network: Network, words: np.ndarray, offsets: np.ndarray) -> np.ndarra
             seen.append(state)
             said.append(word)
             whose.append(np.arange(active))
-            state = _step(state, inputs[word], p["state"])[0]
+            state = steps.step(state, word)[0]
         logs = log_probabilities(network, np.concatenate(seen), np.concatenate(said))
         totals += np.bincount(np.concatenate(whose), logs, minlength=len(totals))
     out = np.empty(len(order))
@@ -184,61 +217,65 @@ def gradients(
     streams behind their last token and count for nothing.
     """
     p, (steps, streams) = network.parameters, words.shape
-    inputs = p["embedding"] @ p["input"] + p["bias"]
-    states, kept = [], []
-    for word, end in zip(words, ends, strict=True):
-        states.append(state)
-        moved, parts = _step(state, inputs[word], p["state"])
+    moves = _Steps.of(p)
+    kind = p["state"].dtype
+    before, kept = np.empty((steps, streams, STATE), dtype=kind), []
+    for at, (word, end) in enumerate(zip(words, ends, strict=True)):
+        before[at] = state
+        state, parts = moves.step(state, word)
         kept.append(parts)
-        state = moved * ~end[:, None]
-    flat, said = np.concatenate(states), words.reshape(-1)
+        state *= ~end[:, None]
+    flat, said = before.reshape(-1, STATE), words.reshape(-1)
     count = len(said)
-    weight = np.full(count, 1 / count, dtype=np.float32)
+    weight = np.full(count, 1 / count, dtype=kind)
     if real is not None:
-        weight = (real.reshape(-1) / max(1, real.sum())).astype(np.float32)
+        weight = (real.reshape(-1) / max(1, real.sum())).astype(kind)
     g = {n: np.zeros_like(p[n]) for n in NAMES}
     classes = network.class_of[said]
-    logs = _log_softmax(flat @ p["classes"] + p["class_bias"])
-    loss = -float(logs[np.arange(count), classes] @ weight)
-    pull = np.exp(logs)
-    pull[np.arange(count), classes] -= 1
-    pull *= weight[:, None]
+    logits = flat @ p["classes"]
+    logits += p["class_bias"]
+    pull, loss = _pull(logits, classes, weight)
+    one = np.ones(count, dtype=kind)
     g["classes"] = flat.T @ pull
-    g["class_bias"] = pull.sum(axis=0)
+    g["class_bias"] = one @ pull
     back = pull @ p["classes"].T
     for rows, members in _by_class(network, classes):
-        own = flat[rows]
-        inside = _log_softmax(own @ p["words"][members].T + p["word_bias"][members])
-        target = said[rows] - members.start
-        loss -= float(inside[np.arange(len(rows)), target] @ weight[rows])
-        pull = np.exp(inside)
-        pull[np.arange(len(rows)), target] -= 1
-        pull *= weight[rows, None]
+        own, target = flat.take(rows, axis=0), said[rows] - members.start
+        logits = own @ p["words"][members].T
+        logits += p["word_bias"][members]
+        pull, more = _pull(logits, target, weight[rows])
+        loss += more
         g["words"][members] = pull.T @ own
-        g["word_bias"][members] = pull.sum(axis=0)
+        g["word_bias"][members] = one[: len(rows)] @ pull
         back[rows] += pull @ p["words"][members]
     back = back.reshape(steps, streams, STATE)
-    update, reset, memory, fresh = (np.stack(parts) for parts in zip(*kept, strict=True))
-    before = flat.reshape(steps, streams, STATE)
-    by_fresh = (1 - update) * (1 - fresh * fresh)
-    by_update = (before - fresh) * update * (1 - update)
-    pulls = np.stack([by_update, by_fresh * memory * reset * (1 - reset), by_fresh * reset], axis=2)
     on, back_through = ~ends[:, :, None], np.ascontiguousarray(p["state"].T)
-    pulled, reached = np.empty_like(pulls), np.empty_like(before)
-    ahead = np.zeros((streams, STATE), dtype=np.float32)
-    for at in range(steps - 1, -1, -1):
-        ahead = np.multiply(ahead, on[at], out=reached[at])
-        np.multiply(ahead[:, None], pulls[at], out=pulled[at])
-        ahead = pulled[at].reshape(streams, -1) @ back_through + ahead * update[at] + back[at]
+    pulled = np.empty((steps, streams, 3 * STATE), dtype=kind)
+    by_fresh = np.empty_like(before)
+    ahead = np.zeros((streams, STATE), dtype=kind)
+    for at in range(steps - 1, -1, -1):  # step by step, in arrays that the cache holds
+        update, reset, memory, fresh = kept[at]
+        ahead *= on[at]
+        through = np.multiply(ahead * (1 - update), 1 - fresh * fresh, out=by_fresh[at])
+        own = pulled[at]
+        own[:, :STATE] = ahead * (before[at] - fresh) * update * (1 - update)
+        held = through * reset
+        own[:, STATE : 2 * STATE] = held * memory * (1 - reset)
+        own[:, 2 * STATE :] = held
+        ahead = ahead * update
+        ahead += own @ back_through
+        ahead += back[at]
     pulled = pulled.reshape(count, -1)
     g["state"] = flat.T @ pulled
-    pulled[:, 2 * STATE :] = (reached * by_fresh).reshape(count, -1)
-    order = np.argsort(said, kind="stable")
-    firsts = np.flatnonzero(np.r_[True, np.diff(said[order]) != 0])
-    met, moved = said[order[firsts]], np.add.reduceat(pulled[order], firsts, axis=0)
-    g["bias"] = moved.sum(axis=0)
-    g["input"] = p["embedding"][met].T @ moved
-    g["embedding"][met] = moved @ p["input"].T
+    pulled[:, 2 * STATE :] = by_fresh.reshape(count, -1)
+    g["bias"] = one @ pulled
+    g["input"] = p["embedding"].take(said, axis=0).T @ pulled
+    # What the embeddings get, added up word by word.
+    order = np.argsort(said.astype(np.uint16) if len(p["embedding"]) < 1 << 16 else said, kind="stable")
+    spoken = said[order]
+    firsts = np.flatnonzero(np.r_[True, spoken[1:] != spoken[:-1]])
+    moved = (pulled @ p["input"].T).take(order, axis=0)
+    g["embedding"][spoken[firsts]] = np.add.reduceat(moved, firsts, axis=0)
     return loss, g, state
 
 

@@ -93,6 +93,15 @@ def test_gradients(monkeypatch):
             assert np.isclose(found[name][at], (losses[0] - losses[1]) / 2e-5, rtol=1e-3, atol=1e-7), name
 
 
+def plain_step(net, state, word):
+    """The state behind a word, by the formulas of the module's docstring."""
+    p = net.parameters
+    x = p["embedding"][word] @ p["input"] + p["bias"]
+    (x_z, x_r, x_n), (u_z, u_r, u_n) = np.split(x, 3), np.split(p["state"], 3, axis=1)
+    z, r = (1 / (1 + np.exp(-(x + state @ u))) for x, u in ((x_z, u_z), (x_r, u_r)))
+    return (1 - z) * np.tanh(x_n + r * (state @ u_n)) + z * state
+
+
 def test_score_is_that_of_whole_documents():
     """Windows change nothing: one document at a time, one step at a time."""
     net = network()
@@ -101,12 +110,11 @@ def test_score_is_that_of_whole_documents():
     offsets = np.concatenate([[0], np.cumsum(sizes)])
     words = pick.integers(0, 40, offsets[-1])
     found = gru.score(net, words, offsets)
-    inputs = net.parameters["embedding"] @ net.parameters["input"] + net.parameters["bias"]
     for row in range(len(sizes)):
-        state, total = np.zeros((1, gru.STATE), dtype=np.float32), 0.0
+        state, total = np.zeros(gru.STATE), 0.0
         for word in words[offsets[row] : offsets[row + 1]]:
-            total += gru.log_probabilities(net, state, np.array([word]))[0]
-            state = gru._step(state, inputs[[word]], net.parameters["state"])[0]
+            total += gru.log_probabilities(net, state[None].astype(np.float32), np.array([word]))[0]
+            state = plain_step(net, state, word)
         assert np.isclose(found[row], total, rtol=1e-4)
 
 
@@ -145,6 +153,20 @@ def test_every_training_document_moves_the_weights(docs):
     assert len(words) == 123 and (np.abs(change[words]).sum(axis=1) > 0).all()
 
 
+def test_lookup_where_hashes_share_their_first_bits():
+    pick = np.random.default_rng(6)
+    close = (np.uint64(7) << np.uint64(60)) + np.arange(5, dtype=np.uint64)
+    hashes = np.unique(np.concatenate([close, pick.integers(0, 2**63, 300).astype(np.uint64), np.array([0, 2**64 - 1], dtype=np.uint64)]))
+    ids, logs = pick.permutation(len(hashes)), pick.random(len(hashes))
+    known = language_model.Vocabulary(hashes, ids, logs, 999, np.ones(2), 1, 1)
+    asked = np.concatenate([hashes, close + np.uint64(5), pick.integers(0, 2**63, 500).astype(np.uint64)])
+    want = {int(h): (int(i), float(x)) for h, i, x in zip(hashes, ids, logs, strict=True)}
+    numbers, found = known.lookup(asked)
+    assert list(zip(numbers.tolist(), found.tolist(), strict=True)) == [want.get(int(h), (999, 0.0)) for h in asked]
+    nothing = language_model.Vocabulary(hashes[:0], ids[:0], logs[:0], 0, np.ones(1), 0, 0)
+    assert (nothing.lookup(asked)[0] == 0).all()
+
+
 def test_shards_hold_every_token_once(docs, monkeypatch):
     monkeypatch.setattr(language_model, "SHARD_TOKENS", 50)
     training = docs([(None, f"a b c{i}") for i in range(100)]).select("doc_id", "text")
