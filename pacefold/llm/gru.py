@@ -27,7 +27,7 @@ EMBEDDING = 16
 CLASSES = 48
 #: Tokens that a gradient reaches back at most, and streams trained side by side.
 WINDOW = 32
-STREAMS = 512
+STREAMS = 1024
 #: Windows of a pass at least: shorter texts are trained in fewer streams.
 LEAST_STEPS = 60
 #: Tokens of all documents between two looks at the softmax when scoring.

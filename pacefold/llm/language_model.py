@@ -38,13 +38,15 @@ from pacefold.llm.text import Piece, mix, pieces, signed, word_hashes
 
 VOCABULARY = 2046
 #: Tokens of a shard, about, and rounds of averaging, with their rates of learning.
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 2_000_000
 ROUNDS = 6
 RATES = tuple(0.02 * 0.25 ** (r / (ROUNDS - 1)) for r in range(ROUNDS))
 #: Tasks that average the shards' weights; what they give meets on the driver.
 AVERAGERS = 8
 #: Tokens scored side by side, about.
-SCORED_TOKENS = 3_000_000
+SCORED_TOKENS = 4_000_000
+#: Tokens whose counts a task combines before it sends them.
+COUNTED_TOKENS = 4_000_000
 
 #: Bits of a hash that the lookup of frequent tokens goes by.
 _SLOT_BITS = 16
@@ -75,7 +77,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batch.column("text")):
             held.append(tokens(piece)[0])
             size += len(held[-1])
-            if size >= postings.BATCH_TOKENS:
+            if size >= COUNTED_TOKENS:
                 yield rows(held)
                 held, size = [], 0
     if size:
