@@ -50,7 +50,7 @@ DEPTH = 100
 DIGIT = 36
 NEXT = 32
 #: Runs a map task gathers before it settles and sends them.
-GATHER = 1_000_000
+GATHER = 500_000
 #: Groups of digits per shuffle partition.
 SPREAD = 2
 
