@@ -166,6 +166,29 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(self.outputs(rows)[0].astype(np.float64), -30, 30)))
 
 
+#: Weight of half the squared parameters in the loss.
+SHRINK = 1e-5
+
+
+def gradients(machine: Machine, rows: Rows, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+    """Features that the rows have, and the gradient of the mean logistic loss by each one's
+    weight and factors (shrinkage included); last, the gradient by the bias."""
+    sizes = np.diff(np.append(rows.begins, len(rows.index)))
+    outputs, sums, spread = machine.outputs(rows)
+    error = 1 / (1 + np.exp(-np.clip(outputs, -30, 30))) - labels
+    pull = np.repeat(error / len(labels), sizes) * rows.value
+    steps = np.empty((len(rows.index), FACTORS + 1), dtype=np.float32)
+    steps[:, 0] = pull
+    steps[:, 1:] = pull[:, None] * (np.repeat(sums, sizes, axis=0) - spread)
+    touched, place = np.unique(rows.index, return_inverse=True)
+    grouped = np.argsort(place, kind="stable")
+    firsts = np.searchsorted(place[grouped], np.arange(len(touched)))
+    gradient = np.add.reduceat(steps[grouped], firsts, axis=0)
+    gradient[:, 0] += SHRINK * machine.weights[touched]
+    gradient[:, 1:] += SHRINK * machine.factors[touched]
+    return touched, gradient, float(error.mean())
+
+
 def train(rows: Rows, labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.15) -> Machine:
     """Logistic loss by adaptive gradient steps, in a fixed order."""
     pick = np.random.default_rng(17)
@@ -185,23 +208,12 @@ def train(rows: Rows, labels: np.ndarray, epochs: int = EPOCHS, rate: float = 0.
             begins = np.cumsum(sizes) - sizes
             take = np.arange(sizes.sum()) + np.repeat(rows.begins[some] - begins, sizes)
             part = Rows(begins, rows.index[take], rows.value[take])
-            outputs, sums, spread = machine.outputs(part)
-            error = 1 / (1 + np.exp(-np.clip(outputs, -30, 30))) - labels[some]
-            pull = np.repeat(error / len(some), sizes) * part.value
-            steps = np.empty((len(take), FACTORS + 1), dtype=np.float32)
-            steps[:, 0] = pull
-            steps[:, 1:] = pull[:, None] * (np.repeat(sums, sizes, axis=0) - spread)
-            touched, place = np.unique(part.index, return_inverse=True)
-            grouped = np.argsort(place, kind="stable")
-            firsts = np.searchsorted(place[grouped], np.arange(len(touched)))
-            gradient = np.add.reduceat(steps[grouped], firsts, axis=0)
-            gradient[:, 0] += 1e-5 * machine.weights[touched]
-            gradient[:, 1:] += 1e-5 * machine.factors[touched]
+            touched, gradient, error = gradients(machine, part, labels[some])
             seen[touched] += gradient * gradient
             move = rate * gradient / np.sqrt(seen[touched])
             machine.weights[touched] -= move[:, 0]
             machine.factors[touched] -= 0.3 * move[:, 1:]
-            machine.bias -= rate * 0.1 * float(error.mean())
+            machine.bias -= rate * 0.1 * error
     return machine
 
 

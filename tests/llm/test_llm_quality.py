@@ -78,3 +78,34 @@ def test_edges(spark, docs):
     assert all(0 <= r[2] <= 1 and r[3] == int(r[2] >= 0.5) for r in result)
     assert rows_of(quality.op10(docs([]), labels)) == []
     assert {r[2] for r in rows_of(quality.op10(docs(rows), labels.limit(0)))} == {0.5}
+
+
+def test_gradients():
+    """Against differences of the loss, for weights, factors and the bias."""
+    pick = np.random.default_rng(8)
+    index = np.concatenate([pick.choice(12, 5, replace=False) for _ in range(6)])
+    rows = quality.Rows(np.arange(0, 30, 5), index, pick.normal(size=30))
+    labels = pick.integers(0, 2, 6).astype(float)
+    machine = quality.Machine(
+        0.3, pick.normal(size=quality.FEATURES) * 0.5, pick.normal(size=(quality.FEATURES, quality.FACTORS)) * 0.5
+    )
+
+    def loss(bias=0.0):
+        outputs = machine.outputs(rows)[0] + bias
+        own = np.unique(index)
+        squares = (machine.weights[own] ** 2).sum() + (machine.factors[own] ** 2).sum()
+        return np.mean(np.log1p(np.exp(outputs)) - labels * outputs) + quality.SHRINK / 2 * squares
+
+    touched, gradient, by_bias = quality.gradients(machine, rows, labels)
+    assert touched.tolist() == np.unique(index).tolist()
+    assert np.isclose(by_bias, (loss(1e-5) - loss(-1e-5)) / 2e-5, rtol=1e-4)
+    for row, feature in enumerate(touched):
+        for column in (0, 1, quality.FACTORS):
+            values, at = (machine.weights, feature) if column == 0 else (machine.factors, (feature, column - 1))
+            kept = values[at]
+            ends = []
+            for change in (1e-5, -1e-5):
+                values[at] = kept + change
+                ends.append(loss())
+            values[at] = kept
+            assert np.isclose(gradient[row, column], (ends[0] - ends[1]) / 2e-5, rtol=1e-3, atol=1e-6)
