@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pacefold.llm import decontaminate, language, mixing, near_dedup, suffix_dedup
 from pacefold.llm.folders import documents, workspace
-from pacefold.llm.queries import workers_find_package
+from pacefold.session import workers_find_package
 
 #: Near duplicates share this much of their five-word shingles, or more.
 SIMILAR_PERCENT = 80

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,6 +22,7 @@ from pacefold.llm import (
     whitening,
 )
 from pacefold.llm.folders import documents
+from pacefold.session import workers_find_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,18 +35,6 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def workers_find_package(spark: SparkSession) -> None:
-    """Let Python workers on this machine import the package from its source folder.
-
-    On a cluster it is installed there or sent along (``--py-files``).
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
-
-
 def registry() -> dict[str, Query]:
     return {name: _prepared(query) for name, query in _QUERIES.items()}
 

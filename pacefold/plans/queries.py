@@ -31,7 +31,7 @@ from pacefold.operators import (
     tables,
 )
 from pacefold.plans import batch, fixtures
-from pacefold.session import new_scratch, require_settings
+from pacefold.session import new_scratch, require_settings, workers_find_package
 from pacefold.sinks import files, versions
 from pacefold.sinks.compaction import compact
 from pacefold.sinks.ids import IdIndex, compact_ids
@@ -87,6 +87,7 @@ def _comparable(query: Query) -> Query:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         require_settings(spark)
+        workers_find_package(spark)
         result = query(spark, sf_dir)
         return result.select(*(_comparable_column(f) for f in result.schema.fields))
 

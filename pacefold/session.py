@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import re
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,15 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder this package wrote, in whatever store holds it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def workers_find_package(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from its source folder.
+
+    On a cluster it is installed there or sent along (``--py-files``).
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *paths]))
