@@ -8,7 +8,9 @@ Ids are places: a topic's partition and offset, or a file and row. Neighbouring
 have neighbouring numbers, so the index keeps *spans* of numbers of one origin, cut at
 multiples of ``BLOCK``: a batch adds some rows per partition, not one per message, and
 compaction joins spans that touch. Blocks are dealt into ``BUCKETS`` folders by hash. A
-batch's new messages lie in a few blocks, so it reads those blocks' folders only.
+batch's new messages lie in a few blocks, so it reads those blocks' folders only. Numbers
+and spans are sorted together, cell by cell, so that a block of many short spans (numbers
+with gaps) takes no comparison of each number with each span.
 
 A batch is compared with what others have stored, not with itself; handed out again, it
 gets the same rows. Batches of queries that run side by side do not see each other: give
@@ -35,6 +37,9 @@ IDS_TABLE = "known_ids"
 BLOCK = 1 << 20
 BUCKETS = 256
 
+#: Numbers of an origin that are looked up together.
+CELL = 1 << 14
+
 #: Origins' numbers from ``low`` to ``high`` are stored.
 SPANS = StructType(
     [
@@ -91,6 +96,10 @@ def merged_spans(rows: DataFrame) -> DataFrame:
     )
 
 
+def _cell(number: str) -> Column:
+    return F.floor(F.col(number) / CELL).cast("long")
+
+
 class IdIndex:
     """The index of the tables under a folder, as one writer uses it."""
 
@@ -104,18 +113,28 @@ class IdIndex:
         A row without an id fails. At most ``BUCKETS`` numbers reach the driver.
         """
         spark = rows.sparkSession
-        once = placed(dedup(rows))
-        touched = [row[0] for row in once.select(f"_{BUCKET}").distinct().collect()]
+        touched = [row[0] for row in placed(rows).select(f"_{BUCKET}").distinct().collect()]
         known = self.known(spark, (writer_name(spark, self._label), batch_id)).where(
             F.col(BUCKET).isin(touched)
         )
-        same: list[Column] = [
-            F.col(f"_{BUCKET}") == F.col(BUCKET),
-            F.col("_origin") == F.col("origin"),
-            F.col("_block") == F.col("block"),
-            F.col("_number").between(F.col("low"), F.col("high")),
-        ]
-        return once.join(known, reduce(Column.__and__, same), "left_anti").select(*rows.columns)
+        own = [F.col(f"`{name}`") for name in rows.columns]
+        asked = placed(dedup(rows)).select(
+            F.col("_origin").alias("origin"), _cell("_number").alias("cell"), F.col("_number").alias("low"),
+            F.lit(None).cast("long").alias("high"), F.struct(*own).alias("row"),
+        )
+        cells = F.explode(F.sequence(_cell("low"), _cell("high")))
+        stored = known.select(
+            "origin", cells.alias("cell"), "low", "high", F.lit(None).cast(asked.schema["row"].dataType).alias("row")
+        )
+        # Spans first: of those that begin by a number, one that reaches it holds it.
+        before = Window.partitionBy("origin", "cell").orderBy("low", F.col("row").isNotNull())
+        reached = F.max("high").over(before.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return (
+            asked.union(stored)
+            .withColumn("reached", reached)
+            .where(F.col("row").isNotNull() & (F.col("reached").isNull() | (F.col("reached") < F.col("low"))))
+            .select("row.*")
+        )
 
     def known(self, spark: SparkSession, but: versions.Batch | None = None) -> DataFrame:
         """Spans of all batches but one."""

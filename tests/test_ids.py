@@ -9,7 +9,7 @@ from pacefold.feeds import ALERTS, FEEDS, READINGS
 from pacefold.functions.times import timestamp_text
 from pacefold.jobs import compact, stream
 from pacefold.sinks import files, versions
-from pacefold.sinks.ids import BLOCK, BUCKETS, IDS_TABLE, SPANS, IdIndex, compact_ids, merged_spans, spans
+from pacefold.sinks.ids import BLOCK, BUCKETS, CELL, IDS_TABLE, SPANS, IdIndex, compact_ids, merged_spans, spans
 from pacefold.sinks.tables import create_parquet_tables, parquet_sink
 from pacefold.sinks.topics import publish_to_files
 from pacefold.sources.tables import parquet_reader
@@ -165,3 +165,20 @@ def test_alerts_without_new_messages_write_no_rows(spark, tmp_path):
     stored = parquet_reader(spark, f"{tmp_path}/tables")(ALERTS)
     assert stored.count() == 1
     assert stored.select(timestamp_text(F.col("event_date").cast("timestamp"))).first()[0] == "2024-01-01 00:00:00"
+
+
+def test_numbers_with_gaps_are_not_compared_with_each_other(spark, tmp_path):
+    index = IdIndex(str(tmp_path), "writer")
+    known = {*range(0, 3 * CELL, 4), *range(CELL - 3, 2 * CELL + 5), 5 * CELL, *range(BLOCK - 2, BLOCK + 3)}
+    ids = [(f"topic:0:{n}",) for n in known] + [("topic:1:9",), ("free",)]
+    for batch, part in enumerate((ids[::2], ids[1::2])):
+        index._record(spark.createDataFrame(part, "id string"), ("writer", batch))
+    numbers = [*range(3 * CELL + 9), *range(5 * CELL - 2, 5 * CELL + 3), *range(BLOCK - 5, BLOCK + 6)]
+    asked = [*(f"topic:0:{n}" for n in numbers), "topic:1:8", "topic:1:9", "topic:1:10", "free", "other", "other"]
+    rows = spark.createDataFrame([(i, i) for i in asked], "`a.b` string, id string")
+    found = index.unseen(rows, 2)
+    # A join on the block, with a range on top, would compare all of a block's numbers with all its spans.
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
+    assert found.columns == rows.columns
+    wanted = set(asked) - {i for (i,) in ids}
+    assert sorted(tuple(r) for r in found.collect()) == sorted((i, i) for i in wanted)
