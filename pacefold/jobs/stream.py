@@ -91,7 +91,9 @@ def topic_source(options: Namespace) -> TopicSource:
         )
     else:
         bound = {"maxFilesPerTrigger": str(options.max_files)} if options.max_files else {}
-        source = file_source(options.messages, options.format, **bound)
+        # Messages that are not told from copies first would be decoded by one task a file.
+        spread = bool(bound) and not options.dedup
+        source = file_source(options.messages, options.format, spread, **bound)
     return deduplicated(source, options.dedup) if options.dedup else source
 
 

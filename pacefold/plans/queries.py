@@ -206,7 +206,7 @@ def _compacted_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _published(spark, sf_dir, "compacted")
     fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
     create_parquet_tables(spark, f"{root}/tables")
-    _route(spark, file_source(f"{root}/messages", maxFilesPerTrigger="1"), root)
+    _route(spark, file_source(f"{root}/messages", spread=True, maxFilesPerTrigger="1"), root)
     compact(spark, f"{root}/tables", READINGS.table)
     return _copies(_readings_of(spark, root))
 
@@ -220,7 +220,7 @@ def _read_during_compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Readings of a report that began before batches were merged, replaced and expired."""
     root = _published(spark, sf_dir, "read-compacted")
     fixtures.publish(spark, sf_dir, f"{root}/messages", (READINGS,))
-    source = file_source(f"{root}/messages", maxFilesPerTrigger="1")
+    source = file_source(f"{root}/messages", spread=True, maxFilesPerTrigger="1")
     _route(spark, source, root)
     opened = _readings_of(spark, root)
     compact(spark, f"{root}/tables", READINGS.table)
@@ -239,7 +239,7 @@ def _read_as_of_version(spark: SparkSession, sf_dir: str) -> DataFrame:
         publish_to_files(fixtures.readings(spark, sf_dir).where(part), READINGS, f"{root}/messages")
         for feed in (SUMMARIES, ALERTS):
             publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/messages")
-        _route(spark, file_source(f"{root}/messages", maxFilesPerTrigger="1"), root)
+        _route(spark, file_source(f"{root}/messages", spread=True, maxFilesPerTrigger="1"), root)
         if part is not high:
             earlier = versions.latest(spark, f"{root}/tables/{table}").number
             compact(spark, f"{root}/tables", table)
@@ -333,7 +333,7 @@ def _dedup_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
     publish_to_files(low, READINGS, f"{root}/messages")
     for feed in (SUMMARIES, ALERTS):
         publish_to_files(fixtures.table(spark, sf_dir, feed).limit(0), feed, f"{root}/messages")
-    source = file_source(f"{root}/messages", maxFilesPerTrigger="1")
+    source = file_source(f"{root}/messages", spread=True, maxFilesPerTrigger="1")
     _route(spark, source, root, "first", index)
     compact(spark, f"{root}/tables", READINGS.table)
     compact_ids(spark, f"{root}/tables")

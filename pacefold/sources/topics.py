@@ -57,16 +57,23 @@ def kafka_options(
     return options
 
 
-def file_source(root: str, file_format: str = "parquet", **options: str) -> TopicSource:
+def file_source(
+    root: str, file_format: str = "parquet", spread: bool = False, **options: str
+) -> TopicSource:
     """Streaming topics stored as files, one folder per topic under ``root``.
 
     ``maxFilesPerTrigger`` or ``maxBytesPerTrigger`` bound a micro-batch. Only Parquet
     files number their rows: messages in other formats have no ``position``.
+
+    A Parquet file is read by as many tasks as it has row groups, often one. ``spread``
+    deals its messages to more tasks before they are decoded: for micro-batches of a few
+    large files. Small ones stay together where the session is adaptive.
     """
 
     def open_topic(spark: SparkSession, topic: str) -> DataFrame:
         reader = spark.readStream.schema(ENVELOPE).format(file_format).options(**options)
-        return _placed(reader.load(f"{root}/{topic}"), file_format)
+        messages = _placed(reader.load(f"{root}/{topic}"), file_format)
+        return messages.repartition("position") if spread and file_format == "parquet" else messages
 
     return open_topic
 

@@ -400,3 +400,31 @@ def test_high_heart_rate_alerts_on_a_stream(spark, tmp_path):
     stream = read_topic(spark, READINGS, file_source(f"{tmp_path}/messages"))
     rows = run_to_table(alerting.high_heart_rate_alerts(stream), str(tmp_path))
     assert [(row.user_id, row.timestamp) for row in rows.collect()] == [("b", "t")]
+
+
+def test_one_large_file_is_decoded_by_several_tasks(spark, tmp_path):
+    """A micro-batch of one file with one row group; a small one stays with one task."""
+    rows = spark.range(150_000).selectExpr(
+        "concat('u', id) AS user_id", "70 AS heart_rate", "CAST(id AS int) AS steps", "rand(5) AS calories",
+        "'2024-01-01 00:00:00' AS timestamp",
+    )
+    for name, part in (("large", rows), ("small", rows.limit(20))):
+        publish_to_files(part.coalesce(1), READINGS, f"{tmp_path}/{name}")
+    tasks, stored = {}, {}
+
+    def run(name, **options):
+        def note(batch, batch_id):
+            label = f"{name}{len(options)}"
+            tasks[label] = batch.rdd.getNumPartitions()
+            stored[label] = {(r.id, r.user_id) for r in batch.select("id", "user_id").collect()}
+
+        source = file_source(f"{tmp_path}/{name}", maxFilesPerTrigger="1", **options)
+        stream = read_topic(spark, READINGS, source)
+        start_batches(stream, note, f"{tmp_path}/{name}-{len(options)}", AVAILABLE_NOW).awaitTermination()
+
+    for name in ("large", "small"):
+        run(name)
+        run(name, spread=True)
+    assert tasks["large1"] > tasks["large0"] and tasks["small1"] <= 1, tasks
+    assert stored["large1"] == stored["large0"] and len(stored["large1"]) == 150_000
+    assert stored["small1"] == stored["small0"]
