@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from pacefold.llm.folders import partitions, stored
-from pacefold.llm.text import Piece, mix, owners, pieces, prefix_sums, runs, signed, span_hashes
+from pacefold.llm.text import Piece, give_back, mix, owners, pieces, prefix_sums, runs, signed, span_hashes
 
 #: Bytes of the strings that must repeat.
 DEPTH = 100
@@ -50,7 +50,7 @@ DEPTH = 100
 DIGIT = 36
 NEXT = 32
 #: Runs a map task gathers before it settles and sends them.
-GATHER = 500_000
+GATHER = 250_000
 #: Groups of digits per shuffle partition.
 SPREAD = 2
 
@@ -157,6 +157,7 @@ _SORT, _SETTLED = 0, 1
 def _first_pass(parts: int) -> Callable:
     def send(gathered: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         run = {name: np.concatenate([g[name] for g in gathered]) for name in gathered[0]}
+        gathered.clear()
         run, _, new_text = _grouped(run)
         again = _repeats(run, new_text)
         for rows, kind in ((~again, _SORT), (again, _SETTLED)):
@@ -165,6 +166,8 @@ def _first_pass(parts: int) -> Callable:
                 # What is settled need not meet what it repeats: it is dealt by document.
                 key = kept["digit"] if kind == _SORT else mix(kept["doc"].astype(np.uint64))
                 yield _packed(kept, (key % np.uint64(parts)).astype(np.int32), kind)
+        del run, kept, key, again, rows, new_text
+        give_back()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gathered, rows = [], 0

@@ -7,6 +7,7 @@ is the same as ``[^\\x20\\x09-\\x0D]+`` on characters. Null texts count as empty
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -16,7 +17,7 @@ import pyarrow as pa
 
 #: Bytes of text worked on at a time, unless one document is longer. Work arrays take
 #: some 80 bytes per byte of text.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 20
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -60,6 +61,14 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: an idle worker keeps what its last task took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:  # a library other than glibc has no such call
+        trim(0)
+
+
 def pieces(column: pa.Array, most: int = PIECE_BYTES) -> Iterator[Piece]:
     """Cut a string column into runs of whole documents of about ``most`` bytes."""
     data, offsets = text_bytes(column)
