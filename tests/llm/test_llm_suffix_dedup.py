@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pyarrow.parquet as pq
 import pytest
@@ -122,3 +125,35 @@ def test_clashing_columns_are_ignored(docs):
     for name in ("part", "kind", "doc", "start", "count", "todo", "found", "row", "copy", "slot", "differ"):
         frame = frame.selectExpr("*", f"'x' AS `{name}`")
     assert found(frame) == brute([(1, "z" * 300)])
+
+
+IDLE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+import numpy as np, pyarrow as pa
+from pacefold.llm import suffix_dedup
+
+def held():
+    lines = open("/proc/self/status").read().splitlines()
+    return next(int(line.split()[1]) for line in lines if line.startswith("VmRSS")) / 1024
+
+def batches():
+    pick = np.random.default_rng(3)
+    for first in range(0, 4000, 500):
+        texts = [bytes(t).decode() for t in pick.integers(97, 123, (500, 6000), dtype=np.uint8)]
+        ids = np.arange(first, first + 500)
+        yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(ids * 0), pa.array(texts)], ["doc_id", "copy", "text"])
+
+before = held()
+for batch in suffix_dedup._first_pass(8)(batches()):
+    pass
+del batch
+print(held() - before)
+"""
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="reads the memory from /proc")
+def test_a_worker_gives_back_what_the_first_pass_took():
+    root = str(Path(suffix_dedup.__file__).resolve().parents[2])
+    found = subprocess.run([sys.executable, "-c", IDLE, root], capture_output=True, text=True, check=True)
+    assert float(found.stdout) < 120, found.stdout
